@@ -24,13 +24,25 @@ def failure_sum(target: str = "target") -> Column:
     return F.sum(is_failure(target))
 
 
+def dround(x: str | Column, digits: int) -> Column:
+    """Round to ``digits`` places the way DuckDB and numpy do: scale by 10^digits,
+    round to an integer (half away from zero), scale back.
+
+    Spark's ``round(x, d)`` rounds the shortest decimal string of ``x`` instead, so an
+    interpolated quartile like 75962.525 (binary 75962.52499...) rounds up in Spark but
+    down everywhere else.  Scaling first makes the result independent of the engine.
+    """
+    m = float(10 ** digits)
+    return F.round(col(x) * F.lit(m), 0) / F.lit(m)
+
+
 def pct(num: Column, den: Column, digits: int = 2) -> Column:
     """``ROUND(100 * num / den, digits)`` in double arithmetic; NULL when den is 0.
 
     The literal is a double (a DECIMAL literal would change the result type), and
     ``try_divide`` keeps ANSI mode from raising on an empty input.
     """
-    return F.round(F.try_divide(F.lit(100.0) * num, den), digits)
+    return dround(F.try_divide(F.lit(100.0) * num, den), digits)
 
 
 def safe_ratio(num: Column, den: Column) -> Column:
@@ -40,7 +52,7 @@ def safe_ratio(num: Column, den: Column) -> Column:
 def avg_r(c: str | Column, digits: int = 4) -> Column:
     """Average rounded to ``digits`` places: summation order differs between engines
     in the last bits, rounding makes the printed value engine-independent."""
-    return F.round(F.avg(col(c)), digits)
+    return dround(F.avg(col(c)), digits)
 
 
 def band(c: str | Column, lo: float, hi: float, labels: Sequence[str]) -> Column:

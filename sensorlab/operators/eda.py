@@ -13,28 +13,31 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensorlab.functions.exprs import avg_r, band, failure_sum, pct
+from sensorlab.functions.exprs import dround, avg_r, band, failure_sum, pct
 from sensorlab.schema import SENSORS
 
 c = F.col
-N = F.count(F.lit(1))
+
+
+def n_rows():
+    return F.count(F.lit(1))
 
 
 def eda_total_records(df: DataFrame) -> DataFrame:
-    return df.agg(N.alias("total_records"))
+    return df.agg(n_rows().alias("total_records"))
 
 
 def eda_target_counts(df: DataFrame) -> DataFrame:
-    return df.groupBy("target").agg(N.alias("total_count"))
+    return df.groupBy("target").agg(n_rows().alias("total_count"))
 
 
 def eda_failure_rate(df: DataFrame) -> DataFrame:
-    return df.agg(pct(failure_sum(), N).alias("failure_rate_percentage"))
+    return df.agg(pct(failure_sum(), n_rows()).alias("failure_rate_percentage"))
 
 
 def eda_failure_type_counts(df: DataFrame) -> DataFrame:
     return (df.where(c("target") == 1).groupBy("failure_type")
-            .agg(N.alias("failure_count"))
+            .agg(n_rows().alias("failure_count"))
             .orderBy(c("failure_count").desc(), "failure_type"))
 
 
@@ -44,25 +47,25 @@ def eda_failure_type_pct(df: DataFrame) -> DataFrame:
     The un-partitioned window runs on the aggregated rows (one per failure type), so
     its single task holds a handful of rows whatever the table size.
     """
-    counts = df.where(c("target") == 1).groupBy("failure_type").agg(N.alias("failure_count"))
+    counts = df.where(c("target") == 1).groupBy("failure_type").agg(n_rows().alias("failure_count"))
     total = F.sum("failure_count").over(Window.partitionBy())
     return (counts.withColumn("percentage", pct(c("failure_count"), total))
             .orderBy(c("percentage").desc(), "failure_type"))
 
 
 def eda_machines_per_type(df: DataFrame) -> DataFrame:
-    return df.groupBy("machine_type").agg(N.alias("total_machines"))
+    return df.groupBy("machine_type").agg(n_rows().alias("total_machines"))
 
 
 def eda_failures_per_type(df: DataFrame) -> DataFrame:
-    return df.where(c("target") == 1).groupBy("machine_type").agg(N.alias("failure_count"))
+    return df.where(c("target") == 1).groupBy("machine_type").agg(n_rows().alias("failure_count"))
 
 
 def eda_rate_per_type(df: DataFrame) -> DataFrame:
     return df.groupBy("machine_type").agg(
-        N.alias("total_records"),
+        n_rows().alias("total_records"),
         failure_sum().alias("total_failures"),
-        pct(failure_sum(), N).alias("failure_rate_percentage"))
+        pct(failure_sum(), n_rows()).alias("failure_rate_percentage"))
 
 
 def eda_sensor_means_by_target(df: DataFrame, int_avg: bool = False) -> DataFrame:
@@ -123,8 +126,8 @@ def rate_by_bin(df: DataFrame, column: str, lo: float, hi: float, labels: Sequen
     repeats the CASE in GROUP BY)."""
     binned = df.select(band(column, lo, hi, labels).alias(bin_name), "target")
     return (binned.groupBy(bin_name)
-            .agg(N.alias("total_records"), failure_sum().alias("failures"),
-                 pct(failure_sum(), N).alias("failure_rate_percentage"))
+            .agg(n_rows().alias("total_records"), failure_sum().alias("failures"),
+                 pct(failure_sum(), n_rows()).alias("failure_rate_percentage"))
             .orderBy(c("failure_rate_percentage").desc(), bin_name))
 
 
@@ -148,8 +151,8 @@ def eda_rate_by_torque_bin(df: DataFrame) -> DataFrame:
 
 def eda_high_stress(df: DataFrame) -> DataFrame:
     hs = df.where((c("rotational_speed_rpm") > 1800) & (c("torque_nm") > 60))
-    return hs.agg(N.alias("high_stress_cases"), failure_sum().alias("failures"),
-                  pct(failure_sum(), N).alias("failure_rate_percentage"))
+    return hs.agg(n_rows().alias("high_stress_cases"), failure_sum().alias("failures"),
+                  pct(failure_sum(), n_rows()).alias("failure_rate_percentage"))
 
 
 def eda_top_risk_products(df: DataFrame, k: int = 10) -> DataFrame:
@@ -158,7 +161,7 @@ def eda_top_risk_products(df: DataFrame, k: int = 10) -> DataFrame:
     Aggregate then ``orderBy().limit()`` → TakeOrderedAndProject: each task keeps its
     own top k, only k rows per task reach the final merge."""
     return (df.groupBy("product_id")
-            .agg(N.alias("total_records"), failure_sum().alias("failure_count"))
+            .agg(n_rows().alias("total_records"), failure_sum().alias("failure_count"))
             .orderBy(c("failure_count").desc(), "product_id")
             .limit(k))
 
@@ -188,6 +191,6 @@ def eda_sensor_differentiator(df: DataFrame, agg: str = "max",
     for s in sensors:
         one = fn(F.when(c("target") == 1, c(s)))
         zero = fn(F.when(c("target") == 0, c(s)))
-        parts.append(F.round(F.abs(one - zero), 4).cast("double").alias(SENSOR_LABELS.get(s, s)))
+        parts.append(dround(F.abs(one - zero), 4).cast("double").alias(SENSOR_LABELS.get(s, s)))
     wide = df.agg(*parts)
     return wide.unpivot([], [SENSOR_LABELS.get(s, s) for s in sensors], "sensor", "difference")

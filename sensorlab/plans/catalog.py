@@ -1,3 +1,4 @@
 """Imports every catalog module so that all queries are registered."""
 
 from sensorlab.plans import catalog_sql  # noqa: F401
+from sensorlab.plans import catalog_profile  # noqa: F401
