@@ -2,3 +2,4 @@
 
 from sensorlab.plans import catalog_sql  # noqa: F401
 from sensorlab.plans import catalog_profile  # noqa: F401
+from sensorlab.plans import catalog_eval  # noqa: F401

@@ -77,6 +77,22 @@ SELECT udi, product_id, machine_type, air_temperature_k, process_temperature_k,
        CASE WHEN rotational_speed_rpm > 1800 AND torque_nm > 60 THEN 1 ELSE 0 END AS high_stress_flag,
        failure_type
 FROM uniq"""),
+    ("bscore", """
+SELECT udi, machine_type, target AS label,
+       LEAST(CAST(1 AS DOUBLE), tool_wear_min * torque_nm / 16000) AS score,
+       CASE WHEN tool_wear_min * torque_nm / 16000 >= 0.5 THEN 1 ELSE 0 END AS prediction
+FROM clean"""),
+    ("mscore", """
+SELECT udi, machine_type, failure_type AS label,
+       CASE WHEN rotational_speed_rpm > 1800 THEN 'Power Failure'
+            WHEN tool_wear_min > 150 THEN 'Overstrain Failure'
+            ELSE 'Heat Dissipation Failure' END AS prediction
+FROM clean WHERE target = 1"""),
+    ("preds", """
+SELECT *, CASE WHEN risk_score < 0.3 THEN 'Low' WHEN risk_score < 0.7 THEN 'Medium' ELSE 'High' END AS risk_band
+FROM (SELECT f.*, LEAST(CAST(1 AS DOUBLE), tool_wear_min * torque_nm / 16000) AS risk_score,
+             CASE WHEN tool_wear_min * torque_nm / 16000 >= 0.5 THEN 1 ELSE 0 END AS prediction
+      FROM feat f) p"""),
 ]
 
 

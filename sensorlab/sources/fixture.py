@@ -9,6 +9,7 @@ Catalyst prunes the parquet scan to the four columns it reads.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # The F1 derivation text (FIXTURES.md).  ``{events}`` is the input table.
 SENSOR_SQL_TEMPLATE = """
@@ -70,3 +71,31 @@ def sensor_from_events(events: DataFrame) -> DataFrame:
 def sensor_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``machine_sensor_data`` for a scale-factor folder."""
     return sensor_from_events(read_events(spark, sf_dir))
+
+
+# The F2 score rule (FIXTURES.md), a deterministic stand-in for a model so
+# that metric operators can be checked against SQL.
+F2_SCALE = 16000
+F2_THRESHOLD = 0.5
+
+
+def add_f2_scores(df: DataFrame) -> DataFrame:
+    """Adds the F2 ``score`` in [0, 1] and ``prediction`` to every row (row-wise)."""
+    raw_score = F.col("tool_wear_min") * F.col("torque_nm") / F.lit(F2_SCALE)
+    return (df.withColumn("score", F.least(F.lit(1.0), raw_score))
+            .withColumn("prediction", F.when(raw_score >= F2_THRESHOLD, 1).otherwise(0)))
+
+
+def scored_binary(clean_df: DataFrame) -> DataFrame:
+    """F2 binary scores over the clean view: label, score in [0, 1], prediction."""
+    return add_f2_scores(clean_df).select("udi", "machine_type", F.col("target").alias("label"),
+                                          "score", "prediction")
+
+
+def scored_multiclass(clean_df: DataFrame) -> DataFrame:
+    """F2 multiclass: failure rows, label = repaired failure type, rule-based prediction."""
+    pred = (F.when(F.col("rotational_speed_rpm") > 1800, F.lit("Power Failure"))
+            .when(F.col("tool_wear_min") > 150, F.lit("Overstrain Failure"))
+            .otherwise(F.lit("Heat Dissipation Failure")))
+    return (clean_df.where(F.col("target") == 1)
+            .select("udi", "machine_type", F.col("failure_type").alias("label"), pred.alias("prediction")))
