@@ -43,11 +43,11 @@ def range_bucket(df: DataFrame, order_col: str, out_col: str = "_rng",
 
 def running_totals(df: DataFrame, order_col: str, value_cols: Sequence[str],
                    groups: Sequence[str] = (), suffix: str = "_cum",
-                   n_ranges: int | None = None) -> DataFrame:
+                   n_ranges: int | None = None, tiebreak: Sequence[str] = ()) -> DataFrame:
     """Inclusive running sums of ``value_cols`` in ascending ``order_col`` within ``groups``.
 
-    ``df`` should hold one row per (groups, order value) (aggregate first); ties are
-    otherwise summed in an arbitrary but consistent order.
+    ``df`` should hold one row per (groups, order value), or ``tiebreak`` columns must
+    make the order total; otherwise tied rows are summed in an arbitrary order.
     """
     g = list(groups)
     ranged = range_bucket(df, order_col, n_ranges=n_ranges)
@@ -58,7 +58,7 @@ def running_totals(df: DataFrame, order_col: str, value_cols: Sequence[str],
                                           for v in value_cols])
     # offsets has one row per (group, range): at most #groups x B rows.
     joined = ranged.join(F.broadcast(offsets), on=[*g, "_rng"], how="inner")
-    w_in = (Window.partitionBy(*g, "_rng").orderBy(order_col)
+    w_in = (Window.partitionBy(*g, "_rng").orderBy(order_col, *tiebreak)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     out = joined
     for v in value_cols:
