@@ -232,7 +232,7 @@ def smote(df: DataFrame, features: Sequence[str], label: str = "label", key: str
     """Lift every class to the size of the largest one with synthetic rows
     x + u * (neighbour - x), u in [0, 1), neighbour one of the k nearest same-class rows.
 
-    Returns the input rows (``is_synthetic`` false) plus the synthetic ones (key NULL).
+    Returns the input rows (``is_synthetic`` false) plus the synthetic ones (negative keys).
     A class with n_c <= k raises, as the library does, unless ``k_cap`` uses n_c - 1."""
     feats = list(features)
     spark = df.sparkSession
@@ -274,7 +274,9 @@ def smote(df: DataFrame, features: Sequence[str], label: str = "label", key: str
     nbf = df.select(c(key).alias("_nbk"), *[c(f).alias(f"_y_{f}") for f in feats])
     syn = syn.join(nbf, "_nbk")
     new_cols = [(c(f"_x_{f}") + c("_u") * (c(f"_y_{f}") - c(f"_x_{f}"))).alias(f) for f in feats]
-    synthetic = syn.select(F.lit(None).cast(df.schema[key].dataType).alias(key), label, *new_cols,
+    # synthetic rows get negative keys (-1, -2, ...): unique, so later hash orders
+    # (folds) spread them instead of piling them into one bucket
+    synthetic = syn.select((-(c("_sid") + 1)).cast(df.schema[key].dataType).alias(key), label, *new_cols,
                            F.lit(True).alias("is_synthetic"))
     return originals.unionByName(synthetic)
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from sensorlab.operators import features as feat_ops
 from sensorlab.operators import sampling
+from sensorlab.session import cut_lineage
 
 c = F.col
 
@@ -70,4 +71,7 @@ def preprocess_pipeline(features_df: DataFrame, task: str = "binary", seed: int
         balanced = sampling.smote(train_s, NUMERIC_FEATURES, "label", "udi", k=k, seed=seed, k_cap=k_cap)
     else:
         balanced = train_s.withColumn("is_synthetic", F.lit(False))
+    # every estimator makes many passes over the training rows: materialise them once in
+    # the shared checkpoint folder (cuts the SMOTE lineage; survives executor loss)
+    balanced = cut_lineage(balanced)
     return Prepared(balanced, test_s, scaler, codes, train_s)
