@@ -60,8 +60,12 @@ st AS (SELECT {", ".join(f"AVG({f}) AS m_{f}, STDDEV_POP({f}) AS s_{f}" for f in
 SELECT udi, label, {", ".join(
     f"ROUND(({f} - m_{f}) / CASE WHEN s_{f} = 0 OR s_{f} IS NULL THEN 1 ELSE s_{f} END, 6) AS {f}" for f in _F)}
 FROM train, st""")(
-    lambda s, sf: sampling.fit_standard_scaler(train_part(s, sf), _F)
-    .transform(train_part(s, sf), digits=6).select("udi", "label", *_F))
+    lambda s, sf: _scaled(s, sf))
+
+
+def _scaled(s, sf):
+    tr = train_part(s, sf)
+    return sampling.fit_standard_scaler(tr, _F).transform(tr, digits=6).select("udi", "label", *_F)
 
 _DIST = " + ".join(f"(a.{f} - b.{f}) * (a.{f} - b.{f})" for f in SENSORS)
 register("knn_within_class", f"""WITH {_PREP_SQL},
