@@ -32,7 +32,7 @@ def _csv_roundtrip(s, sf):
     return io.load_csv(s, path)
 
 
-register("load_csv")(lambda s, sf: _csv_roundtrip(s, sf).drop(io.CORRUPT))
+register("load_csv", "SELECT * FROM raw")(lambda s, sf: _csv_roundtrip(s, sf).drop(io.CORRUPT))
 
 _REASONS_SQL = """concat_ws(',',
   CASE WHEN udi IS NULL THEN 'udi_not_null' END,

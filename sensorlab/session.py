@@ -27,6 +27,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("SENSORLAB_DRIVER_MEMORY", "16g"))
     )
     spark = builder.getOrCreate()
