@@ -16,25 +16,41 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sensorlab.session import cut_lineage
+
 c = F.col
 
 # Target number of distinct ordered values per range (one window task each).
 ROWS_PER_RANGE = 2_000_000
-MAX_RANGES = 8192
+MAX_RANGES = 1024
+
+
+def range_bounds(df: DataFrame, order_col: str, n_ranges: int | None = None) -> list[float]:
+    """Ascending range bounds of ``order_col`` (B-1 values, B from the row count).
+
+    One aggregate pass returns the row count and a fixed grid of approximate
+    percentiles; B is chosen from the count and every (MAX_RANGES / B)-th grid point is
+    kept.  Only these numbers reach the driver."""
+    grid = [i / MAX_RANGES for i in range(1, MAX_RANGES)]
+    row = df.agg(F.count(F.lit(1)).alias("n"),
+                 F.percentile_approx(c(order_col).cast("double"), grid, 4 * MAX_RANGES).alias("q")).first()
+    n = int(row["n"])
+    if n_ranges is None:
+        n_ranges = max(1, min(MAX_RANGES, math.ceil(n / ROWS_PER_RANGE)))
+    if n_ranges <= 1 or not row["q"]:
+        return []
+    step = MAX_RANGES / n_ranges
+    picks = [row["q"][min(len(row["q"]) - 1, int(round(i * step)) - 1)] for i in range(1, n_ranges)]
+    return sorted(set(float(b) for b in picks if b is not None and not math.isnan(b)))
 
 
 def range_bucket(df: DataFrame, order_col: str, out_col: str = "_rng",
                  n_ranges: int | None = None) -> DataFrame:
     """Adds a deterministic range index of ``order_col`` (0..B-1, ascending)."""
-    if n_ranges is None:
-        n = df.count()
-        n_ranges = max(1, min(MAX_RANGES, math.ceil(n / ROWS_PER_RANGE)))
-    if n_ranges <= 1:
+    bounds = range_bounds(df, order_col, n_ranges)
+    if not bounds:
         return df.withColumn(out_col, F.lit(0.0))
-    probs = [i / n_ranges for i in range(1, n_ranges)]
-    bounds = df.stat.approxQuantile(order_col, probs, 1.0 / (4 * n_ranges))
-    splits = sorted(set(float(b) for b in bounds if b is not None and not math.isnan(b)))
-    splits = [-math.inf, *splits, math.inf]
+    splits = [-math.inf, *bounds, math.inf]
     tmp = f"{out_col}_in"
     staged = df.withColumn(tmp, c(order_col).cast("double"))
     out = Bucketizer(splits=splits, inputCol=tmp, outputCol=out_col, handleInvalid="keep").transform(staged)
@@ -77,6 +93,9 @@ def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float],
     g = list(groups)
     counts = (df.where(c(column).isNotNull())
               .groupBy(*g, c(column).alias("_x")).agg(F.count(F.lit(1)).alias("_n")))
+    # the per-value counts are read four times (bounds, totals, running sums, sizes):
+    # materialise them once instead of re-running the aggregation over the input
+    counts = cut_lineage(counts)
     cum = running_totals(counts, "_x", ["_n"], groups=g)
     cum = cum.withColumn("_before", c("_n_cum") - c("_n"))
     sizes = counts.groupBy(*g).agg(F.sum("_n").alias("_size"))

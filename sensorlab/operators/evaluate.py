@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from sensorlab.functions.exprs import dround
 from sensorlab.functions.ordered import running_totals
+from sensorlab.session import cut_lineage
 
 c = F.col
 DIGITS = 6
@@ -145,7 +146,7 @@ def _score_counts(df: DataFrame, label: str, score: str, positive) -> DataFrame:
 def roc_auc(df: DataFrame, label: str = "label", score: str = "score", positive=1) -> DataFrame:
     """Exact ROC AUC with ties: sum over distinct scores of pos * (neg below + neg / 2),
     divided by P * N (the Mann-Whitney statistic); NULL if a class is absent."""
-    per_score = _score_counts(df, label, score, positive)
+    per_score = cut_lineage(_score_counts(df, label, score, positive))  # read 3 times
     cum = running_totals(per_score, "score", ["neg"])
     part = cum.select((c("pos") * ((c("neg_cum") - c("neg")) + c("neg") / 2.0)).alias("_a"),
                       "pos", "neg")
@@ -155,7 +156,7 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "score", positive=
 
 def roc_curve(df: DataFrame, label: str = "label", score: str = "score", positive=1) -> DataFrame:
     """(threshold, fpr, tpr) per distinct score: rates of rows scored >= threshold."""
-    per_score = _score_counts(df, label, score, positive)
+    per_score = cut_lineage(_score_counts(df, label, score, positive))  # read 4 times
     cum = running_totals(per_score, "score", ["pos", "neg"])
     totals = per_score.agg(F.sum("pos").alias("_P"), F.sum("neg").alias("_N"))
     # totals is one row; attached as a broadcast join on a constant key

@@ -168,8 +168,11 @@ def knn_within_class(df: DataFrame, features: Sequence[str], k: int = 5, label:
     Returns (key, neighbor_key, rank 1..k, distance)."""
     feats = list(features)
     spark = df.sparkSession
-    axis = _widest_axis(df, label, feats)
     base = df.select(c(key).alias("_key"), c(label).alias("_cls"), *[c(f).cast("double").alias(f) for f in feats])
+    # the class rows are read by the axis choice, the range bounds and the ranking:
+    # materialise them once rather than re-running the caller's lineage each time
+    base = cut_lineage(base)
+    axis = _widest_axis(base, "_cls", feats)
     # exact rank along the axis inside each class, without a whole-class window
     ones = base.withColumn("_one", F.lit(1)).withColumn("_ax", c(axis))
     ranked = running_totals(ones, "_ax", ["_one"], groups=["_cls"], tiebreak=["_key"])
@@ -237,6 +240,8 @@ def smote(df: DataFrame, features: Sequence[str], label: str = "label", key: str
     A class with n_c <= k raises, as the library does, unless ``k_cap`` uses n_c - 1."""
     feats = list(features)
     spark = df.sparkSession
+    # the input is read by the class counts, the k-NN, the dense index and both joins
+    df = cut_lineage(df.select(key, label, *feats))
     counts = {r[0]: int(r[1]) for r in df.groupBy(label).count().collect()}  # one row per class
     n_max = max(counts.values())
     need = {cl: n_max - n for cl, n in counts.items() if n < n_max}

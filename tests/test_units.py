@@ -121,5 +121,5 @@ def test_dround_matches_duckdb():
     vals = [75962.525, 2.675, 1.005, -2.5, 0.125, 123456.785]
     df = spark.createDataFrame([(v,) for v in vals], "v double")
     got = [r[0] for r in df.select(dround("v", 2)).collect()]
-    want = [duckdb.sql(f"SELECT ROUND({v!r}::DOUBLE, 2)").fetchone()[0] for v in vals]
+    want = [duckdb.sql(f"SELECT ROUND({v!r}::DOUBLE, 2)").fetchall()[0][0] for v in vals]
     assert got == want
