@@ -64,7 +64,8 @@ def make_classifier(name: str, task: str, n_train: int, label_col: str, params:
         gbt = GBTClassifier(seed=SEED, **kw, **(common if task == "binary" else {"featuresCol": "features"}))
         if task == "binary":
             return gbt
-        return OneVsRest(classifier=gbt, featuresCol="features", labelCol=label_col)
+        # class models are independent: fit them as concurrent jobs
+        return OneVsRest(classifier=gbt, featuresCol="features", labelCol=label_col, parallelism=4)
     raise ValueError(f"unknown model {name!r}")
 
 
@@ -162,17 +163,25 @@ def _metric_row(scored: DataFrame, task: str) -> dict:
 
 
 def compare_models(features_df: DataFrame, prep: Prepared, task: str = "binary",
-                   names: Sequence[str] = MODEL_NAMES) -> tuple[DataFrame, dict[str, Bundle]]:
-    """Fit each model, score the untouched test split, table sorted by F1 (desc)."""
+                   names: Sequence[str] = MODEL_NAMES, fit=None,
+                   parallelism: int = 3) -> tuple[DataFrame, dict[str, Bundle]]:
+    """Fit each model, score the untouched test split, table sorted by F1 (desc).
+
+    The fits are independent Spark jobs and run concurrently from a driver thread pool;
+    ``fit(prep, name, task)`` may return an already fitted bundle."""
     spark = features_df.sparkSession
-    prep.train.persist(StorageLevel.MEMORY_AND_DISK)
+    fit = fit or fit_bundle
     test_rows = test_features(features_df, prep)
-    rows, bundles = [], {}
-    for name in names:
-        b = fit_bundle(prep, name, task)
-        bundles[name] = b
+
+    def one(name):
+        b = fit(prep, name, task)
         m = _metric_row(score(b, test_rows), task)
-        rows.append((name, m["accuracy"], m["precision"], m["recall"], m["f1"], m["roc_auc"]))
+        return name, b, (name, m["accuracy"], m["precision"], m["recall"], m["f1"], m["roc_auc"])
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        done = list(pool.map(one, names))
+    bundles = {n: b for n, b, _ in done}
+    rows = [r for _, _, r in done]
     table = spark.createDataFrame(rows, "model string, accuracy double, precision double, recall double, "
                                         "f1 double, roc_auc double")
     # the table has one row per model; the ranking window runs over those rows only
@@ -235,14 +244,18 @@ def sample_params(n_iter: int, seed: int = SEED) -> list[dict]:
     return out
 
 
-def to_gbt_params(combo: dict) -> dict:
+def to_gbt_params(combo: dict, caps: dict | None = None) -> dict:
     """Map a booster combination to GBT params; reg_alpha / reg_lambda have no
-    counterpart and are only reported."""
+    counterpart and are only reported.  ``caps`` (e.g. {"maxIter": 50, "maxDepth": 5})
+    bounds the cost of a run; it is off by default and reported when used."""
     depth = combo["max_depth"] if combo["max_depth"] > 0 else UNLIMITED_DEPTH
     col = combo["colsample_bytree"]
-    return {"maxIter": combo["n_estimators"], "maxDepth": depth, "stepSize": combo["learning_rate"],
-            "featureSubsetStrategy": "all" if col >= 1.0 else str(col),
-            "subsamplingRate": combo["subsample"], "minInstancesPerNode": combo["min_child_samples"]}
+    out = {"maxIter": combo["n_estimators"], "maxDepth": depth, "stepSize": combo["learning_rate"],
+           "featureSubsetStrategy": "all" if col >= 1.0 else str(col),
+           "subsamplingRate": combo["subsample"], "minInstancesPerNode": combo["min_child_samples"]}
+    for k, v in (caps or {}).items():
+        out[k] = min(out[k], v)
+    return out
 
 
 @dataclass
@@ -296,7 +309,8 @@ def _fit_scaled(train: DataFrame, task: str, params: dict) -> tuple[PipelineMode
 
 
 def random_search(prep: Prepared, task: str = "binary", n_iter: int = 50, folds: int = 5,
-                  seed: int = SEED, smote_before_cv: bool = False, parallelism: int = 4) -> SearchResult:
+                  seed: int = SEED, smote_before_cv: bool = False, parallelism: int = 4,
+                  caps: dict | None = None) -> SearchResult:
     """Randomized search over PARAM_GRID with stratified k-fold CV, weighted F1.
 
     Fits run as concurrent Spark jobs from a driver thread pool (``parallelism``), the
@@ -309,28 +323,32 @@ def random_search(prep: Prepared, task: str = "binary", n_iter: int = 50, folds:
         tr.persist(StorageLevel.MEMORY_AND_DISK)
         va.persist(StorageLevel.MEMORY_AND_DISK)
 
-    def run(i_combo):
-        i, combo = i_combo
-        params = to_gbt_params(combo)
-        scores = []
-        for tr, va in sets:
-            model, labels = _fit_scaled(tr, task, params)
-            scores.append(_weighted_f1(model, va, task, labels))
-        mean = sum(scores) / len(scores)
-        std = math.sqrt(sum((s - mean) ** 2 for s in scores) / len(scores))
-        return (i, combo, mean, std, scores)
+    def fit_one(job):
+        i, f = job
+        tr, va = sets[f]
+        model, labels = _fit_scaled(tr, task, to_gbt_params(combos[i], caps))
+        return i, _weighted_f1(model, va, task, labels)
 
+    jobs = [(i, f) for i in range(len(combos)) for f in range(len(sets))]
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        results = list(pool.map(run, enumerate(combos)))
+        scored = list(pool.map(fit_one, jobs))
+    results = []
+    for i, combo in enumerate(combos):
+        scores = [sc for j, sc in scored if j == i]
+        mean = sum(scores) / len(scores)
+        std = math.sqrt(sum((x - mean) ** 2 for x in scores) / len(scores))
+        results.append((i, combo, mean, std, scores))
+    note = "reg_alpha, reg_lambda not applied (no GBT counterpart)"
+    if caps:
+        note += "; capped " + ", ".join(f"{k}<={v}" for k, v in sorted(caps.items()))
     rows = []
     for i, combo, mean, std, scores in results:
-        rows.append((i, *[float(combo[k]) for k in PARAM_GRID], float(mean), float(std),
-                     "reg_alpha, reg_lambda not applied (no GBT counterpart)"))
+        rows.append((i, *[float(combo[k]) for k in PARAM_GRID], float(mean), float(std), note))
     schema = ("combo int, " + ", ".join(f"{k} double" for k in PARAM_GRID)
               + ", mean_test_score double, std_test_score double, note string")
     table = spark.createDataFrame(rows, schema)
     best = max(results, key=lambda r: (r[2], -r[0]))
-    best_bundle = fit_bundle(prep, "LightGBM", task, to_gbt_params(best[1]))
+    best_bundle = fit_bundle(prep, "LightGBM", task, to_gbt_params(best[1], caps))
     for tr, va in sets:
         tr.unpersist()
         va.unpersist()
@@ -343,9 +361,11 @@ def cv_results(result: SearchResult, top: int = 20) -> DataFrame:
     return result.cv_results.withColumn("rank", F.row_number().over(w)).where(c("rank") <= top)
 
 
-def default_vs_tuned(features_df: DataFrame, prep: Prepared, task: str, tuned: Bundle) -> tuple[float, float]:
+def default_vs_tuned(features_df: DataFrame, prep: Prepared, task: str, tuned: Bundle,
+                     default: Bundle | None = None) -> tuple[float, float]:
+    """Weighted F1 on the test split of the default booster and of the tuned one."""
     test_rows = test_features(features_df, prep)
-    default = fit_bundle(prep, "LightGBM", task)
+    default = default or fit_bundle(prep, "LightGBM", task)
     d = float(evaluate.metrics_weighted(score(default, test_rows)).first()["f1"])
     t = float(evaluate.metrics_weighted(score(tuned, test_rows)).first()["f1"])
     return d, t
@@ -353,7 +373,7 @@ def default_vs_tuned(features_df: DataFrame, prep: Prepared, task: str, tuned: B
 
 def learning_curve(prep: Prepared, task: str = "binary", params: dict | None = None,
                    sizes: Sequence[float] = tuple(0.1 + i * 0.9 / 7 for i in range(8)),
-                   folds: int = 3, seed: int = SEED) -> DataFrame:
+                   folds: int = 3, seed: int = SEED, parallelism: int = 4) -> DataFrame:
     """Train / validation weighted F1 (mean, population std over folds) per training size.
 
     Each fold's training part is ordered by key hash; the first fraction of it is the
@@ -362,15 +382,17 @@ def learning_curve(prep: Prepared, task: str = "binary", params: dict | None = N
     params = params or {}
     base = sampling.stratified_folds(prep.train, folds, seed=seed).persist(StorageLevel.MEMORY_AND_DISK)
     ranked = base.withColumn("_u", F.pmod(F.xxhash64(c("udi"), F.lit(seed + 7)), F.lit(1 << 20)) / float(1 << 20))
-    rows = []
-    for frac in sizes:
-        for f in range(folds):
-            tr = ranked.where((c("fold") != f) & (c("_u") < frac)).drop("fold", "_u")
-            va = ranked.where(c("fold") == f).drop("fold", "_u")
-            model, labels = _fit_scaled(tr, task, to_gbt_params_default(params))
-            n_tr = tr.count()
-            rows.append((float(frac), f, n_tr, _weighted_f1(model, tr, task, labels),
-                         _weighted_f1(model, va, task, labels)))
+    def one(job):
+        frac, f = job
+        tr = ranked.where((c("fold") != f) & (c("_u") < frac)).drop("fold", "_u")
+        va = ranked.where(c("fold") == f).drop("fold", "_u")
+        model, labels = _fit_scaled(tr, task, params)
+        return (float(frac), f, tr.count(), _weighted_f1(model, tr, task, labels),
+                _weighted_f1(model, va, task, labels))
+
+    jobs = [(frac, f) for frac in sizes for f in range(folds)]
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        rows = list(pool.map(one, jobs))
     base.unpersist()
     df = spark.createDataFrame(rows, "fraction double, fold int, train_rows long, train_score double, "
                                      "validation_score double")
@@ -381,21 +403,20 @@ def learning_curve(prep: Prepared, task: str = "binary", params: dict | None = N
         F.stddev_pop("validation_score").alias("validation_std")).orderBy("fraction")
 
 
-def to_gbt_params_default(params: dict) -> dict:
-    return params if params else {}
-
-
 def cross_val_score(prep: Prepared, task: str = "binary", params: dict | None = None,
-                    folds: int = 5, seed: int = SEED) -> DataFrame:
+                    folds: int = 5, seed: int = SEED, parallelism: int = 4) -> DataFrame:
     """Per-fold weighted F1 of one configuration, plus mean and population std rows."""
     spark = prep.train.sparkSession
     base = sampling.stratified_folds(prep.train, folds, seed=seed).persist(StorageLevel.MEMORY_AND_DISK)
-    rows = []
-    for f in range(folds):
+
+    def one(f):
         tr = base.where(c("fold") != f).drop("fold")
         va = base.where(c("fold") == f).drop("fold")
         model, labels = _fit_scaled(tr, task, params or {})
-        rows.append((f"fold_{f}", _weighted_f1(model, va, task, labels)))
+        return (f"fold_{f}", _weighted_f1(model, va, task, labels))
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        rows = list(pool.map(one, range(folds)))
     base.unpersist()
     vals = [v for _, v in rows]
     mean = sum(vals) / len(vals)
