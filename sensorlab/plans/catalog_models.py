@@ -116,3 +116,40 @@ def _batch(s, sf):
 
 
 register("batch_score")(_batch)
+
+
+def _save_load(s, sf):
+    """Predictions on the test split before and after a save / load round trip."""
+    from sensorlab.session import checkpoint_dir
+    feats, prep = _prep(s, sf)
+    bundle = _bundle(s, sf, "Decision Tree", "binary")
+    path = f"{checkpoint_dir(s).rstrip('/')}/bundles/tree-{abs(hash(sf))}"
+    models.save_bundle(bundle, path)
+    loaded = models.load_bundle([path + "-tuned", path], "binary")
+    test_rows = models.test_features(feats, prep)
+    before = models.score(bundle, test_rows).select("udi", c("prediction").alias("prediction_before"))
+    after = models.score(loaded, test_rows).select("udi", c("prediction").alias("prediction_after"))
+    return before.join(after, "udi").withColumn(
+        "same", c("prediction_before").eqNullSafe(c("prediction_after")))
+
+
+register("save_load_model")(_save_load)
+
+
+def _compare_mc(s, sf):
+    feats, prep = _prep(s, sf, "multiclass")
+    table, _ = models.compare_models(feats, prep, "multiclass",
+                                     fit=lambda p, name, task: _bundle(s, sf, name, task))
+    return table
+
+
+register("compare_models_multiclass")(_compare_mc)
+
+
+def _importance_split(s, sf):
+    imp = models.feature_importance(_bundle(s, sf, "LightGBM", "binary"))
+    return imp.groupBy("is_engineered").agg(F.sum("importance").alias("importance"),
+                                            F.count(F.lit(1)).alias("features"))
+
+
+register("dash_importance_split")(_importance_split)
