@@ -203,15 +203,20 @@ def knn_within_class(df: DataFrame, features: Sequence[str], k: int = 5, label:
     pairs = q.join(t, (c("_cls") == c("_tcls")) & (c("_qb") != c("_tb"))
                    & (c("_tlo") <= c("_qhi")) & (c("_thi") >= c("_qlo"))).select("_cls", "_qb", "_tb")
     pairs = pairs.select(c("_cls").alias("_pc"), "_qb", "_tb")
-    qrows = (rows.join(pairs, (c("_cls") == c("_pc")) & (c("_blk") == c("_qb")))
-             .select("_cls", "_qb", "_tb", "_key", *feats).withColumn("_role", F.lit("q")))
+    qrows = (rows_r.join(pairs, (c("_cls") == c("_pc")) & (c("_blk") == c("_qb")))
+             .select("_cls", "_qb", "_tb", "_key", *feats, "_rk").withColumn("_role", F.lit("q")))
     trows = (rows.join(pairs, (c("_cls") == c("_pc")) & (c("_blk") == c("_tb")))
-             .select("_cls", "_qb", "_tb", "_key", *feats).withColumn("_role", F.lit("t")))
+             .select("_cls", "_qb", "_tb", "_key", *feats, F.lit(None).cast("double").alias("_rk"))
+             .withColumn("_role", F.lit("t")))
 
     def cross_block(pdf: pd.DataFrame) -> pd.DataFrame:
         qd = pdf[pdf["_role"] == "q"]
         td = pdf[pdf["_role"] == "t"]
-        return _topk(qd, td, feats, k, exclude_self=True)
+        out = _topk(qd, td, feats, k, exclude_self=True)
+        # a remote row can only enter the top k if it is no farther than the row's
+        # in-block k-th distance (ties kept): emit only those
+        rk = pd.Series(qd["_rk"].to_numpy(), index=qd["_key"].to_numpy())
+        return out[out["_dist"].to_numpy() <= rk.reindex(out["_key"].to_numpy()).to_numpy()]
 
     remote = qrows.unionByName(trows).groupBy("_cls", "_qb", "_tb").applyInPandas(cross_block, out_schema)
     cand = local.unionByName(remote)
