@@ -6,7 +6,7 @@ every result is reproducible and independent of partitioning.
 * split: a per-class quota of the hash order.  Counts per (class, hash bucket) decide
   most rows with no shuffle of the rows themselves; only the one bucket per class that
   straddles the quota is ranked.
-* k-NN: rows of a class are cut into blocks of ``block_size`` along their widest axis
+* k-NN: rows of a class are cut into blocks of ``block_size`` (512) along their widest axis
   (exact ranks via range-bucketed running totals).  Each block finds its neighbours
   in-block with numpy; the k-th distance then bounds which other blocks can hold a
   closer row (their interval on the axis must come within that distance), and only
@@ -162,7 +162,7 @@ def _widest_axis(df: DataFrame, label: str, feats: list[str]) -> str:
 
 
 def knn_within_class(df: DataFrame, features: Sequence[str], k: int = 5, label: str = "label",
-                     key: str = "udi", block_size: int = 1024) -> DataFrame:
+                     key: str = "udi", block_size: int = 512) -> DataFrame:
     """k nearest same-class rows (Euclidean, ties by neighbour key), exact.
 
     Returns (key, neighbor_key, rank 1..k, distance)."""
