@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from sensorlab.plans import models, preprocess
 from sensorlab.plans.catalog_sql import unique_featured
 from sensorlab.plans.registry import register
+from sensorlab.session import app_id
 
 c = F.col
 
@@ -28,7 +29,7 @@ _MEMO: dict = {}
 
 
 def _memo(s, sf, key, fn):
-    k = (s.sparkContext.applicationId, sf, key)
+    k = (app_id(s), sf, key)
     if k not in _MEMO:
         _MEMO[k] = fn()
     return _MEMO[k]

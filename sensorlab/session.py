@@ -28,6 +28,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8,
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("SENSORLAB_DRIVER_MEMORY", "16g"))
     )
     spark = builder.getOrCreate()
@@ -35,20 +36,32 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8,
     return spark
 
 
+def _context(spark: SparkSession):
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001  (remote sessions have no local SparkContext)
+        return None
+
+
+def app_id(spark: SparkSession) -> str:
+    return spark.conf.get("spark.app.id", None) or str(id(spark))
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder; set a scratch one only when the session has none."""
+    sc = _context(spark)
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        current = spark.sparkContext.getCheckpointDir()
-        if not current:
-            spark.sparkContext.setCheckpointDir(configured)
+        if sc is not None and not sc.getCheckpointDir():
+            sc.setCheckpointDir(configured)
         return configured
-    current = spark.sparkContext.getCheckpointDir()
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
     local = tempfile.mkdtemp(prefix="sensorlab-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
+    if sc is not None:
+        sc.setCheckpointDir(local)
     return local
 
 
