@@ -10,7 +10,9 @@ every result is reproducible and independent of partitioning.
   (exact ranks via range-bucketed running totals).  Each block finds its neighbours
   in-block with numpy; the k-th distance then bounds which other blocks can hold a
   closer row (their interval on the axis must come within that distance), and only
-  those block pairs are compared.  Exact, and no task ever holds more than two blocks.
+  those block pairs are compared; the pairs are found by a binned range join (axis
+  cells, equi-join), not by comparing all blocks.  Exact, and no task ever holds more
+  than two blocks.
 * SMOTE: synthetic rows come from ``spark.range``; base row, neighbour and gap are
   hashes of the synthetic row's id; base and neighbour features arrive by equi-joins.
 """
@@ -176,8 +178,13 @@ def knn_within_class(df: DataFrame, features: Sequence[str], k: int = 5, label:
     # exact rank along the axis inside each class, without a whole-class window
     ones = base.withColumn("_one", F.lit(1)).withColumn("_ax", c(axis))
     ranked = running_totals(ones, "_ax", ["_one"], groups=["_cls"], tiebreak=["_key"])
-    rows = ranked.withColumn("_blk", F.floor((c("_one_cum") - 1) / block_size).cast("long")) \
-                 .drop("_one", "_one_cum")
+    # a short tail joins the previous block, so every block of a class larger than
+    # block_size holds block_size .. 2*block_size-1 rows (always more than k)
+    sizes = base.groupBy("_cls").agg(F.count(F.lit(1)).alias("_nc"))  # one row per class
+    last = F.greatest(F.floor(c("_nc") / block_size) - 1, F.lit(0))
+    blk = F.least(F.floor((c("_one_cum") - 1) / block_size), last)
+    rows = (ranked.join(F.broadcast(sizes), "_cls").withColumn("_blk", blk.cast("long"))
+            .drop("_one", "_one_cum", "_nc"))
     # reused four times below: materialise once in the shared checkpoint folder
     rows = cut_lineage(rows)
     key_type = df.schema[key].dataType
@@ -194,15 +201,28 @@ def knn_within_class(df: DataFrame, features: Sequence[str], k: int = 5, label:
         "_rk", F.when(c("_n") >= k, c("_rk")).otherwise(F.lit(float("inf"))))
     blocks = rows_r.groupBy("_cls", "_blk").agg(F.min("_ax").alias("_lo"), F.max("_ax").alias("_hi"),
                                                 F.max("_rk").alias("_R"))
-    # candidate block pairs (one row per pair of blocks, not of rows): the query block's
-    # reach on the axis must overlap the other block's interval
-    q = blocks.select("_cls", c("_blk").alias("_qb"), (c("_lo") - c("_R")).alias("_qlo"),
-                      (c("_hi") + c("_R")).alias("_qhi"))
-    t = blocks.select(c("_cls").alias("_tcls"), c("_blk").alias("_tb"), c("_lo").alias("_tlo"),
-                      c("_hi").alias("_thi"))
-    pairs = q.join(t, (c("_cls") == c("_tcls")) & (c("_qb") != c("_tb"))
-                   & (c("_tlo") <= c("_qhi")) & (c("_thi") >= c("_qlo"))).select("_cls", "_qb", "_tb")
-    pairs = pairs.select(c("_cls").alias("_pc"), "_qb", "_tb")
+    # Candidate block pairs: the query block's reach [lo - R, hi + R] on the axis must
+    # overlap the other block's interval.  Range join by binning: the axis of each class
+    # is cut into cells about one block wide, both sides are exploded to the cells they
+    # cover and equi-joined on (class, cell), so only blocks that share a cell meet (no
+    # all-pairs comparison of blocks); the exact overlap test then filters.
+    span = blocks.groupBy("_cls").agg(F.min("_lo").alias("_cmin"), F.max("_hi").alias("_cmax"),
+                                      F.count(F.lit(1)).alias("_nb"))  # one row per class
+    width = (c("_cmax") - c("_cmin")) / c("_nb")
+    span = span.withColumn("_w", F.when(width > 0, width).otherwise(F.lit(1.0)))
+    bj = blocks.join(F.broadcast(span), "_cls")
+
+    def cell(x):
+        return F.floor((x - c("_cmin")) / c("_w")).cast("long")
+    qlo = F.greatest(c("_lo") - c("_R"), c("_cmin"))
+    qhi = F.least(c("_hi") + c("_R"), c("_cmax"))
+    q = bj.select("_cls", c("_blk").alias("_qb"), qlo.alias("_qlo"), qhi.alias("_qhi"),
+                  F.explode(F.sequence(cell(qlo), cell(qhi))).alias("_cell"))
+    t = bj.select("_cls", c("_blk").alias("_tb"), c("_lo").alias("_tlo"), c("_hi").alias("_thi"),
+                  F.explode(F.sequence(cell(c("_lo")), cell(c("_hi")))).alias("_cell"))
+    pairs = (q.join(t, ["_cls", "_cell"])
+             .where((c("_qb") != c("_tb")) & (c("_tlo") <= c("_qhi")) & (c("_thi") >= c("_qlo")))
+             .select(c("_cls").alias("_pc"), "_qb", "_tb").distinct())
     qrows = (rows_r.join(pairs, (c("_cls") == c("_pc")) & (c("_blk") == c("_qb")))
              .select("_cls", "_qb", "_tb", "_key", *feats, "_rk").withColumn("_role", F.lit("q")))
     trows = (rows.join(pairs, (c("_cls") == c("_pc")) & (c("_blk") == c("_tb")))

@@ -104,3 +104,22 @@ def test_smote_balances_and_interpolates(spark):
             if ok:
                 break
         assert ok
+
+
+def test_knn_plan_has_no_nested_loop_or_cartesian(spark):
+    rows = [(i, i % 2, float(i), float(i % 7)) for i in range(300)]
+    df = spark.createDataFrame(rows, "udi long, label int, a double, b double")
+    nn = sampling.knn_within_class(df, ["a", "b"], k=3, block_size=32)
+    plan = nn._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    assert nn.count() == 300 * 3
+
+
+def test_knn_class_smaller_than_k(spark):
+    rows = [(i, 0, float(i), 0.0) for i in range(4)] + [(10 + i, 1, float(i), 1.0) for i in range(50)]
+    df = spark.createDataFrame(rows, "udi long, label int, a double, b double")
+    got = sampling.knn_within_class(df, ["a", "b"], k=5, block_size=16).where("udi < 4").collect()
+    by = {}
+    for r in got:
+        by.setdefault(r["udi"], []).append(r["neighbor_udi"])
+    assert all(sorted(v) == sorted(set(range(4)) - {u}) for u, v in by.items()) and len(by) == 4
