@@ -79,10 +79,15 @@ SELECT udi, product_id, machine_type AS type, air_temperature_k, process_tempera
 
 
 def _export(s, sf):
+    """Write the risk-band extract as CSV and read it back with its own schema."""
     preds = dashboard.predictions_table(add_f2_scores(featured(s, sf)))
+    ds = dashboard.dash_risk_bands(preds)
     path = _scratch(s, sf, "DS_risk_bands_csv")
-    io.export_dataset(dashboard.dash_risk_bands(preds), path, partitions=1)
-    return s.read.option("header", True).option("inferSchema", False).csv(path)
+    io.export_dataset(ds, path, partitions=1)
+    return s.read.schema(ds.schema).option("header", True).csv(path)
 
 
-register("export_dashboard_csv")(_export)
+register("export_dashboard_csv", """
+SELECT risk_band, COUNT(*) AS machines, ROUND(AVG(risk_score), 4) AS avg_probability,
+       MAX(risk_score) AS max_probability, COUNT(*) FILTER (WHERE target = 1) AS failures
+FROM preds GROUP BY risk_band""")(_export)
