@@ -21,10 +21,22 @@ def test_no_python_in_sql_queries(spark, name):
 
 def test_scan_pruned_to_used_columns(spark):
     plan = _plan(queries()["eda_rate_by_wear_bin"](spark, SF_SMALL))
+    assert "ReadSchema: struct<tool_wear_min:int,target:int>" in plan
+
+
+def test_derivation_prunes_events(spark):
+    from sensorlab.sources.fixture import sensor_table
+    plan = _plan(sensor_table(spark, SF_SMALL, materialize=False))
     assert "ReadSchema: struct<event_id:bigint,user_id:bigint,event_type:string,value:double>" in plan
     assert "props" not in plan and "ts:" not in plan
 
 
+def test_high_stress_filter_reaches_scan(spark):
+    df = queries()["eda_high_stress"](spark, SF_SMALL)
+    plan = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    assert "GreaterThan(rotational_speed_rpm,1800)" in plan and "GreaterThan(torque_nm,60.0)" in plan
+
+
 def test_partial_aggregation_before_exchange(spark):
     df = queries()["dedupe_by_key"](spark, SF_SMALL)
     plan = df._jdf.queryExecution().executedPlan().toString()
