@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorlab.functions.exprs import any_null
-from sensorlab.schema import (NO_FAILURE, NULL_CHECKED, SENSOR_COLUMNS, TEMP_MAX_K,
-                              TEMP_MIN_K, UNSPECIFIED_FAILURE)
+from sensorlab.schema import (NO_FAILURE, NULL_CHECKED, TEMP_MAX_K, TEMP_MIN_K,
+                              UNSPECIFIED_FAILURE)
 
 c = F.col
 
@@ -152,8 +152,9 @@ DEDUPE_ORDER = ["air_temperature_k", "process_temperature_k", "rotational_speed_
 def dedupe_by_key(df: DataFrame, key: str = "udi") -> DataFrame:
     """One row per key: the smallest row by ``DEDUPE_ORDER`` (NULLs first).
 
-    ``min(struct(...))`` is a hash aggregate with a map-side partial step, so a key that
-    holds a third of all rows is reduced before the shuffle, unlike a window that would
+    ``min(struct(...))`` is an aggregate with a map-side partial step (sort-based: a
+    struct with strings has no fixed-width buffer), so a key that holds a third of all
+    rows is reduced to one row per task before the shuffle, unlike a window that would
     pull the whole key into one task.
     """
     order = [x for x in DEDUPE_ORDER if x in df.columns and x != key]
@@ -170,7 +171,3 @@ def clean(raw: DataFrame) -> DataFrame:
 def clean_unique(raw: DataFrame, key: str = "udi") -> DataFrame:
     """Clean view with one row per key (needed by splits, folds and SMOTE)."""
     return dedupe_by_key(clean(raw), key)
-
-
-__all__ = [name for name in dir() if name.startswith(("dq_", "fix_", "verify_", "clean", "dedupe"))]
-__all__ += ["SENSOR_COLUMNS"]

@@ -19,7 +19,6 @@ every result is reproducible and independent of partitioning.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -29,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sensorlab.functions.exprs import key_hash
+from sensorlab.functions.exprs import dround, key_hash
 from sensorlab.functions.ordered import running_totals
 from sensorlab.session import cut_lineage
 
@@ -101,7 +100,6 @@ class ScalerModel:
         for f, m in self.means.items():
             z = (c(f) - F.lit(m)) / F.lit(self.stds[f])
             if digits is not None:
-                from sensorlab.functions.exprs import dround
                 z = dround(z, digits)
             out = out.withColumn(f, z)
         return out
@@ -169,7 +167,6 @@ def knn_within_class(df: DataFrame, features: Sequence[str], k: int = 5, label:
 
     Returns (key, neighbor_key, rank 1..k, distance)."""
     feats = list(features)
-    spark = df.sparkSession
     base = df.select(c(key).alias("_key"), c(label).alias("_cls"), *[c(f).cast("double").alias(f) for f in feats])
     # the class rows are read by the axis choice, the range bounds and the ranking:
     # materialise them once rather than re-running the caller's lineage each time
@@ -312,20 +309,7 @@ def smote(df: DataFrame, features: Sequence[str], label: str = "label", key: str
     return originals.unionByName(synthetic)
 
 
-def smote_parts(df: DataFrame, features: Sequence[str], **kw) -> DataFrame:
-    """Synthetic rows with their base and neighbour keys (for property checks)."""
-    return smote(df, features, **kw)
-
-
 def class_balance(before: DataFrame, after: DataFrame, label: str = "label") -> DataFrame:
     b = before.groupBy(label).agg(F.count(F.lit(1)).alias("before"))
     a = after.groupBy(label).agg(F.count(F.lit(1)).alias("after"))
     return b.join(a, label, "full").fillna(0, ["before", "after"])
-
-
-def ceil_div(a: int, b: int) -> int:
-    return -(-a // b)
-
-
-__all__ = ["stratified_split", "stratified_folds", "fit_standard_scaler", "standard_scale",
-           "ScalerModel", "knn_within_class", "smote", "class_balance", "dense_index", "math"]

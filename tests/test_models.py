@@ -22,7 +22,6 @@ def test_tree_beats_majority_and_reloads(spark, setup, tmp_path):
     test_rows = models.test_features(feats, prep)
     scored = models.score(b, test_rows).cache()
     acc = evaluate.metrics_binary(scored).first()["accuracy"]
-    majority = scored.agg(F.max(F.col("n"))).first()[0] if False else None
     counts = [r["count"] for r in scored.groupBy("label").count().collect()]
     assert acc > max(counts) / sum(counts)
     path = str(tmp_path / "bundle")

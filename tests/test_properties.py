@@ -31,8 +31,6 @@ def test_split_independent_of_partitioning(spark, prep_binary):
 
 def test_folds_balanced(spark, prep_binary):
     f = sampling.stratified_folds(prep_binary, k=5)
-    for r in f.groupBy("label").agg(F.min("n"), F.max("n")).collect() if False else []:
-        pass
     counts = f.groupBy("label", "fold").count().collect()
     by_label = {}
     for r in counts:
