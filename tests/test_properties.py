@@ -121,3 +121,24 @@ def test_knn_class_smaller_than_k(spark):
     for r in got:
         by.setdefault(r["udi"], []).append(r["neighbor_udi"])
     assert all(sorted(v) == sorted(set(range(4)) - {u}) for u, v in by.items()) and len(by) == 4
+
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(sizes=st.lists(st.integers(min_value=1, max_value=400), min_size=1, max_size=4),
+       frac=st.sampled_from([0.1, 0.2, 0.25, 0.5]), seed=st.integers(0, 1000))
+def test_split_quota_property(spark, sizes, frac, seed):
+    rows, uid = [], 0
+    for cls, n in enumerate(sizes):
+        for _ in range(n):
+            rows.append((uid * 7 + 3, cls))
+            uid += 1
+    df = spark.createDataFrame(rows, "udi long, label int")
+    out = sampling.stratified_split(df, test_fraction=frac, seed=seed, buckets=16)
+    got = {r["label"]: (r["n"], r["t"]) for r in
+           out.groupBy("label").agg(F.count("*").alias("n"), F.count_if("is_test").alias("t")).collect()}
+    for cls, n in enumerate(sizes):
+        assert got[cls] == (n, int(np.floor(frac * n + 0.5)))
