@@ -45,9 +45,9 @@ def range_bounds(df: DataFrame, order_col: str, n_ranges: int | None = None) ->
 
 
 def range_bucket(df: DataFrame, order_col: str, out_col: str = "_rng",
-                 n_ranges: int | None = None) -> DataFrame:
+                 n_ranges: int | None = None, bounds: list[float] | None = None) -> DataFrame:
     """Adds a deterministic range index of ``order_col`` (0..B-1, ascending)."""
-    bounds = range_bounds(df, order_col, n_ranges)
+    bounds = range_bounds(df, order_col, n_ranges) if bounds is None else bounds
     if not bounds:
         return df.withColumn(out_col, F.lit(0.0))
     splits = [-math.inf, *bounds, math.inf]
@@ -66,7 +66,16 @@ def running_totals(df: DataFrame, order_col: str, value_cols: Sequence[str],
     make the order total; otherwise tied rows are summed in an arbitrary order.
     """
     g = list(groups)
-    ranged = range_bucket(df, order_col, n_ranges=n_ranges)
+    bounds = range_bounds(df, order_col, n_ranges)
+    if not bounds:
+        # a single range means at most ROWS_PER_RANGE rows: one window, no offsets
+        w_one = (Window.partitionBy(*g).orderBy(order_col, *tiebreak)
+                 .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        out = df
+        for v in value_cols:
+            out = out.withColumn(f"{v}{suffix}", F.sum(v).over(w_one))
+        return out
+    ranged = range_bucket(df, order_col, bounds=bounds)
     totals = ranged.groupBy(*g, "_rng").agg(*[F.sum(v).alias(f"_t_{v}") for v in value_cols])
     w_off = (Window.partitionBy(*g).orderBy("_rng")
              .rowsBetween(Window.unboundedPreceding, -1))
@@ -98,6 +107,26 @@ def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float],
     counts = cut_lineage(counts)
     cum = running_totals(counts, "_x", ["_n"], groups=g)
     cum = cum.withColumn("_before", c("_n_cum") - c("_n"))
+    if not g:
+        # one group: the positions are a few numbers; select the rows that hold them
+        size = int(counts.agg(F.sum("_n")).first()[0] or 0)
+        picks = []
+        for p in probs:
+            h = p * (size - 1)
+            lo, hi = math.floor(h), math.ceil(h)
+            at = lambda k: (F.lit(k) >= c("_before")) & (F.lit(k) < c("_n_cum"))
+            picks.append(cum.where(at(lo) | at(hi)).select(
+                F.lit(float(p)).alias("p"), F.lit(h - lo).alias("_frac"),
+                F.when(at(lo), c("_x")).alias("_vlo"), F.when(at(hi), c("_x")).alias("_vhi")))
+        if size == 0:
+            return df.sparkSession.createDataFrame([], "p double, quantile double")
+        both = picks[0]
+        for extra in picks[1:]:
+            both = both.unionByName(extra)
+        agg = both.groupBy("p").agg(F.max("_vlo").alias("_vlo"), F.max("_vhi").alias("_vhi"),
+                                    F.first("_frac").alias("_frac"))
+        q = c("_vlo") + (c("_vhi") - c("_vlo")) * c("_frac")
+        return agg.select("p", q.cast("double").alias("quantile"))
     sizes = counts.groupBy(*g).agg(F.sum("_n").alias("_size"))
     parr = F.array(*[F.lit(float(p)) for p in probs])
     pos = (sizes.select(*g, "_size", F.explode(parr).alias("p"))

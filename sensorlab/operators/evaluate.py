@@ -158,14 +158,14 @@ def roc_curve(df: DataFrame, label: str = "label", score: str = "score", positiv
     """(threshold, fpr, tpr) per distinct score: rates of rows scored >= threshold."""
     per_score = cut_lineage(_score_counts(df, label, score, positive))  # read 4 times
     cum = running_totals(per_score, "score", ["pos", "neg"])
-    totals = per_score.agg(F.sum("pos").alias("_P"), F.sum("neg").alias("_N"))
-    # totals is one row; attached as a broadcast join on a constant key
-    j = cum.withColumn("_k", F.lit(0)).join(F.broadcast(totals.withColumn("_k", F.lit(0))), "_k")
-    above_pos = c("_P") - (c("pos_cum") - c("pos"))
-    above_neg = c("_N") - (c("neg_cum") - c("neg"))
-    return j.select(c("score").alias("threshold"),
-                    dround(_ratio0(above_neg, c("_N")), DIGITS).alias("fpr"),
-                    dround(_ratio0(above_pos, c("_P")), DIGITS).alias("tpr"))
+    # the class totals are two numbers: bring them to the driver as literals
+    t = per_score.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).first()
+    P, N = F.lit(int(t["P"] or 0)), F.lit(int(t["N"] or 0))
+    above_pos = P - (c("pos_cum") - c("pos"))
+    above_neg = N - (c("neg_cum") - c("neg"))
+    return cum.select(c("score").alias("threshold"),
+                      dround(_ratio0(above_neg, N), DIGITS).alias("fpr"),
+                      dround(_ratio0(above_pos, P), DIGITS).alias("tpr"))
 
 
 def business_impact(df: DataFrame, label: str = "label", pred: str = "prediction",
