@@ -21,7 +21,7 @@ SEED = 42
 
 
 def prep_binary(s, sf):
-    return preprocess.prepared(unique_featured(s, sf), "binary")[0]
+    return preprocess.prepared_frame(unique_featured(s, sf), "binary")
 
 
 def train_part(s, sf):
@@ -104,8 +104,8 @@ def _smote(s, sf):
     return sampling.smote(scaler.transform(tr), _F, seed=SEED)
 
 
-register("preprocess_pipeline")(
+register("preprocess_train_binary")(
     lambda s, sf: preprocess.preprocess_pipeline(unique_featured(s, sf), "binary").train)
 
-register("preprocess_pipeline_multiclass")(
+register("preprocess_train_multiclass")(
     lambda s, sf: preprocess.preprocess_pipeline(unique_featured(s, sf), "multiclass").train)

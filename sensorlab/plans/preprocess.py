@@ -45,6 +45,22 @@ def prepared(features_df: DataFrame, task: str = "binary",
     return out.select("udi", *[c(f).cast("double").alias(f) for f in NUMERIC_FEATURES], "label"), codes
 
 
+def prepared_frame(features_df: DataFrame, task: str = "binary") -> DataFrame:
+    """The frame of ``prepared`` in one plan: the wear-category codes come from a
+    broadcast join with the vocabulary instead of a driver round trip.
+
+    The vocabulary is at most the three labels of ``wear_category`` (a fixed CASE), so
+    the broadcast has a proven bound; its aggregate reads the same deduplicated rows as
+    the main branch, and Spark reuses that shuffle (``ReusedExchange``) instead of
+    running it twice."""
+    base = feat_ops.prepare(features_df, task)
+    vocab = feat_ops.label_codes(base, "wear_category", "_code").select(
+        c("wear_category").alias("_wear"), "_code")
+    coded = (base.join(F.broadcast(vocab), c("wear_category") == c("_wear"), "left")
+             .withColumn("wear_category", c("_code")))
+    return coded.select("udi", *[c(f).cast("double").alias(f) for f in NUMERIC_FEATURES], "label")
+
+
 def split(prep: DataFrame, seed: int = 42, hash_kind: str = "xxhash64",
           test_fraction: float = 0.2) -> tuple[DataFrame, DataFrame]:
     marked = sampling.stratified_split(prep, "label", "udi", test_fraction, seed, hash_kind)
