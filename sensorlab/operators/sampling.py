@@ -126,15 +126,18 @@ def _sq_dist(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Squared distances (len(a) x len(b)), features summed left to right (the same
     order of operations as a SQL sum of squared differences)."""
     d = np.zeros((a.shape[0], b.shape[0]))
+    diff = np.empty_like(d)  # one scratch buffer, reused in place for every feature
     for j in range(a.shape[1]):
-        diff = a[:, j][:, None] - b[:, j][None, :]
-        d += diff * diff
+        np.subtract(a[:, j][:, None], b[:, j][None, :], out=diff)
+        np.multiply(diff, diff, out=diff)
+        np.add(d, diff, out=d)
     return d
 
 
 def _topk(pdf_q: pd.DataFrame, pdf_c: pd.DataFrame, feats: list[str], k: int, exclude_self: bool):
     """k nearest rows of pdf_c for every row of pdf_q as a (key, nb_key, dist) frame;
-    ties broken by the neighbour key.  One vectorised row-wise sort per block."""
+    ties broken by the neighbour key.  The k-th distance of each row comes from a
+    partial sort; only the candidates at or below it (ties included) are sorted."""
     cols = ["_key", "_nb", "_dist"]
     if len(pdf_q) == 0 or len(pdf_c) == 0:
         return pd.DataFrame([], columns=cols)
@@ -146,12 +149,14 @@ def _topk(pdf_q: pd.DataFrame, pdf_c: pd.DataFrame, feats: list[str], k: int, ex
     if exclude_self:
         d[qk[:, None] == ck[None, :]] = np.inf
     kk = min(k, b.shape[0])
-    keys = np.broadcast_to(ck, d.shape)
-    order = np.lexsort((keys, d), axis=-1)[:, :kk]
-    rows = np.repeat(np.arange(a.shape[0]), kk)
-    sel = order.ravel()
+    kth = np.partition(d, kk - 1, axis=1)[:, kk - 1]
+    rows, sel = np.nonzero(d <= kth[:, None])
     dist = d[rows, sel]
-    keep = np.isfinite(dist)
+    order = np.lexsort((ck[sel], dist, rows))
+    rows, sel, dist = rows[order], sel[order], dist[order]
+    # position of each candidate inside its row (rows are sorted): keep the first kk
+    pos = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left")
+    keep = (pos < kk) & np.isfinite(dist)
     return pd.DataFrame({"_key": qk[rows][keep], "_nb": ck[sel][keep], "_dist": dist[keep]}, columns=cols)
 
 
