@@ -167,15 +167,18 @@ def _widest_axis(df: DataFrame, label: str, feats: list[str]) -> str:
 
 
 def knn_within_class(df: DataFrame, features: Sequence[str], k: int = 5, label: str = "label",
-                     key: str = "udi", block_size: int = 512) -> DataFrame:
+                     key: str = "udi", block_size: int = 512, materialized: bool = False) -> DataFrame:
     """k nearest same-class rows (Euclidean, ties by neighbour key), exact.
 
-    Returns (key, neighbor_key, rank 1..k, distance)."""
+    Returns (key, neighbor_key, rank 1..k, distance).  ``materialized=True`` says ``df``
+    is already a cheap read (a filter / projection of a checkpoint), so it is not
+    written out again."""
     feats = list(features)
     base = df.select(c(key).alias("_key"), c(label).alias("_cls"), *[c(f).cast("double").alias(f) for f in feats])
     # the class rows are read by the axis choice, the range bounds and the ranking:
     # materialise them once rather than re-running the caller's lineage each time
-    base = cut_lineage(base)
+    if not materialized:
+        base = cut_lineage(base)
     axis = _widest_axis(base, "_cls", feats)
     # exact rank along the axis inside each class, without a whole-class window
     ones = base.withColumn("_one", F.lit(1)).withColumn("_ax", c(axis))
@@ -280,7 +283,7 @@ def smote(df: DataFrame, features: Sequence[str], label: str = "label", key: str
             raise ValueError(f"class {cl!r} has {n} rows; SMOTE needs more than k={k}")
     small = df.where(c(label).isin(list(need)))
     k_eff = {cl: (min(k, counts[cl] - 1) if k_cap else k) for cl in need}
-    nn = knn_within_class(small, feats, k=k, label=label, key=key)
+    nn = knn_within_class(small, feats, k=k, label=label, key=key, materialized=True)
     indexed = dense_index(small, label, key, seed)
     # synthetic ids: one range, cut into per-class slices by cumulative offsets
     order = sorted(need, key=str)
