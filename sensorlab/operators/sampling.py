@@ -262,16 +262,19 @@ def dense_index(df: DataFrame, label: str, key: str, seed: int = 42) -> DataFram
 
 
 def smote(df: DataFrame, features: Sequence[str], label: str = "label", key: str = "udi",
-          k: int = 5, seed: int = 42, k_cap: bool = False) -> DataFrame:
+          k: int = 5, seed: int = 42, k_cap: bool = False, materialized: bool = False) -> DataFrame:
     """Lift every class to the size of the largest one with synthetic rows
     x + u * (neighbour - x), u in [0, 1), neighbour one of the k nearest same-class rows.
 
     Returns the input rows (``is_synthetic`` false) plus the synthetic ones (negative keys).
-    A class with n_c <= k raises, as the library does, unless ``k_cap`` uses n_c - 1."""
+    A class with n_c <= k raises, as the library does, unless ``k_cap`` uses n_c - 1.
+    ``materialized=True``: ``df`` is already a cheap read of a checkpoint."""
     feats = list(features)
     spark = df.sparkSession
     # the input is read by the class counts, the k-NN, the dense index and both joins
-    df = cut_lineage(df.select(key, label, *feats))
+    df = df.select(key, label, *feats)
+    if not materialized:
+        df = cut_lineage(df)
     counts = {r[0]: int(r[1]) for r in df.groupBy(label).count().collect()}  # one row per class
     n_max = max(counts.values())
     need = {cl: n_max - n for cl, n in counts.items() if n < n_max}

@@ -24,8 +24,8 @@ def prep_binary(s, sf):
     return preprocess.prepared_frame(unique_featured(s, sf), "binary")
 
 
-def train_part(s, sf):
-    return preprocess.split(prep_binary(s, sf), SEED, "arith")[0]
+def train_part(s, sf, materialize=False):
+    return preprocess.split(prep_binary(s, sf), SEED, "arith", materialize=materialize)[0]
 
 
 _PREP_SQL = """p AS (
@@ -64,7 +64,7 @@ FROM train, st""")(
 
 
 def _scaled(s, sf):
-    tr = train_part(s, sf)
+    tr = train_part(s, sf, materialize=True)  # read by the fit and by the transform
     return sampling.fit_standard_scaler(tr, _F).transform(tr, digits=6).select("udi", "label", *_F)
 
 _DIST = " + ".join(f"(a.{f} - b.{f}) * (a.{f} - b.{f})" for f in SENSORS)
@@ -78,7 +78,7 @@ SELECT udi, neighbor_udi, CAST(rank AS INT) AS rank, ROUND(distance, 6) AS dista
 
 def _knn(s, sf):
     from sensorlab.functions.exprs import dround
-    nn = sampling.knn_within_class(train_part(s, sf), SENSORS, k=5)
+    nn = sampling.knn_within_class(train_part(s, sf, materialize=True), SENSORS, k=5, materialized=True)
     return nn.withColumn("distance", dround("distance", 6))
 
 
@@ -89,9 +89,9 @@ SELECT label, before, (SELECT MAX(before) FROM b) AS after FROM b""")(
 
 
 def _class_balance(s, sf):
-    tr = preprocess.split(prep_binary(s, sf), SEED, "arith")[0]
+    tr = train_part(s, sf, materialize=True)
     scaler = sampling.fit_standard_scaler(tr, _F)
-    bal = sampling.smote(scaler.transform(tr), _F, seed=SEED)
+    bal = sampling.smote(scaler.transform(tr), _F, seed=SEED, materialized=True)
     return sampling.class_balance(tr, bal)
 
 
@@ -99,9 +99,9 @@ register("smote")(lambda s, sf: _smote(s, sf))
 
 
 def _smote(s, sf):
-    tr = train_part(s, sf)
+    tr = train_part(s, sf, materialize=True)
     scaler = sampling.fit_standard_scaler(tr, _F)
-    return sampling.smote(scaler.transform(tr), _F, seed=SEED)
+    return sampling.smote(scaler.transform(tr), _F, seed=SEED, materialized=True)
 
 
 register("preprocess_train_binary")(

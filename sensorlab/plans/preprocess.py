@@ -62,8 +62,13 @@ def prepared_frame(features_df: DataFrame, task: str = "binary") -> DataFrame:
 
 
 def split(prep: DataFrame, seed: int = 42, hash_kind: str = "xxhash64",
-          test_fraction: float = 0.2) -> tuple[DataFrame, DataFrame]:
+          test_fraction: float = 0.2, materialize: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(train, test).  ``materialize`` writes the marked rows (numeric columns only) once
+    to the shared checkpoint folder, so the scaler fit, the transforms and SMOTE read
+    them instead of re-running the deduplicating shuffle each."""
     marked = sampling.stratified_split(prep, "label", "udi", test_fraction, seed, hash_kind)
+    if materialize:
+        marked = cut_lineage(marked)
     return (marked.where(~c("is_test")).drop("is_test"), marked.where(c("is_test")).drop("is_test"))
 
 
@@ -80,11 +85,12 @@ def preprocess_pipeline(features_df: DataFrame, task: str = "binary", seed: int
                         hash_kind: str = "xxhash64", k: int = 5, oversample: bool = True,
                         k_cap: bool = False) -> Prepared:
     prep, codes = prepared(features_df, task)
-    train, test = split(prep, seed, hash_kind)
+    train, test = split(prep, seed, hash_kind, materialize=True)
     scaler = sampling.fit_standard_scaler(train, NUMERIC_FEATURES)
     train_s, test_s = scaler.transform(train), scaler.transform(test)
     if oversample:
-        balanced = sampling.smote(train_s, NUMERIC_FEATURES, "label", "udi", k=k, seed=seed, k_cap=k_cap)
+        balanced = sampling.smote(train_s, NUMERIC_FEATURES, "label", "udi", k=k, seed=seed, k_cap=k_cap,
+                                  materialized=True)
     else:
         balanced = train_s.withColumn("is_synthetic", F.lit(False))
     # every estimator makes many passes over the training rows: materialise them once in
