@@ -45,20 +45,23 @@ def prepared(features_df: DataFrame, task: str = "binary",
     return out.select("udi", *[c(f).cast("double").alias(f) for f in NUMERIC_FEATURES], "label"), codes
 
 
-def prepared_frame(features_df: DataFrame, task: str = "binary") -> DataFrame:
+def prepared_frame(features_df: DataFrame, task: str = "binary",
+                   keep_wear_label: bool = False) -> DataFrame:
     """The frame of ``prepared`` in one plan: the wear-category codes come from a
     broadcast join with the vocabulary instead of a driver round trip.
 
     The vocabulary is at most the three labels of ``wear_category`` (a fixed CASE), so
     the broadcast has a proven bound; its aggregate reads the same deduplicated rows as
     the main branch, and Spark reuses that shuffle (``ReusedExchange``) instead of
-    running it twice."""
+    running it twice.  ``keep_wear_label`` also keeps the label as ``_wear_label`` (for
+    reading the code mapping back later)."""
     base = feat_ops.prepare(features_df, task)
     vocab = feat_ops.label_codes(base, "wear_category", "_code").select(
         c("wear_category").alias("_wear"), "_code")
     coded = (base.join(F.broadcast(vocab), c("wear_category") == c("_wear"), "left")
              .withColumn("wear_category", c("_code")))
-    return coded.select("udi", *[c(f).cast("double").alias(f) for f in NUMERIC_FEATURES], "label")
+    label = [c("_wear").alias("_wear_label")] if keep_wear_label else []
+    return coded.select("udi", *[c(f).cast("double").alias(f) for f in NUMERIC_FEATURES], "label", *label)
 
 
 def split(prep: DataFrame, seed: int = 42, hash_kind: str = "xxhash64",
@@ -84,8 +87,14 @@ class Prepared:
 def preprocess_pipeline(features_df: DataFrame, task: str = "binary", seed: int = 42,
                         hash_kind: str = "xxhash64", k: int = 5, oversample: bool = True,
                         k_cap: bool = False) -> Prepared:
-    prep, codes = prepared(features_df, task)
+    # one pass over the deduplicated rows: the split is materialised with the wear label,
+    # and the code mapping (at most three rows) is read back from that narrow checkpoint
+    prep = prepared_frame(features_df, task, keep_wear_label=True)
     train, test = split(prep, seed, hash_kind, materialize=True)
+    pairs = (train.unionByName(test).where(c("_wear_label").isNotNull())
+             .select("_wear_label", "wear_category").distinct().collect())
+    codes = {r[0]: int(r[1]) for r in sorted(pairs, key=lambda r: r[1])}
+    train, test = train.drop("_wear_label"), test.drop("_wear_label")
     scaler = sampling.fit_standard_scaler(train, NUMERIC_FEATURES)
     train_s, test_s = scaler.transform(train), scaler.transform(test)
     if oversample:
