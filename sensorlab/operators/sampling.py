@@ -12,7 +12,7 @@ every result is reproducible and independent of partitioning.
   closer row (their interval on the axis must come within that distance), and only
   those block pairs are compared; the pairs are found by a binned range join (axis
   cells, equi-join), not by comparing all blocks.  Exact, and no task ever holds more
-  than two blocks.
+  than 1 + PAIR_BATCH blocks.
 * SMOTE: synthetic rows come from ``spark.range``; base row, neighbour and gap are
   hashes of the synthetic row's id; base and neighbour features arrive by equi-joins.
 """
@@ -160,6 +160,11 @@ def _topk(pdf_q: pd.DataFrame, pdf_c: pd.DataFrame, feats: list[str], k: int, ex
     return pd.DataFrame({"_key": qk[rows][keep], "_nb": ck[sel][keep], "_dist": dist[keep]}, columns=cols)
 
 
+# Candidate blocks compared with one query block per task (a task holds at most
+# 1 + PAIR_BATCH blocks of 2 * block_size - 1 rows).
+PAIR_BATCH = 4
+
+
 def _widest_axis(df: DataFrame, label: str, feats: list[str]) -> str:
     row = df.groupBy(label).agg(*[F.var_pop(c(f).cast("double")).alias(f) for f in feats]) \
             .agg(*[F.sum(f).alias(f) for f in feats]).first()
@@ -228,10 +233,15 @@ def knn_within_class(df: DataFrame, features: Sequence[str], k: int = 5, label:
     pairs = (q.join(t, ["_cls", "_cell"])
              .where((c("_qb") != c("_tb")) & (c("_tlo") <= c("_qhi")) & (c("_thi") >= c("_qlo")))
              .select(c("_cls").alias("_pc"), "_qb", "_tb").distinct())
-    qrows = (rows_r.join(pairs, (c("_cls") == c("_pc")) & (c("_blk") == c("_qb")))
-             .select("_cls", "_qb", "_tb", "_key", *feats, "_rk").withColumn("_role", F.lit("q")))
+    # up to PAIR_BATCH candidate blocks of one query block share a task: the window runs
+    # over the (small) pair table, one partition per query block
+    w_pb = Window.partitionBy("_pc", "_qb").orderBy("_tb")
+    pairs = pairs.withColumn("_bt", F.floor((F.row_number().over(w_pb) - 1) / PAIR_BATCH))
+    batches = pairs.select("_pc", "_qb", "_bt").distinct()
+    qrows = (rows_r.join(batches, (c("_cls") == c("_pc")) & (c("_blk") == c("_qb")))
+             .select("_cls", "_qb", "_bt", "_key", *feats, "_rk").withColumn("_role", F.lit("q")))
     trows = (rows.join(pairs, (c("_cls") == c("_pc")) & (c("_blk") == c("_tb")))
-             .select("_cls", "_qb", "_tb", "_key", *feats, F.lit(None).cast("double").alias("_rk"))
+             .select("_cls", "_qb", "_bt", "_key", *feats, F.lit(None).cast("double").alias("_rk"))
              .withColumn("_role", F.lit("t")))
 
     def cross_block(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -243,7 +253,7 @@ def knn_within_class(df: DataFrame, features: Sequence[str], k: int = 5, label:
         rk = pd.Series(qd["_rk"].to_numpy(), index=qd["_key"].to_numpy())
         return out[out["_dist"].to_numpy() <= rk.reindex(out["_key"].to_numpy()).to_numpy()]
 
-    remote = qrows.unionByName(trows).groupBy("_cls", "_qb", "_tb").applyInPandas(cross_block, out_schema)
+    remote = qrows.unionByName(trows).groupBy("_cls", "_qb", "_bt").applyInPandas(cross_block, out_schema)
     cand = local.unionByName(remote)
     # keep the k best per row: partial aggregation of at most k x (#candidate blocks) rows per key
     best = cand.groupBy("_key").agg(F.sort_array(F.collect_list(F.struct("_dist", "_nb"))).alias("_c"))
