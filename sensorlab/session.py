@@ -2,14 +2,15 @@
 
 Library code never creates a session on its own; callers pass one in. ``get_spark`` is
 for tests, scripts and the bench. ``checkpoint_dir`` reads the cluster's shared
-``spark.checkpoint.dir`` and only falls back to a scratch folder when none is set (local
-runs), so lineage cuts always land on storage every executor can read.
+``spark.checkpoint.dir`` and otherwise takes a folder on Hadoop's default filesystem, so
+lineage cuts always land on storage every executor can read.
 """
 
 from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,7 +49,10 @@ def app_id(spark: SparkSession) -> str:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder; set a scratch one only when the session has none."""
+    """The shared checkpoint folder.
+
+    ``spark.checkpoint.dir`` if the session has it; otherwise a folder of this application
+    on Hadoop's default filesystem, which is the shared one on a cluster."""
     sc = _context(spark)
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -58,11 +62,35 @@ def checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
-    local = tempfile.mkdtemp(prefix="sensorlab-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    if sc is not None:
-        sc.setCheckpointDir(local)
-    return local
+    if sc is None:
+        raise ValueError("set spark.checkpoint.dir to a folder that every executor can read")
+    fs = sc._jvm.org.apache.hadoop.fs.FileSystem.get(sc._jsc.hadoopConfiguration())
+    shared = fs.makeQualified(sc._jvm.org.apache.hadoop.fs.Path(f"/tmp/sensorlab/{app_id(spark)}")).toString()
+    sc.setCheckpointDir(shared)
+    return shared
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's source to the Python workers, once per application.
+
+    Functions that run in Python workers are pickled by reference, so the workers must be
+    able to import the package even where it is only on the driver's path."""
+    sc = _context(spark)
+    if sc is None or app_id(spark) in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    fd, path = tempfile.mkstemp(prefix="sensorlab-", suffix=".zip")  # read by the driver only
+    with os.fdopen(fd, "wb") as out, zipfile.ZipFile(out, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(path)
+    _SHIPPED.add(app_id(spark))
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
