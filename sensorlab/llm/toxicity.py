@@ -1,7 +1,7 @@
 """Toxicity by a linear-chain conditional random field over tokens (operator 5).
 
 1. Over every labelled training row, Spark counts in how many toxic and clean documents a
-   word, its first 4 letters and its first 5 letters occur (hashed into 2**TABLE_BITS slots
+   word and its first 4, 5, 6 and 7 letters occur (hashed into 2**TABLE_BITS slots
    each, a fixed bound on what reaches the driver).  A slot's log-odds are shrunk towards 0.
 2. Tokens of toxic training documents whose log-odds are high are labelled toxic, all other
    tokens clean.  A two-state CRF with the binned log-odds as features is fitted to a
@@ -37,11 +37,13 @@ c = F.col
 U64 = np.uint64
 
 TABLE_BITS = 18
-KINDS = 3                      # word, first 4 letters, first 5 letters
+PREFIXES = (None, 4, 5, 6, 7)  # the whole word and its first letters
+KINDS = len(PREFIXES)
 EDGES = np.array([-1.0, -0.3, 0.3, 1.0, 1.7, 2.4])   # bins of log-odds
 BINS = len(EDGES) + 1
-PRIOR_WEIGHT = 20.0            # documents of prior in a slot's rate
-TOXIC_ODDS = 1.7               # log-odds from which a token of a toxic document is labelled
+LEAST_PRIOR = 8.0              # documents of prior in a slot's rate, at least; grows with the
+PRIOR_SHARE = 0.01             # toxic documents, as groups of near copies do
+TOXIC_ODDS = 1.5               # log-odds from which a token of a toxic document is labelled
 SAMPLE_DOCS, SAMPLE_TOKENS = 2000, 400
 STEPS, RATE, PENALTY = 80, 0.2, 1e-4
 SIGNALS = ["top", "mass", "share"]
@@ -69,7 +71,7 @@ def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     signs = np.flatnonzero((data & 0xC0) != 0x80)          # first byte of every character
     number = np.searchsorted(signs, start)
     slots = np.empty((KINDS, len(start)), np.int64)
-    for kind, letters in enumerate((None, 4, 5)):
+    for kind, letters in enumerate(PREFIXES):
         stop = end
         if letters:
             at = number + letters
@@ -194,7 +196,8 @@ def train(labelled: DataFrame) -> Field | None:
     counts = np.zeros((2, KINDS << TABLE_BITS))
     counts[1][got["slot"]], counts[0][got["slot"]] = got["toxic"], got["clean"]
     prior = docs[1] / (docs[0] + docs[1])
-    rate = (counts[1] + PRIOR_WEIGHT * prior) / (counts.sum(axis=0) + PRIOR_WEIGHT)
+    weight = max(LEAST_PRIOR, PRIOR_SHARE * docs[1])
+    rate = (counts[1] + weight * prior) / (counts.sum(axis=0) + weight)
     rate = np.clip(rate, 1e-6, 1 - 1e-6)
     field = Field(np.log(rate / (1 - rate)) - np.log(prior / (1 - prior)))
 
