@@ -16,9 +16,11 @@ also signs with every segment and its one-deletion neighbourhood under a separat
 two such documents agree up to one deletion in some segment, as 2 m_j > H.
 
 Verification is exact, on the texts.  Equal sets are one representative.  Members of a
-signature are first compared with its smallest member only; members that are still in
-different components after that are compared pairwise, if sizes and the positions of the
-shared element allow the threshold.  Nothing is capped.
+signature are first compared with its smallest member only.  Members that are still in
+different components after that are compared pairwise inside a task, in blocks of
+``BLOCK`` members, by their parity sketches: bit b of a sketch is the parity of the shingles
+hashed to b, so two sketches never differ in more bits than their sets differ in shingles.
+Only pairs whose sketches allow the threshold leave the task.  Nothing is capped.
 
 Nulls, empty texts: no shingles, no links, a component of their own.  Rows with a null id
 are dropped; rows that repeat an id must repeat its text.  Extra columns are ignored.
@@ -49,6 +51,8 @@ PERCENT = 75
 # documents; frequent shingles only change the order of elements, never the result.
 FREQUENT_SHARE = 0.002
 FREQUENT_IN_BLOCK = 3
+LEAST_SKETCH = 1024      # bits of the smallest parity sketch; larger sets have 2 to 4 bits a shingle
+BLOCK = 1024             # members of a signature in one block of pairwise comparisons
 
 
 def segments(band: np.ndarray) -> np.ndarray:
@@ -66,6 +70,106 @@ def max_partner(a, percent: int):
     return (100 * a) // percent
 
 
+# ------------------------------------------------------------------ parity sketches
+def sketches(n: np.ndarray, row: np.ndarray, h: np.ndarray) -> list[bytes]:
+    """Parity sketch of each document: a power of two of bits, at least twice its shingles."""
+    bits = np.maximum(LEAST_SKETCH, 1 << (np.ceil(np.log2(np.maximum(n, 1))).astype(np.int64) + 1))
+    first = np.cumsum(bits) - bits
+    at = first[row] + ((h >> U64(17)) & (bits[row] - 1).astype(U64)).astype(np.int64)
+    odd = (np.bincount(at, minlength=int(bits.sum())) & 1).astype(np.uint8)
+    packed = np.packbits(odd, bitorder="little").tobytes()
+    return [packed[a // 8:(a + b) // 8] for a, b in zip(first.tolist(), bits.tolist())]
+
+
+def _folded(sketch: bytes, size: int) -> np.ndarray:
+    """The sketch with ``size`` bytes: halves fold onto each other by exclusive or."""
+    x = np.frombuffer(sketch, "<u8")
+    while 8 * len(x) > size:
+        x = x[:len(x) // 2] ^ x[len(x) // 2:]
+    return x
+
+
+def plausible(sketch: list[bytes], n: np.ndarray, percent: int, comp=None):
+    """Pairs (i, j), i < j, whose sizes and sketches allow the threshold; with ``comp`` only pairs
+    of different components."""
+    size = min(map(len, sketch))
+    x = np.stack([_folded(b, size) for b in sketch])
+    first, second = [], []
+    for i in range(len(n) - 1):
+        low, high = np.minimum(n[i], n[i + 1:]), np.maximum(n[i], n[i + 1:])
+        j = np.flatnonzero((100 * low >= percent * high) & (True if comp is None else comp[i + 1:] != comp[i])) + i + 1
+        if len(j):
+            differ = np.bitwise_count(x[j] ^ x[i]).sum(axis=1, dtype=np.int64)
+            j = j[differ <= max_difference(n[i], n[j], percent)]
+            first.append(np.full(len(j), i))
+            second.append(j)
+    none = [np.zeros(0, np.int64)]
+    return np.concatenate(first or none), np.concatenate(second or none)
+
+
+def _star_filter(percent: int):
+    def run(batches):
+        for batch in batches:
+            na, nb, sa, sb = (batch.column(k).to_pylist() for k in range(2, 6))
+            keep = [len(plausible([x, y], np.array([p, q]), percent)[0]) for p, q, x, y in zip(na, nb, sa, sb)]
+            keep = pa.array(keep, pa.int64()).cast(pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(k).filter(keep) for k in (0, 1)], names=["a", "b"])
+    return run
+
+
+def _few(doc, n, comp, sketch, percent):
+    """``plausible`` for a handful of documents, without arrays."""
+    for i in range(len(doc)):
+        for j in range(i + 1, len(doc)):
+            if comp[i] == comp[j] or 100 * min(n[i], n[j]) < percent * max(n[i], n[j]):
+                continue
+            x, y = sketch[i], sketch[j]
+            if len(x) == len(y):
+                differ = (int.from_bytes(x, "little") ^ int.from_bytes(y, "little")).bit_count()
+            else:
+                size = min(len(x), len(y))
+                differ = int(np.bitwise_count(_folded(x, size) ^ _folded(y, size)).sum())
+            if differ <= max_difference(n[i], n[j], percent):
+                yield (doc[i], doc[j]) if doc[i] < doc[j] else (doc[j], doc[i])
+
+
+def _comparing(percent: int):
+    """Plausible pairs of different components in each (sig, i, j) run of sorted rows."""
+    names = ("doc_id", "n", "comp", "sketch")
+
+    def pairs(doc, n, comp, sketch):
+        if len(doc) <= 8:
+            return list(_few(doc, n, comp, sketch, percent))
+        if comp.count(comp[0]) == len(comp):
+            return []
+        i, j = plausible(sketch, np.array(n, dtype=np.int64), percent, np.array(comp))
+        doc = np.array(doc)
+        return list(zip(np.minimum(doc[i], doc[j]).tolist(), np.maximum(doc[i], doc[j]).tolist()))
+
+    def run(batches):
+        last, held = None, ([], [], [], [])       # the run that may go on in the next batch
+        for batch in batches:
+            keys = np.stack([batch.column(k).to_numpy() for k in ("sig", "i", "j")])
+            lists = [batch.column(k).to_pylist() for k in names]
+            cut = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1).tolist(), keys.shape[1]]
+            found = []
+            for lo, hi in zip(cut, cut[1:]):
+                if lo == hi:
+                    continue
+                key, part = keys[:, lo].tolist(), [x[lo:hi] for x in lists]
+                if key == last:
+                    held = tuple(x + y for x, y in zip(held, part))
+                else:
+                    found.extend(pairs(*held))
+                    last, held = key, tuple(part)
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found)], names=["a", "b"])
+        found = pairs(*held)
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found)], names=["a", "b"])
+    return run
+
+
 # ------------------------------------------------------------------ pass 1: sets
 def _sets(k: int):
     def run(batches):
@@ -81,6 +185,7 @@ def _sets(k: int):
                     begin = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
                     one[row[begin]] = np.add.reduceat(tb.mix(h), begin)
                     two[row[begin]] = np.add.reduceat(tb.mix(h ^ U64(0x5851F42D4C957F2D)), begin)
+                sketch = sketches(n, row, h)
                 common, times = np.unique(h, return_counts=True)
                 common, times = common[times >= FREQUENT_IN_BLOCK], times[times >= FREQUENT_IN_BLOCK]
                 a, b = j - i, len(common)
@@ -88,8 +193,9 @@ def _sets(k: int):
                     pa.concat_arrays([ids.slice(i, a).cast(pa.int64()), pa.nulls(b, pa.int64())]),
                     pa.array(np.r_[n, times].astype(np.int64)),
                     pa.array(np.r_[one, common].view(np.int64)),
-                    pa.array(np.r_[two, np.zeros(b, U64)].view(np.int64))],
-                    names=["doc_id", "n", "one", "two"])
+                    pa.array(np.r_[two, np.zeros(b, U64)].view(np.int64)),
+                    pa.array([*sketch, *[None] * b], pa.binary())],
+                    names=["doc_id", "n", "one", "two", "sketch"])
     return run
 
 
@@ -110,9 +216,9 @@ def _elements(tok, seg, m, own, frequent, salt):
     return owner, name, rare, size, begin, order
 
 
-def signatures(n, own, tok, frequent_tokens, percent):
-    """(document, signature, position) of documents with ``n`` shingles each; ``own`` and
-    ``tok`` list the shingles by document."""
+def signatures(n, tok, frequent_tokens, percent):
+    """(document, signature, by deletion) of documents with ``n`` shingles each, listed by
+    document in ``tok``."""
     band = np.floor(np.log2(np.maximum(n, 1))).astype(np.int64)
     band += (1 << (band + 1)) <= n
     band -= (1 << band) > n
@@ -138,7 +244,7 @@ def signatures(n, own, tok, frequent_tokens, percent):
     have = np.bincount(owner, minlength=len(doc))
     position = np.arange(len(owner)) - np.repeat(np.cumsum(have) - have, have)
     take = position <= bound[owner]
-    out = [(doc[owner[take]], name[take], position[take])]
+    out = [(doc[owner[take]], name[take], np.zeros(take.sum(), bool))]
     # documents with too few elements: every segment and its one-deletion neighbourhood
     for v in np.flatnonzero(have <= bound):
         mine = vdoc == v
@@ -149,7 +255,7 @@ def signatures(n, own, tok, frequent_tokens, percent):
         subset = np.r_[sums, sums[s] - t]
         names = tb.mix(subset + tb.mix(where.astype(U64) * U64(0xD6E8FEB86659FD93) + salt[v] + U64(1)))
         names = np.unique(names)
-        out.append((np.full(len(names), doc[v]), names, np.full(len(names), -1)))
+        out.append((np.full(len(names), doc[v]), names, np.ones(len(names), bool)))
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
@@ -165,11 +271,10 @@ def _signing(k: int, percent: int, frequent):
                 has = np.flatnonzero(n)
                 if not len(has):
                     continue
-                doc, sig, position = signatures(n[has], row, h, hot, percent)
+                doc, sig, _ = signatures(n[has], h, hot, percent)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(sig.view(np.int64)), pa.array(ids[i:j][has[doc]].astype(np.int64)),
-                    pa.array(n[has[doc]].astype(np.int32)), pa.array(position.astype(np.int32))],
-                    names=["sig", "doc_id", "n", "at"])
+                    pa.array(sig.view(np.int64)), pa.array(ids[i:j][has[doc]].astype(np.int64))],
+                    names=["sig", "doc_id"])
     return run
 
 
@@ -198,14 +303,6 @@ def _verify(k: int, percent: int):
     return run
 
 
-def _allowed(percent: int):
-    """Size and position conditions on a pair (x, y) that shares one element of each list."""
-    total = c("x.n") + c("y.n")
-    bound = total - 2 * F.ceil(percent * total / (100.0 + percent))
-    small, large = F.least("x.n", "y.n"), F.greatest("x.n", "y.n")
-    return (100 * small >= percent * large) & (F.greatest("x.at", "y.at") <= bound)
-
-
 def linked(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose texts link.  A pair moves its two texts once."""
     left = pairs.join(texts.select(c("doc_id").alias("a"), c("text").alias("ta")), "a")
@@ -221,7 +318,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     ship_package(spark)
     texts = docs.select(c(id_col).cast("long").alias("doc_id"),
                         F.coalesce(c(text_col), F.lit("")).alias("text")).where(c("doc_id").isNotNull())
-    first = written(texts.mapInArrow(_sets(k), "doc_id long, n long, one long, two long"), "sets")
+    first = written(texts.mapInArrow(_sets(k), "doc_id long, n long, one long, two long, sketch binary"), "sets")
     sets = first.where(c("doc_id").isNotNull()).dropDuplicates(["doc_id"])
     total = first.where(c("doc_id").isNotNull()).count()
     # at most (shingles of all documents) / (share * documents): a bound on the average
@@ -236,37 +333,39 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     groups = written(groups, "groups")
     member = written(
         sets.alias("s").join(groups.alias("g"), [c(f"s.{x}") == c(f"g.{x}") for x in ("n", "one", "two")], "left")
-        .select("s.doc_id", "s.n", F.when(c("s.n") > 0, F.coalesce("g.representative", "s.doc_id"))
+        .select("s.doc_id", "s.n", "s.sketch", F.when(c("s.n") > 0, F.coalesce("g.representative", "s.doc_id"))
                 .alias("representative")), "members")
     copies = written(member.where("n = 0 or representative <> doc_id").select("doc_id"), "copies")
     unique = texts.dropDuplicates(["doc_id"]) if _repeats(first, total) else texts
     signers = unique.join(checked(copies), "doc_id", "left_anti")
-    signed = signers.mapInArrow(_signing(k, percent, frequent), "sig long, doc_id long, n int, at int")
-
-    by_size = Window.partitionBy("sig").orderBy("doc_id").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = signed.withColumn("star", F.first(F.struct("doc_id", "n", "at")).over(by_size))
-    # a signature of one document is dropped here; its first member travels with the others
-    shared = written(ranked.where("star.doc_id <> doc_id"), "shared")
-    star = written(
-        shared.select(c("star").alias("x"), F.struct("doc_id", "n", "at").alias("y"))
-        .where(_allowed(percent)).select(c("x.doc_id").alias("a"), c("y.doc_id").alias("b")).distinct(), "star")
+    signed = signers.mapInArrow(_signing(k, percent, frequent), "sig long, doc_id long")
+
+    by_sig = Window.partitionBy("sig").orderBy("doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    # a signature of one document goes no further; its first member travels with the others
+    shared = written(signed.withColumn("star", F.first("doc_id").over(by_sig)).where("star <> doc_id"), "shared")
+    sketch = member.where("n > 0").select("doc_id", "n", "sketch")
+    star = shared.select(c("star").alias("a"), c("doc_id").alias("b")).distinct()
+    star = (star.join(sketch.toDF("a", "na", "sa"), "a").join(sketch.toDF("b", "nb", "sb"), "b")
+            .select("a", "b", "na", "nb", "sa", "sb").mapInArrow(_star_filter(percent), "a long, b long"))
+    star = written(star, "star")
     links = written(_linked(star, unique, k, percent), "links")
     part = components(links, "a", "b")
 
     # what the first comparison left apart
-    rows = (shared.select("sig", "doc_id", "n", "at")
-            .union(shared.select("sig", "star.*").distinct()))
+    rows = shared.select("sig", "doc_id").union(shared.select("sig", "star").distinct())
     comp = part.select(c("node").alias("_n"), "component")
     rows = written(rows.join(comp, c("doc_id") == c("_n"), "left")
-                   .select("sig", "doc_id", "n", "at", F.coalesce("component", "doc_id").alias("comp")), "rows")
-    split = (rows.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-             .where("lo <> hi").select("sig"))
-    apart = written(rows.join(split, "sig", "left_semi"), "apart")
-    rest = (apart.alias("x").join(apart.alias("y"), (c("x.sig") == c("y.sig")) & (c("x.doc_id") < c("y.doc_id"))
-                                  & (c("x.comp") != c("y.comp")) & _allowed(percent))
-            .select(c("x.doc_id").alias("a"), c("y.doc_id").alias("b")).distinct()
-            .join(star, ["a", "b"], "left_anti"))
-    rest = written(rest, "rest")
+                   .select("sig", "doc_id", F.coalesce("component", "doc_id").alias("comp")), "rows")
+    split = (rows.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("k"))
+             .where("lo <> hi").select("sig", F.ceil(c("k") / BLOCK).cast("long").alias("parts")))
+    mine = F.pmod(F.xxhash64("doc_id"), c("parts"))
+    apart = (rows.join(written(split, "split"), "sig").join(sketch, "doc_id").withColumn("mine", mine)
+             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), c("parts") - 1)))
+             .select("sig", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
+                     "doc_id", "n", "comp", "sketch"))
+    rest = (apart.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j")
+            .mapInArrow(_comparing(percent), "a long, b long").distinct())
+    rest = written(rest.join(star, ["a", "b"], "left_anti"), "rest")
     more = written(_linked(rest, unique, k, percent), "links")
     part = components(links.union(more), "a", "b")
     comp = part.select(c("node").alias("_n"), "component")

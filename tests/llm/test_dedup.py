@@ -52,8 +52,10 @@ def brute_jaccard(docs, k=5, percent=75):
     return {(rows[i][0], len(sets[i]), rows[label[i]][0]) for i in range(len(sets))}
 
 
+@pytest.mark.parametrize("block", [1024, 3])       # 3: signatures of many blocks
 @pytest.mark.parametrize("table", [lambda s: h.documents(s, "/root/testdata/sf0.01"), h.odd_documents, h.empty_documents])
-def test_jaccard_components(spark, table):
+def test_jaccard_components(spark, table, block, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "BLOCK", block)
     docs = table(spark)
     got = jaccard_join.jaccard_components(docs)
     assert h.rows(got, "doc_id", "n_shingles", "component_id") == brute_jaccard(docs)
@@ -93,10 +95,21 @@ def test_jaccard_signatures_meet_for_every_linked_pair():
         b = np.unique(np.r_[keep, rng.integers(0, 1 << 62, int(rng.integers(0, 4))).astype(np.uint64)])
         if not len(b) or 100 * len(np.intersect1d(a, b)) < 75 * len(np.union1d(a, b)):
             continue
-        doc, sig, _ = jaccard_join.signatures(np.array([len(a), len(b)]), None, np.r_[a, b], a[:5], 75)
+        doc, sig, _ = jaccard_join.signatures(np.array([len(a), len(b)]), np.r_[a, b], a[:5], 75)
         assert set(sig[doc == 0].tolist()) & set(sig[doc == 1].tolist())
 
 
+def test_sketches_never_differ_more_than_their_sets():
+    rng = np.random.default_rng(7)
+    for _ in range(200):
+        a = np.unique(rng.integers(0, 1 << 62, int(rng.integers(1, 3000))).astype(np.uint64))
+        b = np.unique(np.r_[a[rng.random(len(a)) > 0.1], rng.integers(0, 1 << 62, int(rng.integers(0, 200))).astype(np.uint64)])
+        n = np.array([len(a), len(b)])
+        sketch = jaccard_join.sketches(n, np.repeat([0, 1], n), np.r_[a, b])
+        linked = 100 * len(np.intersect1d(a, b)) >= 75 * len(np.union1d(a, b))
+        assert not linked or len(jaccard_join.plausible(sketch, n, 75)[0]) == 1
+
+
 def test_one_deletion_neighbourhoods(monkeypatch):
     """With far too few segments every document signs with its neighbourhoods."""
     monkeypatch.setattr(jaccard_join, "segments", lambda band: np.full(len(band), 9))
@@ -106,8 +119,8 @@ def test_one_deletion_neighbourhoods(monkeypatch):
         b = np.unique(np.r_[a[4:], rng.integers(0, 1 << 62, 4).astype(np.uint64)])
         if 100 * len(np.intersect1d(a, b)) < 75 * len(np.union1d(a, b)):
             continue
-        doc, sig, at = jaccard_join.signatures(np.array([len(a), len(b)]), None, np.r_[a, b], a[:0], 75)
-        assert (at == -1).any() and set(sig[doc == 0].tolist()) & set(sig[doc == 1].tolist())
+        doc, sig, deleted = jaccard_join.signatures(np.array([len(a), len(b)]), np.r_[a, b], a[:0], 75)
+        assert deleted.any() and set(sig[doc == 0].tolist()) & set(sig[doc == 1].tolist())
 
 
 # ------------------------------------------------------------------ line dedup
