@@ -8,9 +8,12 @@ Every line files its segments under (length, number, hash) and probes, for the l
 l - TAU, the substrings in those windows.  Where both sides meet, the pair is verified with a
 banded bit-parallel edit distance on the texts.
 
-A segment that very many different lines share is not joined pairwise: around an unchanged
-segment the rest of two lines is within TAU again, so those lines are segmented once more
-without the shared part, and meet under (segment, segment of the rest).
+Lines carry a 64-bit parity sketch of their pairs of neighbouring characters; an edit
+changes at most two of them on either side, so lines within TAU edits differ in at most
+4 * TAU bits, and only such pairs leave the join.  A segment that very many different lines
+share is not joined pairwise: around an unchanged segment the rest of two lines is within
+TAU again, so those lines are segmented once more without the shared part, and meet under
+(segment, segment of the rest).
 
 Linked lines form classes (connected components).  Of all lines of a class the first one,
 by doc_id and line number, is kept.  Null and empty texts have no lines; blank lines are not
@@ -223,6 +226,25 @@ def _meeting(batches):
             yield rows(*keep)
 
 
+def sketches(lines: list[str]) -> np.ndarray:
+    """Parity sketch of the character pairs of each line, its two ends included."""
+    text = "\n" + "\n".join([*lines, ""])
+    points = tb.mix(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(U64) + U64(0x3C6EF372))
+    bits = U64(1) << (tb.mix(points[:-1] * U64(0x9E3779B97F4A7C15) + points[1:]) >> U64(58))
+    length = np.array([len(x) + 1 for x in lines], dtype=np.int64)
+    return np.bitwise_xor.reduceat(bits, np.cumsum(length) - length) if len(lines) else np.zeros(0, U64)
+
+
+def _sketching(batches):
+    for batch in batches:
+        _, offsets = tb.utf8(batch.column(1))
+        for i, j in tb.blocks(offsets):
+            part = batch.slice(i, j - i)
+            sketch = sketches(part.column(1).to_pylist()).view(np.int64)
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(sketch)],
+                                             names=["line", "content", "sketch"])
+
+
 def _wanted_lines(batches):
     for batch in batches:
         _, offsets = tb.utf8(batch.column(0))
@@ -260,11 +282,13 @@ def _verify(tau: int):
     return run
 
 
-def _pairs(rows: DataFrame) -> DataFrame:
+def _pairs(rows: DataFrame, content: DataFrame, tau: int) -> DataFrame:
+    rows = rows.join(content.select("line", "sketch"), "line")
     x, y = rows.alias("x"), rows.alias("y")
+    close = F.bit_count(c("x.sketch").bitwiseXOR(c("y.sketch"))) <= 4 * tau
     files = c("x.side").bitwiseAND(INDEX) > 0
     probes = c("y.side").bitwiseAND(PROBE) > 0
-    return (x.join(y, (c("x.sig") == c("y.sig")) & (c("x.line") != c("y.line")) & files & probes)
+    return (x.join(y, (c("x.sig") == c("y.sig")) & (c("x.line") != c("y.line")) & files & probes & close)
             .select(F.least("x.line", "y.line").alias("a"), F.greatest("x.line", "y.line").alias("b")).distinct())
 
 
@@ -279,15 +303,16 @@ def line_links(docs: DataFrame, text_col: str = "text", tau: int = TAU, hot_pair
     counts = met.groupBy("sig").agg(F.sum(F.when(c("side").bitwiseAND(INDEX) > 0, 1).otherwise(0)).alias("f"),
                                     F.count(F.lit(1)).alias("p"))
     hot = written(counts.where(c("f") * c("p") > hot_pairs).select("sig"), "hot")
-    pairs = _pairs(met.join(hot, "sig", "left_anti"))
     wanted = written(met.select("line").distinct(), "wanted")
-    content = written(texts.mapInArrow(_wanted_lines, "line long, content string")
-                      .join(checked(wanted), "line", "left_semi").dropDuplicates(["line"]), "content")
+    content = (texts.mapInArrow(_wanted_lines, "line long, content string")
+               .join(checked(wanted), "line", "left_semi").dropDuplicates(["line"]))
+    content = written(content.mapInArrow(_sketching, "line long, content string, sketch long"), "content")
+    pairs = _pairs(met.join(hot, "sig", "left_anti"), content, tau)
     if hot.limit(1).count():
         again = (met.join(hot, "sig", "left_semi").join(content, "line").select("sig", "line", "content")
                  .dropDuplicates(["sig", "line"])
                  .mapInArrow(_refining(tau), "sig long, line long, side byte").dropDuplicates())
-        pairs = pairs.union(_pairs(written(again, "again"))).distinct()
+        pairs = pairs.union(_pairs(written(again, "again"), content, tau)).distinct()
     pairs = written(pairs, "pairs")
     both = (pairs.join(content.select(c("line").alias("a"), c("content").alias("x")), "a")
             .join(content.select(c("line").alias("b"), c("content").alias("y")), "b").select("a", "b", "x", "y"))
