@@ -52,7 +52,8 @@ def confusion_matrix(df: DataFrame, label: str = "label", pred: str = "predictio
 
 def binary_counts(df: DataFrame, label: str = "label", pred: str = "prediction",
                   positive=1) -> DataFrame:
-    y, p = c(label) == positive, c(pred) == positive
+    # a row without a prediction was not flagged: an unscored failure is a miss
+    y, p = c(label) == positive, F.coalesce(c(pred) == positive, F.lit(False))
     return df.agg(F.count_if(y & p).alias("tp"), F.count_if(~y & p).alias("fp"),
                   F.count_if(y & ~p).alias("fn"), F.count_if(~y & ~p).alias("tn"))
 

@@ -294,6 +294,8 @@ def smote(df: DataFrame, features: Sequence[str], label: str = "label", key: str
     for cl, n in counts.items():
         if cl in need and n <= k and not k_cap:
             raise ValueError(f"class {cl!r} has {n} rows; SMOTE needs more than k={k}")
+        if cl in need and n < 2:
+            raise ValueError(f"class {cl!r} has {n} row; SMOTE needs a neighbour")
     small = df.where(c(label).isin(list(need)))
     k_eff = {cl: (min(k, counts[cl] - 1) if k_cap else k) for cl in need}
     nn = knn_within_class(small, feats, k=k, label=label, key=key, materialized=True)

@@ -14,7 +14,7 @@ from sensorlab.operators import features
 from sensorlab.plans import dashboard
 from sensorlab.plans.catalog_sql import featured, raw
 from sensorlab.plans.registry import register
-from sensorlab.session import checkpoint_dir
+from sensorlab.session import app_id, checkpoint_dir
 from sensorlab.sources import io
 from sensorlab.sources.fixture import add_f2_scores
 
@@ -22,7 +22,7 @@ c = F.col
 
 
 def _scratch(spark, sf: str, name: str) -> str:
-    tag = hashlib.sha1(sf.encode()).hexdigest()[:10]
+    tag = hashlib.sha1(f"{app_id(spark)}:{sf}".encode()).hexdigest()[:10]
     return f"{checkpoint_dir(spark).rstrip('/')}/io-{tag}/{name}"
 
 

@@ -1,5 +1,6 @@
 """Registered model queries.  Model output cannot be reproduced by SQL, so
-these have no oracle entry; ``tests/test_models.py`` checks their properties.
+these have no oracle entry; ``tests/test_models.py`` tests the decision tree, importances,
+scoring and reload only.
 
 The registry runs the search with a reported budget (2 draws from the full grid, 2 folds,
 boosting rounds capped at 50 and depth at 5) and the learning curve with 3 sizes, so a
@@ -9,6 +10,8 @@ correctness pass takes minutes; the library defaults are the reference's (50 dra
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import functions as F
 
 from sensorlab.plans import models, preprocess
@@ -106,11 +109,16 @@ register("cross_val_score")(lambda s, sf: models.cross_val_score(
     _prep(s, sf)[1], "binary", params=REGISTRY_FIT, folds=5))
 
 
-def _batch(s, sf):
+def _bundle_path(s, sf, name):
     from sensorlab.session import checkpoint_dir
+    tag = hashlib.sha1(f"{app_id(s)}:{sf}".encode()).hexdigest()[:10]
+    return f"{checkpoint_dir(s).rstrip('/')}/bundles/{name}-{tag}"
+
+
+def _batch(s, sf):
     feats, prep = _prep(s, sf)
     bundle = _bundle(s, sf, "LightGBM", "binary")
-    path = f"{checkpoint_dir(s).rstrip('/')}/bundles/binary-{abs(hash(sf))}"
+    path = _bundle_path(s, sf, "binary")
     models.save_bundle(bundle, path)
     loaded = models.load_bundle([path + "-tuned", path], "binary")
     return models.score(loaded, feats)
@@ -121,10 +129,9 @@ register("batch_score")(_batch)
 
 def _save_load(s, sf):
     """Predictions on the test split before and after a save / load round trip."""
-    from sensorlab.session import checkpoint_dir
     feats, prep = _prep(s, sf)
     bundle = _bundle(s, sf, "Decision Tree", "binary")
-    path = f"{checkpoint_dir(s).rstrip('/')}/bundles/tree-{abs(hash(sf))}"
+    path = _bundle_path(s, sf, "tree")
     models.save_bundle(bundle, path)
     loaded = models.load_bundle([path + "-tuned", path], "binary")
     test_rows = models.test_features(feats, prep)

@@ -198,8 +198,9 @@ def feature_importance(bundle: Bundle, features: Sequence[str] = NUMERIC_FEATURE
     elif hasattr(clf, "models"):
         arrs = [m.featureImportances.toArray() for m in clf.models if hasattr(m, "featureImportances")]
         imp = (sum(arrs) / len(arrs)).tolist() if arrs else [0.0] * len(features)
-    elif hasattr(clf, "coefficients"):
-        coef = [abs(x) for x in clf.coefficients.toArray().tolist()]
+    elif hasattr(clf, "coefficientMatrix"):
+        # one row for a binary model, one per class for a multinomial one
+        coef = abs(clf.coefficientMatrix.toArray()).mean(axis=0).tolist()
         total = sum(coef) or 1.0
         imp = [x / total for x in coef]
     else:
@@ -223,7 +224,7 @@ PARAM_GRID = {
     "reg_alpha": [0, 0.01, 0.1, 0.5, 1.0],
     "reg_lambda": [0, 0.01, 0.1, 0.5, 1.0],
 }
-UNLIMITED_DEPTH = 10  # -1 (no limit) capped: GBT cost grows with 2^depth
+UNLIMITED_DEPTH = 30  # -1 (no limit): the deepest tree that Spark's learners grow
 
 
 def grid_size() -> int:
@@ -433,15 +434,15 @@ def save_bundle(bundle: Bundle, path: str) -> None:
 
 def load_bundle(paths: Sequence[str], task: str = "binary", name: str = "loaded") -> Bundle:
     """Load the first path that exists (tuned set first, default set as fallback)."""
-    last = None
+    sc = SparkSession.getActiveSession().sparkContext
+    hadoop_path = sc._jvm.org.apache.hadoop.fs.Path
     for p in paths:
-        try:
-            model = PipelineModel.load(p)
-        except Exception as e:  # noqa: BLE001  (missing path → try the next one)
-            last = e
+        at = hadoop_path(p)
+        if not at.getFileSystem(sc._jsc.hadoopConfiguration()).exists(at):
             continue
+        model = PipelineModel.load(p)  # a damaged bundle is an error, not a reason to fall back
         labels = []
         if isinstance(model.stages[-1], IndexToString):
             labels = list(model.stages[-1].getLabels())
         return Bundle(name, task, model, labels)
-    raise FileNotFoundError(f"no model bundle under {list(paths)}") from last
+    raise FileNotFoundError(f"no model bundle under {list(paths)}")

@@ -46,3 +46,39 @@ def test_feature_importance_flags(spark, setup):
     assert len(imp) == len(preprocess.NUMERIC_FEATURES)
     assert sum(r["is_top3"] for r in imp) == 3
     assert sum(r["importance"] for r in imp) == pytest.approx(1.0, abs=1e-6)
+
+
+def test_importance_of_a_multinomial_model(spark):
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import IndexToString, VectorAssembler
+
+    from sensorlab.plans import models
+    rows = [(float(i % 3), float(i % 3 == 0), float(i % 3 == 1), float(i % 7)) for i in range(60)]
+    df = VectorAssembler(inputCols=["x", "y", "z"], outputCol="features").transform(
+        spark.createDataFrame(rows, "label double, x double, y double, z double"))
+    clf = LogisticRegression(family="multinomial").fit(df)
+    bundle = models.Bundle("lr", "multiclass", PipelineModel(stages=[
+        IndexToString(inputCol="a", outputCol="b", labels=["x"]),
+        IndexToString(inputCol="a", outputCol="b", labels=["x"]), clf]))
+    got = models.feature_importance(bundle, ["x", "y", "z"]).collect()
+    assert abs(sum(r.importance for r in got) - 1) < 1e-9 and {r.feature for r in got if r["rank"] < 3} == {"x", "y"}
+
+
+def test_damaged_bundle_is_not_skipped(spark, tmp_path):
+    import pytest
+
+    from sensorlab.plans import models
+    (tmp_path / "tuned").mkdir()
+    with pytest.raises(Exception) as error:
+        models.load_bundle([str(tmp_path / "tuned"), str(tmp_path / "none")])
+    assert not isinstance(error.value, FileNotFoundError)
+    with pytest.raises(FileNotFoundError):
+        models.load_bundle([str(tmp_path / "none")])
+
+
+def test_unscored_failure_is_a_miss(spark):
+    from sensorlab.operators import evaluate
+    df = spark.createDataFrame([(1, 1), (1, None), (0, None), (0, 1)], "label int, prediction int")
+    r = evaluate.binary_counts(df).first()
+    assert (r.tp, r.fn, r.tn, r.fp) == (1, 1, 1, 1)
