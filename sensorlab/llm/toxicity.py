@@ -92,8 +92,7 @@ def _counting(batches):
             for kind in range(KINDS):
                 key = np.unique((row << TABLE_BITS) + slots[kind])
                 doc, slot = key >> TABLE_BITS, (key & ((1 << TABLE_BITS) - 1)) + (kind << TABLE_BITS)
-                for y in (0, 1):
-                    total[y] += np.bincount(slot[label[i:j][doc] == y], minlength=total.shape[1])
+                np.add.at(total, (label[i:j][doc], slot), 1)
     used = np.flatnonzero(total.any(axis=0))
     yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[1][used]), pa.array(total[0][used])],
                                      names=["slot", "toxic", "clean"])
