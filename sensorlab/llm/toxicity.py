@@ -14,7 +14,7 @@
 
 Labels, language, source and id are never inputs of a score.  Null and empty texts have no
 tokens and get the score of three zeros.  Without training rows of both labels every score
-is 0.5 shrunk by nothing: 0.0 and predicted 0.  Documents are kept one to one; extra columns
+is 0 and predicted 0.  Documents are kept one to one; extra columns
 are ignored.
 """
 
