@@ -1,15 +1,18 @@
 """Running totals over a global order, and exact quantiles built on them.
 
 A window ``ORDER BY x`` without a partition puts every row into one task.  Here the
-ordered column is cut into value ranges (bounds from ``approxQuantile``; only the B-1
+ordered column is cut into value ranges (bounds from ``percentile_approx``; only the B-1
 bounds reach the driver), totals per range give each range its offset (a window over
-at most B rows per group), and the running sum inside a range is a window partitioned
-by (group, range).  The result is exact; only the balance of the ranges is approximate.
+the ranges of a group), and the running sum inside a range is a window partitioned
+by (group, range).  Every size takes this path, and the number of ranges grows with the
+rows.  A value that fills several ranges is split by the hash of its tie-breaking key.
+The result is exact; only the balance of the ranges is approximate.
 """
 
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -20,34 +23,29 @@ from sensorlab.session import cut_lineage
 
 c = F.col
 
-# Target number of distinct ordered values per range (one window task each).
+# Target number of rows per range (one window task each), and the fewest ranges.
 ROWS_PER_RANGE = 2_000_000
-MAX_RANGES = 1024
+MIN_RANGES = 4
 
 
 def range_bounds(df: DataFrame, order_col: str, n_ranges: int | None = None) -> list[float]:
-    """Ascending range bounds of ``order_col`` (B-1 values, B from the row count).
-
-    One aggregate pass returns the row count and a fixed grid of approximate
-    percentiles; B is chosen from the count and every (MAX_RANGES / B)-th grid point is
-    kept.  Only these numbers reach the driver."""
-    grid = [i / MAX_RANGES for i in range(1, MAX_RANGES)]
-    row = df.agg(F.count(F.lit(1)).alias("n"),
-                 F.percentile_approx(c(order_col).cast("double"), grid, 4 * MAX_RANGES).alias("q")).first()
-    n = int(row["n"])
+    """Ascending range bounds of ``order_col``: B-1 approximate percentiles, B from the row
+    count.  A value that fills several ranges comes as often as it does so."""
     if n_ranges is None:
-        n_ranges = max(1, min(MAX_RANGES, math.ceil(n / ROWS_PER_RANGE)))
-    if n_ranges <= 1 or not row["q"]:
+        n_ranges = max(MIN_RANGES, math.ceil(df.count() / ROWS_PER_RANGE))
+    grid = [i / n_ranges for i in range(1, n_ranges)]
+    if not grid:
         return []
-    step = MAX_RANGES / n_ranges
-    picks = [row["q"][min(len(row["q"]) - 1, int(round(i * step)) - 1)] for i in range(1, n_ranges)]
-    return sorted(set(float(b) for b in picks if b is not None and not math.isnan(b)))
+    found = df.agg(F.percentile_approx(c(order_col).cast("double"), grid,
+                                       max(10_000, 10 * n_ranges))).first()[0]
+    return sorted(float(b) for b in found or [] if b is not None and math.isfinite(b))
 
 
 def range_bucket(df: DataFrame, order_col: str, out_col: str = "_rng",
                  n_ranges: int | None = None, bounds: list[float] | None = None) -> DataFrame:
     """Adds a deterministic range index of ``order_col`` (0..B-1, ascending)."""
     bounds = range_bounds(df, order_col, n_ranges) if bounds is None else bounds
+    bounds = sorted(set(bounds))
     if not bounds:
         return df.withColumn(out_col, F.lit(0.0))
     splits = [-math.inf, *bounds, math.inf]
@@ -63,32 +61,42 @@ def running_totals(df: DataFrame, order_col: str, value_cols: Sequence[str],
     """Inclusive running sums of ``value_cols`` in ascending ``order_col`` within ``groups``.
 
     ``df`` should hold one row per (groups, order value), or ``tiebreak`` columns must
-    make the order total; otherwise tied rows are summed in an arbitrary order.
+    make the order total; otherwise tied rows are summed in an arbitrary order.  Rows of a
+    value that fills several ranges are ordered by a hash of ``tiebreak`` first.
     """
     g = list(groups)
     bounds = range_bounds(df, order_col, n_ranges)
-    if not bounds:
-        # a single range means at most ROWS_PER_RANGE rows: one window, no offsets
-        w_one = (Window.partitionBy(*g).orderBy(order_col, *tiebreak)
-                 .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        out = df
-        for v in value_cols:
-            out = out.withColumn(f"{v}{suffix}", F.sum(v).over(w_one))
-        return out
-    ranged = range_bucket(df, order_col, bounds=bounds)
-    totals = ranged.groupBy(*g, "_rng").agg(*[F.sum(v).alias(f"_t_{v}") for v in value_cols])
-    w_off = (Window.partitionBy(*g).orderBy("_rng")
+    ranged = (range_bucket(df, order_col, bounds=bounds)
+              .withColumn("_sub", _tie_part(bounds, order_col, tiebreak)))
+    cell = ["_rng", "_sub"]
+    totals = ranged.groupBy(*g, *cell).agg(*[F.sum(v).alias(f"_t_{v}") for v in value_cols])
+    w_off = (Window.partitionBy(*g).orderBy(*cell)
              .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = totals.select(*g, "_rng", *[F.coalesce(F.sum(f"_t_{v}").over(w_off), F.lit(0)).alias(f"_o_{v}")
-                                          for v in value_cols])
-    # offsets has one row per (group, range): at most #groups x B rows.
-    joined = ranged.join(F.broadcast(offsets), on=[*g, "_rng"], how="inner")
-    w_in = (Window.partitionBy(*g, "_rng").orderBy(order_col, *tiebreak)
+    # one row per (group, range); a plain join on the key of the window below, so that both
+    # share one shuffle, or a broadcast where the measured size allows it
+    offsets = totals.select(*[c(x).alias(f"_k_{x}") for x in (*g, *cell)],
+                            *[F.coalesce(F.sum(f"_t_{v}").over(w_off), F.lit(0)).alias(f"_o_{v}")
+                              for v in value_cols])
+    on = (c("_rng") == c("_k__rng")) & (c("_sub") == c("_k__sub"))
+    for x in g:
+        on = on & c(x).eqNullSafe(c(f"_k_{x}"))
+    out = ranged.join(offsets, on)
+    w_in = (Window.partitionBy(*g, *cell).orderBy(order_col, *tiebreak)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    out = joined
     for v in value_cols:
         out = out.withColumn(f"{v}{suffix}", c(f"_o_{v}") + F.sum(v).over(w_in))
-    return out.drop("_rng", *[f"_o_{v}" for v in value_cols])
+    return out.drop(*cell, *[f"_k_{x}" for x in (*g, *cell)], *[f"_o_{v}" for v in value_cols])
+
+
+def _tie_part(bounds: list[float], order_col: str, tiebreak: Sequence[str]):
+    """Part of a tied value within its range: a value that is a bound k times gets k parts by
+    the hash of ``tiebreak``; it is the least of its range, whose other values come after."""
+    parts = {b: k for b, k in Counter(bounds).items() if k > 1}
+    if not parts or not tiebreak:
+        return F.lit(0)
+    known = F.create_map(*[F.lit(x) for b, k in sorted(parts.items()) for x in (b, k)])
+    k = F.try_element_at(known, c(order_col).cast("double"))
+    return F.when(k.isNotNull(), F.pmod(F.xxhash64(*tiebreak), k).cast("int")).otherwise(F.lit(len(bounds)))
 
 
 def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float],

@@ -171,15 +171,18 @@ def compare_models(features_df: DataFrame, prep: Prepared, task: str = "binary",
     ``fit(prep, name, task)`` may return an already fitted bundle."""
     spark = features_df.sparkSession
     fit = fit or fit_bundle
-    test_rows = test_features(features_df, prep)
+    test_rows = test_features(features_df, prep).persist(StorageLevel.MEMORY_AND_DISK)
 
     def one(name):
         b = fit(prep, name, task)
-        m = _metric_row(score(b, test_rows), task)
+        scored = score(b, test_rows).persist(StorageLevel.MEMORY_AND_DISK)  # every metric reads it
+        m = _metric_row(scored, task)
+        scored.unpersist()
         return name, b, (name, m["accuracy"], m["precision"], m["recall"], m["f1"], m["roc_auc"])
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         done = list(pool.map(one, names))
+    test_rows.unpersist()
     bundles = {n: b for n, b, _ in done}
     rows = [r for _, _, r in done]
     table = spark.createDataFrame(rows, "model string, accuracy double, precision double, recall double, "
