@@ -1,7 +1,7 @@
 """Evaluation reports over scored rows (label, prediction, score).
 
-Everything is an aggregate: per-class counts come from two grouped counts (by label and
-by prediction), the ROC curve and AUC from per-score counts and the range-bucketed
+Everything is an aggregate: per-class counts come from one grouped count (by label and
+prediction), the ROC curve and AUC from per-score counts and the range-bucketed
 running totals of :mod:`sensorlab.functions.ordered`, so no step sorts all rows in one
 task and MLlib's 1000-bin down-sampling is not involved (the area is exact, ties
 counted half).  Ratios follow scikit-learn's ``zero_division=0``.
@@ -75,11 +75,16 @@ def metrics_from_counts() -> list[Column]:
 
 def per_class(df: DataFrame, label: str = "label", pred: str = "prediction") -> DataFrame:
     """class, tp, support, predicted, precision, recall, f1 for labels ∪ predictions."""
-    by_label = df.groupBy(c(label).alias("class")).agg(
-        _count().alias("support"), F.count_if(c(label) == c(pred)).alias("tp"))
-    by_pred = df.groupBy(c(pred).alias("class")).agg(_count().alias("predicted"))
-    j = (by_label.join(by_pred, "class", "full").where(c("class").isNotNull())
-         .fillna(0, ["support", "tp", "predicted"]))
+    pairs = df.groupBy(c(label).alias("_l"), c(pred).alias("_p")).agg(_count().alias("_n"))
+    zero = F.lit(0).cast("bigint")
+    hit = F.when(c("_l") == c("_p"), c("_n")).otherwise(zero)
+
+    def side(cls, support, tp, predicted):
+        return F.struct(c(cls).alias("class"), support.alias("support"), tp.alias("tp"),
+                        predicted.alias("predicted"))
+    sides = pairs.select(F.inline(F.array(side("_l", c("_n"), hit, zero), side("_p", zero, zero, c("_n")))))
+    j = sides.where(c("class").isNotNull()).groupBy("class").agg(
+        *[F.sum(x).alias(x) for x in ("support", "tp", "predicted")])
     prec = _ratio0(c("tp"), c("predicted"))
     rec = _ratio0(c("tp"), c("support"))
     f1 = _ratio0(2 * c("tp"), c("predicted") + c("support"))

@@ -17,6 +17,7 @@ from sensorlab.functions.ordered import exact_quantiles
 from sensorlab.schema import FAILURE_CLASSES, SENSORS
 
 c = F.col
+MAX_CLASSES = 1000  # columns a pivot may add for classes it was not told of
 
 
 def n_rows():
@@ -168,10 +169,15 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str], digits: int = 4) -
 def pivot_type_failure(df: DataFrame, classes: Sequence[str] = FAILURE_CLASSES) -> DataFrame:
     """Counts machine_type x failure_type (rows with either NULL dropped), missing → 0.
 
-    The class list is fixed so the output schema does not depend on the data."""
+    The columns are ``classes`` and, after them, every other class of the data by name.  More
+    than ``MAX_CLASSES`` others are an error, as for any pivot: the label is not a class."""
     base = df.where(c("machine_type").isNotNull() & c("failure_type").isNotNull())
-    return (base.groupBy("machine_type").pivot("failure_type", list(classes))
-            .agg(n_rows()).fillna(0, list(classes)))
+    others = (base.where(~c("failure_type").isin(*classes)).select("failure_type").distinct()
+              .limit(MAX_CLASSES + 1).collect())
+    if len(others) > MAX_CLASSES:
+        raise ValueError(f"failure_type has more than {MAX_CLASSES} unknown values")
+    names = [*classes, *sorted(r[0] for r in others)]
+    return base.groupBy("machine_type").pivot("failure_type", names).agg(n_rows()).fillna(0, names)
 
 
 def eda_summary(df: DataFrame, class_col: str = "failure_type") -> DataFrame:

@@ -58,6 +58,46 @@ def test_running_totals_ranges_equal_cumsum(spark):
     assert [r["n_cum"] for r in out] == list(range(1, 401))
 
 
+def test_running_totals_split_a_tied_value_by_key(spark):
+    import sensorlab.functions.ordered as od
+    rows = [(5.0, k, 1) for k in range(200)] + [(float(v), 1000 + v, 1) for v in range(10)]
+    df = spark.createDataFrame(rows, "x double, k int, n int")
+    bounds = od.range_bounds(df, "x", 8)
+    parts = df.where("x = 5").select(od._tie_part(bounds, "x", ["k"])).distinct().count()
+    assert bounds.count(5.0) > 1 and parts == bounds.count(5.0)
+    out = running_totals(df, "x", ["n"], n_ranges=8, tiebreak=["k"]).orderBy("n_cum").collect()
+    assert [r["n_cum"] for r in out] == list(range(1, 211))
+    assert [r["x"] for r in out] == sorted(r["x"] for r in out)
+
+
+def test_running_totals_keep_a_null_group(spark):
+    df = spark.createDataFrame([(None, 1.0, 1), (None, 2.0, 1), ("a", 1.0, 1)], "g string, x double, n int")
+    out = running_totals(df, "x", ["n"], groups=["g"]).collect()
+    assert sorted((r["g"] or "", r["x"], r["n_cum"]) for r in out) == [("", 1.0, 1), ("", 2.0, 2), ("a", 1.0, 1)]
+
+
+def test_running_totals_of_no_rows(spark):
+    df = spark.createDataFrame([], "x double, n int")
+    assert running_totals(df, "x", ["n"]).collect() == []
+
+
+def test_pivot_keeps_unknown_classes(spark):
+    rows = [("M", "Power Failure"), ("M", "Rust"), ("L", "Rust"), (None, "Rust"), ("L", None)]
+    df = spark.createDataFrame(rows, "machine_type string, failure_type string")
+    got = {r["machine_type"]: r.asDict() for r in profile.pivot_type_failure(df).collect()}
+    assert (got["M"]["Power Failure"], got["M"]["Rust"]) == (1, 1)
+    assert (got["L"]["Power Failure"], got["L"]["Rust"]) == (0, 1)
+    assert set(got) == {"M", "L"}
+
+
+def test_unscored_rows_count_in_support_only(spark):
+    df = spark.createDataFrame([(1, 1), (1, None), (0, 0), (0, 1)], "label int, prediction int")
+    pc = {r["class"]: r for r in evaluate.per_class(df).collect()}
+    assert (pc[1]["support"], pc[1]["tp"], pc[1]["predicted"]) == (2, 1, 2)
+    assert (pc[0]["support"], pc[0]["tp"], pc[0]["predicted"]) == (2, 1, 1)
+    assert set(pc) == {0, 1}
+
+
 def test_bin_edges_inclusive(spark):
     from sensorlab.functions.exprs import band
     df = spark.createDataFrame([(49,), (50,), (150,), (151,)], "w int")
