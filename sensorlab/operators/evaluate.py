@@ -161,7 +161,8 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "score", positive=
 
 
 def roc_curve(df: DataFrame, label: str = "label", score: str = "score", positive=1) -> DataFrame:
-    """(threshold, fpr, tpr) per distinct score: rates of rows scored >= threshold."""
+    """(threshold, fpr, tpr): the start point (infinity, 0, 0), where no row is predicted
+    positive, then one point per distinct score with the rates of rows scored >= it."""
     per_score = cut_lineage(_score_counts(df, label, score, positive))  # read 4 times
     cum = running_totals(per_score, "score", ["pos", "neg"])
     # the class totals are two numbers: bring them to the driver as literals
@@ -169,9 +170,12 @@ def roc_curve(df: DataFrame, label: str = "label", score: str = "score", positiv
     P, N = F.lit(int(t["P"] or 0)), F.lit(int(t["N"] or 0))
     above_pos = P - (c("pos_cum") - c("pos"))
     above_neg = N - (c("neg_cum") - c("neg"))
-    return cum.select(c("score").alias("threshold"),
-                      dround(_ratio0(above_neg, N), DIGITS).alias("fpr"),
-                      dround(_ratio0(above_pos, P), DIGITS).alias("tpr"))
+    points = cum.select(c("score").alias("threshold"),
+                        dround(_ratio0(above_neg, N), DIGITS).alias("fpr"),
+                        dround(_ratio0(above_pos, P), DIGITS).alias("tpr"))
+    start = df.sparkSession.range(1).select(F.lit(float("inf")).alias("threshold"),
+                                            F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
+    return start.unionByName(points)
 
 
 def business_impact(df: DataFrame, label: str = "label", pred: str = "prediction",

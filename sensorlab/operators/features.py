@@ -126,6 +126,15 @@ def select_types(df: DataFrame, drop: Sequence[str] = ("udi", "product_id")) ->
     return {"numeric": numeric, "categorical": categorical}
 
 
+def column_kinds(df: DataFrame, drop: Sequence[str] = ("udi", "product_id")) -> DataFrame:
+    """``select_types`` as rows: column, kind, and its count of non-NULL values (one pass)."""
+    kinds = [(f, kind) for kind, names in select_types(df, drop).items() for f in names]
+    counts = df.agg(*[F.count(c(f)).alias(f) for f, _ in kinds])
+    return counts.select(F.inline(F.array(*[
+        F.struct(F.lit(f).alias("column"), F.lit(kind).alias("kind"), c(f).alias("non_null"))
+        for f, kind in kinds])))
+
+
 _NAME_SEP = re.compile(r"[\s\[\]\(\)/]+")
 
 

@@ -122,7 +122,8 @@ cs AS (SELECT *, SUM(pos) OVER w AS pos_cum, SUM(neg) OVER w AS neg_cum FROM s
 t AS (SELECT SUM(pos) AS p_all, SUM(neg) AS n_all FROM s)
 SELECT score AS threshold, {_r(_z('n_all - (neg_cum - neg)', 'n_all'))} AS fpr,
        {_r(_z('p_all - (pos_cum - pos)', 'p_all'))} AS tpr
-FROM cs, t""")(lambda s, sf: evaluate.roc_curve(bscore(s, sf)))
+FROM cs, t
+UNION ALL SELECT CAST('Infinity' AS DOUBLE), CAST(0 AS DOUBLE), CAST(0 AS DOUBLE)""")(lambda s, sf: evaluate.roc_curve(bscore(s, sf)))
 
 register("metrics_side_by_side", "WITH " + _PER_CLASS.format(src="mscore") + f""",
 b AS (SELECT {_BIN_METRICS} FROM {_COUNTS.format(src='bscore')}),
@@ -204,3 +205,29 @@ SELECT {_r(_z('2 * tp', '2 * tp + fp + fn'))} AS f1, {_r(_z('tp + tn', 'tp + fp
 register("dash_f1_by_type", "WITH " + _PER_CLASS.format(src="mscore") + f"""
 SELECT class AS failure_type, {_r('f1')} AS f1, support FROM pc""")(
     lambda s, sf: dashboard.dash_f1_by_type(mscore(s, sf)))
+
+# ---------------------------------------------------------------- slicers
+register("dash_prediction_kpis_high_band", """
+SELECT COUNT(*) FILTER (WHERE target = 1) AS total_failures,
+       ROUND(CAST(100 AS DOUBLE) * COUNT(*) FILTER (WHERE target = 1) / COUNT(*), 2) AS failure_rate_pct,
+       ROUND(CAST(100 AS DOUBLE) * COUNT(*) FILTER (WHERE target = prediction) / COUNT(*), 2) AS accuracy_pct,
+       COUNT(*) FILTER (WHERE target = 1 AND prediction = 1) AS failures_caught
+FROM preds WHERE risk_band = 'High'""")(
+    lambda s, sf: dashboard.dash_prediction_kpis(preds(s, sf), where=c("risk_band") == "High"))
+
+STRICT_CUT = 0.7
+
+
+def two_models(s, sf):
+    """Rows scored by two rules, told apart by ``model`` (the fixed score cut at 0.5 and 0.7)."""
+    base = bscore(s, sf)
+    strict = base.withColumn("prediction", (c("score") >= STRICT_CUT).cast("int"))
+    return (base.withColumn("model", F.lit("rule"))
+            .unionByName(strict.withColumn("model", F.lit("strict rule"))))
+
+
+register("dash_model_kpis_one_model", f"""
+WITH strict AS (SELECT label, CASE WHEN score >= {STRICT_CUT} THEN 1 ELSE 0 END AS prediction FROM bscore)
+SELECT {_r(_z('2 * tp', '2 * tp + fp + fn'))} AS f1, {_r(_z('tp + tn', 'tp + fp + fn + tn'))} AS accuracy,
+       tp AS true_positives, fn AS false_negatives FROM {_COUNTS.format(src='strict')}""")(
+    lambda s, sf: dashboard.dash_model_kpis(two_models(s, sf), where=c("model") == "strict rule"))

@@ -12,11 +12,11 @@ from pyspark.sql import functions as F
 
 from sensorlab.operators import features
 from sensorlab.plans import dashboard
-from sensorlab.plans.catalog_sql import featured, raw
+from sensorlab.plans.catalog_sql import cleaned, featured, raw
 from sensorlab.plans.registry import register
 from sensorlab.session import app_id, checkpoint_dir
 from sensorlab.sources import io
-from sensorlab.sources.fixture import add_f2_scores
+from sensorlab.sources.fixture import add_f2_scores, scored_binary, scored_multiclass
 
 c = F.col
 
@@ -91,3 +91,27 @@ register("export_dashboard_csv", """
 SELECT risk_band, COUNT(*) AS machines, ROUND(AVG(risk_score), 4) AS avg_probability,
        MAX(risk_score) AS max_probability, COUNT(*) FILTER (WHERE target = 1) AS failures
 FROM preds GROUP BY risk_band""")(_export)
+
+
+def _export_all(s, sf):
+    """Write every dashboard extract as CSV, read each back typed, count its rows."""
+    clean = cleaned(s, sf)
+    out = None
+    for name, ds in dashboard.extracts(dashboard.predictions_table(add_f2_scores(featured(s, sf))),
+                                       scored_binary(clean), scored_multiclass(clean)).items():
+        path = _scratch(s, sf, name)
+        io.export_dataset(ds, path)
+        back = s.read.schema(ds.schema).option("header", True).csv(path)
+        rows = back.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("extract"), "rows")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+register("export_dashboard_extracts", """
+SELECT 'DS1_predictions' AS extract, COUNT(*) AS rows FROM preds
+UNION ALL SELECT 'DS3_risk_bands', COUNT(DISTINCT risk_band) FROM preds
+UNION ALL SELECT 'DS4_predicted_types', COUNT(DISTINCT prediction) FROM mscore
+UNION ALL SELECT 'DS5_f1_by_type', COUNT(DISTINCT k) FROM
+  (SELECT label AS k FROM mscore UNION ALL SELECT prediction FROM mscore)
+UNION ALL SELECT 'DS6_confusion_matrix', COUNT(DISTINCT k) * COUNT(DISTINCT k) FROM
+  (SELECT label AS k FROM bscore UNION ALL SELECT prediction FROM bscore)""")(_export_all)

@@ -1,11 +1,8 @@
 """Registered model queries.  Model output cannot be reproduced by SQL, so
-these have no oracle entry; ``tests/test_models.py`` tests the decision tree, importances,
-scoring and reload only.
+these have no oracle entry, but for the keys of scoring and reloading;
+``tests/test_models.py`` holds property tests.
 
-The registry runs the search with a reported budget (2 draws from the full grid, 2 folds,
-boosting rounds capped at 50 and depth at 5) and the learning curve with 3 sizes, so a
-correctness pass takes minutes; the library defaults are the reference's (50 draws,
-5 folds, no caps, 8 sizes).
+The search queries are in :mod:`sensorlab.plans.catalog_tuning`, imported last.
 """
 
 from __future__ import annotations
@@ -15,15 +12,13 @@ import hashlib
 from pyspark.sql import functions as F
 
 from sensorlab.plans import models, preprocess
+from sensorlab.plans.catalog_sampling import _PREP_SQL as PREP_SQL
 from sensorlab.plans.catalog_sql import unique_featured
 from sensorlab.plans.registry import register
 from sensorlab.session import app_id
 
 c = F.col
 
-REGISTRY_SEARCH = dict(n_iter=2, folds=2, caps={"maxIter": 50, "maxDepth": 5})
-REGISTRY_CURVE_SIZES = (0.1, 0.55, 1.0)
-
 
 # Registered model queries share their expensive inputs within one Spark application:
 # the prepared (checkpointed) training data, fitted bundles and search results are
@@ -41,7 +36,7 @@ def _memo(s, sf, key, fn):
 def _prep(s, sf, task="binary"):
     def build():
         feats = unique_featured(s, sf)
-        return feats, preprocess.preprocess_pipeline(feats, task)
+        return feats, preprocess.preprocess_pipeline(feats, task, hash_kind="arith")
     return _memo(s, sf, ("prep", task), build)
 
 
@@ -57,15 +52,16 @@ def _scored(s, sf, name, task="binary"):
 
 for _id, _name in [("clf_logistic", "Logistic Regression"), ("clf_tree", "Decision Tree"),
                    ("clf_forest", "Random Forest"), ("clf_gbt", "Gradient Boosting"),
-                   ("clf_gbt_depthwise", "XGBoost"), ("clf_gbt_leafwise", "LightGBM")]:
+                   ("clf_gbt_depthwise", models.DEPTHWISE), ("clf_gbt_leafwise", models.LEAFWISE)]:
     register(_id)(lambda s, sf, _n=_name: _scored(s, sf, _n))
 
-register("clf_multiclass_boosting")(lambda s, sf: _scored(s, sf, "LightGBM", "multiclass"))
+for _id, _name in [("clf_multiclass_gbt", "Gradient Boosting"), ("clf_multiclass_depthwise", models.DEPTHWISE),
+                   ("clf_multiclass_boosting", models.LEAFWISE)]:
+    register(_id)(lambda s, sf, _n=_name: _scored(s, sf, _n, "multiclass"))
 
 
 def _compare(s, sf):
-    feats, prep = _prep(s, sf)
-    table, _ = models.compare_models(feats, prep, "binary",
+    table, _ = models.compare_models(_prep(s, sf)[1], "binary",
                                      fit=lambda p, name, task: _bundle(s, sf, name, task))
     return table
 
@@ -73,40 +69,20 @@ def _compare(s, sf):
 register("compare_models")(_compare)
 
 
-def _importance(s, sf):
-    return models.feature_importance(_bundle(s, sf, "LightGBM", "binary"))
-
-
-register("feature_importance")(_importance)
-
-
-def _search(s, sf, task="binary"):
-    return _memo(s, sf, ("search", task),
-                 lambda: models.random_search(_prep(s, sf, task)[1], task, **REGISTRY_SEARCH))
-
-
-register("random_search")(lambda s, sf: _search(s, sf).cv_results)
-register("cv_results")(lambda s, sf: models.cv_results(_search(s, sf)))
-
-
-def _gain(s, sf):
-    rows = []
-    for task in ("binary", "multiclass"):
-        feats, prep = _prep(s, sf, task)
-        d, t = models.default_vs_tuned(feats, prep, task, _search(s, sf, task).best,
-                                       default=_bundle(s, sf, "LightGBM", task))
-        rows.append((task, d, t, t - d))
-    return s.createDataFrame(rows, "task string, default_f1 double, tuned_f1 double, improvement double")
+for _id, _task in [("feature_importance", "binary"), ("feature_importance_multiclass", "multiclass")]:
+    register(_id)(lambda s, sf, _t=_task: models.feature_importance(_bundle(s, sf, models.LEAFWISE, _t)))
 
 
-register("tuning_gain")(_gain)
+def both_tasks(part):
+    """Union of ``part(task)`` over both tasks with a ``task`` column."""
+    binary, multi = (part(t).withColumn("task", F.lit(t)) for t in ("binary", "multiclass"))
+    return binary.unionByName(multi)
 
-REGISTRY_FIT = {"maxIter": 50, "maxDepth": 5}
-register("learning_curve")(lambda s, sf: models.learning_curve(
-    _prep(s, sf)[1], "binary", params=REGISTRY_FIT, sizes=REGISTRY_CURVE_SIZES, folds=3))
 
-register("cross_val_score")(lambda s, sf: models.cross_val_score(
-    _prep(s, sf)[1], "binary", params=REGISTRY_FIT, folds=5))
+# Curve and CV score of the default booster, whole (8 sizes x 3 folds; 5 folds).  The tuned
+# ones take ``params=models.to_gbt_params(result.best_params)``; see catalog_tuning.
+register("learning_curve")(lambda s, sf: both_tasks(lambda t: models.learning_curve(_prep(s, sf, t)[1], t)))
+register("cross_val_score")(lambda s, sf: both_tasks(lambda t: models.cross_val_score(_prep(s, sf, t)[1], t)))
 
 
 def _bundle_path(s, sf, name):
@@ -117,7 +93,7 @@ def _bundle_path(s, sf, name):
 
 def _batch(s, sf):
     feats, prep = _prep(s, sf)
-    bundle = _bundle(s, sf, "LightGBM", "binary")
+    bundle = _bundle(s, sf, models.LEAFWISE, "binary")
     path = _bundle_path(s, sf, "binary")
     models.save_bundle(bundle, path)
     loaded = models.load_bundle([path + "-tuned", path], "binary")
@@ -125,6 +101,9 @@ def _batch(s, sf):
 
 
 register("batch_score")(_batch)
+register("batch_score_unscored", """
+SELECT udi, CAST(target AS INT) AS label, machine_type IS NULL AS unscored FROM ufeat""")(
+    lambda s, sf: _batch(s, sf).select("udi", "label", c("prediction").isNull().alias("unscored")))
 
 
 def _save_load(s, sf):
@@ -137,16 +116,15 @@ def _save_load(s, sf):
     test_rows = models.test_features(feats, prep)
     before = models.score(bundle, test_rows).select("udi", c("prediction").alias("prediction_before"))
     after = models.score(loaded, test_rows).select("udi", c("prediction").alias("prediction_after"))
-    return before.join(after, "udi").withColumn(
-        "same", c("prediction_before").eqNullSafe(c("prediction_after")))
+    return before.join(after, "udi").select(
+        "udi", c("prediction_before").eqNullSafe(c("prediction_after")).alias("same"))
 
 
-register("save_load_model")(_save_load)
+register("save_load_model", f"WITH {PREP_SQL} SELECT udi, TRUE AS same FROM s WHERE is_test")(_save_load)
 
 
 def _compare_mc(s, sf):
-    feats, prep = _prep(s, sf, "multiclass")
-    table, _ = models.compare_models(feats, prep, "multiclass",
+    table, _ = models.compare_models(_prep(s, sf, "multiclass")[1], "multiclass",
                                      fit=lambda p, name, task: _bundle(s, sf, name, task))
     return table
 
@@ -155,7 +133,7 @@ register("compare_models_multiclass")(_compare_mc)
 
 
 def _importance_split(s, sf):
-    imp = models.feature_importance(_bundle(s, sf, "LightGBM", "binary"))
+    imp = models.feature_importance(_bundle(s, sf, models.LEAFWISE, "binary"))
     return imp.groupBy("is_engineered").agg(F.sum("importance").alias("importance"),
                                             F.count(F.lit(1)).alias("features"))
 

@@ -109,3 +109,36 @@ register("preprocess_train_binary")(
 
 register("preprocess_train_multiclass")(
     lambda s, sf: preprocess.preprocess_pipeline(unique_featured(s, sf), "multiclass").train)
+
+
+# ---------------------------------------------------------------- typed one-hot pipeline
+_TYPED_NUMERIC = [f for f in _F if f not in ("machine_type", "wear_category")]
+_PREP_MC_SQL = (_PREP_SQL.replace("CAST(target AS DOUBLE) AS label", "failure_type AS label")
+                .replace("IN ('L', 'M', 'H'))", "IN ('L', 'M', 'H') AND failure_type IS NOT NULL)"))
+
+
+def _typed_sql(prep_sql):
+    dummies = [("machine_type", "L", 0), ("machine_type", "M", 1), ("wear_category", "Low", 1),
+               ("wear_category", "Medium", 2)]
+    return f"""WITH {prep_sql},
+st AS (SELECT {", ".join(f"AVG({f}) AS m_{f}, STDDEV_POP({f}) AS s_{f}" for f in _TYPED_NUMERIC)} FROM train)
+SELECT udi, label, {", ".join(
+        f"ROUND(({f} - m_{f}) / CASE WHEN s_{f} = 0 OR s_{f} IS NULL THEN 1 ELSE s_{f} END, 6) AS {f}"
+        for f in _TYPED_NUMERIC)},
+       {", ".join(f"CAST({f} = {code} AS INT) AS {f}_{v}" for f, v, code in dummies)}
+FROM s, st WHERE is_test"""
+
+
+def _typed_test(s, sf, task):
+    from sensorlab.functions.exprs import dround
+    prep = preprocess.typed_pipeline(unique_featured(s, sf), task, SEED, "arith", oversample=False)
+    dummies = [f for f in prep.features if f not in _TYPED_NUMERIC]
+    return prep.test.select("udi", "label", *[dround(f, 6).alias(f) for f in _TYPED_NUMERIC],
+                            *[c(f).cast("int").alias(f) for f in dummies])
+
+
+for _task, _sql in [("binary", _PREP_SQL), ("multiclass", _PREP_MC_SQL)]:
+    register(f"preprocess_typed_test_{_task}", _typed_sql(_sql))(
+        lambda s, sf, _t=_task: _typed_test(s, sf, _t))
+    register(f"preprocess_typed_train_{_task}")(
+        lambda s, sf, _t=_task: preprocess.typed_pipeline(unique_featured(s, sf), _t, SEED, "arith").train)

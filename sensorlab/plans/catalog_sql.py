@@ -292,3 +292,10 @@ register("eda_sensor_differentiator", _diff_sql("MAX"))(
     lambda s, sf: eda.eda_sensor_differentiator(raw(s, sf), "max"))
 register("eda_sensor_differentiator_avg", _diff_sql("AVG"))(
     lambda s, sf: eda.eda_sensor_differentiator(raw(s, sf), "avg"))
+
+_KINDS = [("numeric", ["air_temperature_k", "process_temperature_k", "rotational_speed_rpm", "torque_nm",
+                       "tool_wear_min", "target", "temperature_diff", "mechanical_stress", "high_stress_flag"]),
+          ("categorical", ["machine_type", "wear_category", "failure_type"])]
+register("select_types", " UNION ALL ".join(
+    f"SELECT '{f}' AS column, '{kind}' AS kind, COUNT({f}) AS non_null FROM feat"
+    for kind, names in _KINDS for f in names))(lambda s, sf: features.column_kinds(featured(s, sf)))

@@ -39,6 +39,15 @@ def predictions_table(scored_features: DataFrame) -> DataFrame:
             .withColumn("risk_band", risk_band("risk_score")))
 
 
+def extracts(pred: DataFrame, scored: DataFrame, scored_mc: DataFrame) -> dict[str, DataFrame]:
+    """The five exported datasets by file name: predictions, risk bands, predicted types,
+    per-type F1 and the binary confusion matrix."""
+    return {"DS1_predictions": pred, "DS3_risk_bands": dash_risk_bands(pred),
+            "DS4_predicted_types": dash_predicted_types(scored_mc),
+            "DS5_f1_by_type": dash_f1_by_type(scored_mc),
+            "DS6_confusion_matrix": evaluate.confusion_matrix(scored)}
+
+
 def dash_health_kpis(pred: DataFrame, where: Column | None = None) -> DataFrame:
     d = _slice(pred, where)
     return d.agg(F.count(F.lit(1)).alias("total_machines"),

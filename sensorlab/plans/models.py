@@ -30,13 +30,21 @@ from pyspark.sql import functions as F
 from sensorlab.operators import evaluate, sampling
 from sensorlab.plans.preprocess import NUMERIC_FEATURES, Prepared
 from sensorlab.schema import ENGINEERED, MACHINE_TYPE_CODES
+from sensorlab.session import cut_lineage
 
 c = F.col
 SEED = 42
 
-# Names of the six compared models (the reference's comparison table).
+# Names of the six compared models; the two boosters Spark does not have are GBT presets
+# and say so in every result.
+DEPTHWISE, LEAFWISE = "GBT depth-wise preset", "GBT leaf-wise preset"
 MODEL_NAMES = ["Logistic Regression", "Decision Tree", "Random Forest", "Gradient Boosting",
-               "XGBoost", "LightGBM"]
+               DEPTHWISE, LEAFWISE]
+# Statistics of one tree level fit one pass up to this much memory (deep levels otherwise
+# take several passes over the rows).
+TREE_MEMORY_MB = 1024
+# Training rows per task: a fit makes one job per tree level, so small inputs use few tasks.
+ROWS_PER_FIT_TASK = 50_000
 
 
 def make_classifier(name: str, task: str, n_train: int, label_col: str, params: dict | None = None):
@@ -52,16 +60,16 @@ def make_classifier(name: str, task: str, n_train: int, label_col: str, params:
         return LogisticRegression(maxIter=1000, regParam=1.0 / max(n_train, 1), elasticNetParam=0.0,
                                   standardization=False, **common)
     if name == "Decision Tree":
-        return DecisionTreeClassifier(maxDepth=30, seed=SEED, **common)
+        return DecisionTreeClassifier(maxDepth=30, maxMemoryInMB=TREE_MEMORY_MB, seed=SEED, **common)
     if name == "Random Forest":
         return RandomForestClassifier(numTrees=100, featureSubsetStrategy="sqrt", maxDepth=30,
-                                      seed=SEED, **common)
+                                      maxMemoryInMB=TREE_MEMORY_MB, seed=SEED, **common)
     presets = {"Gradient Boosting": dict(maxIter=100, stepSize=0.1, maxDepth=3),
-               "XGBoost": dict(maxIter=100, stepSize=0.3, maxDepth=6),
-               "LightGBM": dict(maxIter=100, stepSize=0.1, maxDepth=5)}
+               DEPTHWISE: dict(maxIter=100, stepSize=0.3, maxDepth=6),
+               LEAFWISE: dict(maxIter=100, stepSize=0.1, maxDepth=5)}
     if name in presets:
         kw = {**presets[name], **p}
-        gbt = GBTClassifier(seed=SEED, **kw, **(common if task == "binary" else {"featuresCol": "features"}))
+        gbt = GBTClassifier(seed=SEED, maxMemoryInMB=TREE_MEMORY_MB, **kw, **(common if task == "binary" else {"featuresCol": "features"}))
         if task == "binary":
             return gbt
         # class models are independent: fit them as concurrent jobs
@@ -152,6 +160,17 @@ def test_features(features_df: DataFrame, prep: Prepared) -> DataFrame:
     return features_df.join(keys, "udi", "left_semi")
 
 
+def score_prepared(bundle: Bundle, rows: DataFrame) -> DataFrame:
+    """Scored rows (udi, label, prediction, score) of already encoded and scaled rows."""
+    assembled = VectorAssembler(inputCols=NUMERIC_FEATURES, outputCol="features").transform(rows)
+    out = PipelineModel(stages=bundle.model.stages[2:]).transform(assembled)
+    if bundle.task == "multiclass":
+        return out.select("udi", "label", c("predicted_label").alias("prediction"))
+    score_col = vector_to_array("probability")[1] if "probability" in out.columns else c("prediction")
+    return out.select("udi", c("label").cast("int").alias("label"),
+                      c("prediction").cast("int").alias("prediction"), score_col.cast("double").alias("score"))
+
+
 def _metric_row(scored: DataFrame, task: str) -> dict:
     if task == "binary":
         m = evaluate.metrics_binary(scored).first().asDict()
@@ -162,20 +181,21 @@ def _metric_row(scored: DataFrame, task: str) -> dict:
     return m
 
 
-def compare_models(features_df: DataFrame, prep: Prepared, task: str = "binary",
-                   names: Sequence[str] = MODEL_NAMES, fit=None,
-                   parallelism: int = 3) -> tuple[DataFrame, dict[str, Bundle]]:
+def compare_models(prep: Prepared, task: str = "binary", names: Sequence[str] = MODEL_NAMES,
+                   fit=None, parallelism: int = 3) -> tuple[DataFrame, dict[str, Bundle]]:
     """Fit each model, score the untouched test split, table sorted by F1 (desc).
 
-    The fits are independent Spark jobs and run concurrently from a driver thread pool;
-    ``fit(prep, name, task)`` may return an already fitted bundle."""
-    spark = features_df.sparkSession
+    The test rows are read scaled, as prepared, and each model scores them once; every
+    metric reads those scored rows.  The fits are independent Spark jobs and run
+    concurrently from a driver thread pool; ``fit(prep, name, task)`` may return an
+    already fitted bundle."""
+    spark = prep.train.sparkSession
     fit = fit or fit_bundle
-    test_rows = test_features(features_df, prep).persist(StorageLevel.MEMORY_AND_DISK)
+    test_rows = prep.test.persist(StorageLevel.MEMORY_AND_DISK)
 
     def one(name):
         b = fit(prep, name, task)
-        scored = score(b, test_rows).persist(StorageLevel.MEMORY_AND_DISK)  # every metric reads it
+        scored = score_prepared(b, test_rows).persist(StorageLevel.MEMORY_AND_DISK)
         m = _metric_row(scored, task)
         scored.unpersist()
         return name, b, (name, m["accuracy"], m["precision"], m["recall"], m["f1"], m["roc_auc"])
@@ -248,18 +268,14 @@ def sample_params(n_iter: int, seed: int = SEED) -> list[dict]:
     return out
 
 
-def to_gbt_params(combo: dict, caps: dict | None = None) -> dict:
+def to_gbt_params(combo: dict) -> dict:
     """Map a booster combination to GBT params; reg_alpha / reg_lambda have no
-    counterpart and are only reported.  ``caps`` (e.g. {"maxIter": 50, "maxDepth": 5})
-    bounds the cost of a run; it is off by default and reported when used."""
+    counterpart and are only reported."""
     depth = combo["max_depth"] if combo["max_depth"] > 0 else UNLIMITED_DEPTH
     col = combo["colsample_bytree"]
-    out = {"maxIter": combo["n_estimators"], "maxDepth": depth, "stepSize": combo["learning_rate"],
-           "featureSubsetStrategy": "all" if col >= 1.0 else str(col),
-           "subsamplingRate": combo["subsample"], "minInstancesPerNode": combo["min_child_samples"]}
-    for k, v in (caps or {}).items():
-        out[k] = min(out[k], v)
-    return out
+    return {"maxIter": combo["n_estimators"], "maxDepth": depth, "stepSize": combo["learning_rate"],
+            "featureSubsetStrategy": "all" if col >= 1.0 else str(col),
+            "subsamplingRate": combo["subsample"], "minInstancesPerNode": combo["min_child_samples"]}
 
 
 @dataclass
@@ -270,18 +286,24 @@ class SearchResult:
     folds: int
 
 
-def _fold_sets(prep: Prepared, k: int, smote_before_cv: bool, seed: int):
-    """(train, validation) per fold.  Default: oversample inside each fold's training
-    part only, so no synthetic neighbour of a validation row is trained on."""
-    if smote_before_cv:
-        base = sampling.stratified_folds(prep.train, k, seed=seed)
-        return [(base.where(c("fold") != f), base.where(c("fold") == f)) for f in range(k)]
-    base = sampling.stratified_folds(prep.train_unbalanced, k, seed=seed)
+def _fit_input(df: DataFrame) -> DataFrame:
+    """Rows written once and read in as many tasks as they fill (``ROWS_PER_FIT_TASK``)."""
+    stored = cut_lineage(df)
+    return stored.coalesce(max(1, math.ceil(stored.count() / ROWS_PER_FIT_TASK)))
+
+
+def _fold_sets(prep: Prepared, k: int, smote_before_cv: bool, seed: int) -> list[tuple[DataFrame, DataFrame]]:
+    """(train, validation) per fold, each written once.  Default: oversample inside each
+    fold's training part only, so no synthetic neighbour of a validation row is trained on;
+    a fold's class with fewer than 6 rows uses the neighbours it has."""
+    source = prep.train.drop("is_synthetic") if smote_before_cv else prep.train_unbalanced
+    base = cut_lineage(sampling.stratified_folds(source, k, seed=seed))
     sets = []
     for f in range(k):
         tr = base.where(c("fold") != f).drop("fold")
-        bal = sampling.smote(tr, NUMERIC_FEATURES, seed=seed)
-        sets.append((bal, base.where(c("fold") == f)))
+        if not smote_before_cv:
+            tr = sampling.smote(tr, NUMERIC_FEATURES, seed=seed, k_cap=True, materialized=True)
+        sets.append((_fit_input(tr), _fit_input(base.where(c("fold") == f).drop("fold"))))
     return sets
 
 
@@ -302,7 +324,7 @@ def _fit_scaled(train: DataFrame, task: str, params: dict) -> tuple[PipelineMode
     if task == "multiclass":
         stages.append(StringIndexer(inputCol="label", outputCol="label_idx", stringOrderType="alphabetAsc"))
         label_col = "label_idx"
-    stages.append(make_classifier("LightGBM", task, n, label_col, params))
+    stages.append(make_classifier(LEAFWISE, task, n, label_col, params))
     fitted = Pipeline(stages=stages).fit(train)
     labels = []
     score_stages = [fitted.stages[0], fitted.stages[-1]]
@@ -313,8 +335,8 @@ def _fit_scaled(train: DataFrame, task: str, params: dict) -> tuple[PipelineMode
 
 
 def random_search(prep: Prepared, task: str = "binary", n_iter: int = 50, folds: int = 5,
-                  seed: int = SEED, smote_before_cv: bool = False, parallelism: int = 4,
-                  caps: dict | None = None) -> SearchResult:
+                  seed: int = SEED, smote_before_cv: bool = False,
+                  parallelism: int = 4) -> SearchResult:
     """Randomized search over PARAM_GRID with stratified k-fold CV, weighted F1.
 
     Fits run as concurrent Spark jobs from a driver thread pool (``parallelism``), the
@@ -323,14 +345,11 @@ def random_search(prep: Prepared, task: str = "binary", n_iter: int = 50, folds:
     spark = prep.train.sparkSession
     combos = sample_params(n_iter, seed)
     sets = _fold_sets(prep, folds, smote_before_cv, seed)
-    for tr, va in sets:
-        tr.persist(StorageLevel.MEMORY_AND_DISK)
-        va.persist(StorageLevel.MEMORY_AND_DISK)
 
     def fit_one(job):
         i, f = job
         tr, va = sets[f]
-        model, labels = _fit_scaled(tr, task, to_gbt_params(combos[i], caps))
+        model, labels = _fit_scaled(tr, task, to_gbt_params(combos[i]))
         return i, _weighted_f1(model, va, task, labels)
 
     jobs = [(i, f) for i in range(len(combos)) for f in range(len(sets))]
@@ -343,8 +362,6 @@ def random_search(prep: Prepared, task: str = "binary", n_iter: int = 50, folds:
         std = math.sqrt(sum((x - mean) ** 2 for x in scores) / len(scores))
         results.append((i, combo, mean, std, scores))
     note = "reg_alpha, reg_lambda not applied (no GBT counterpart)"
-    if caps:
-        note += "; capped " + ", ".join(f"{k}<={v}" for k, v in sorted(caps.items()))
     rows = []
     for i, combo, mean, std, scores in results:
         rows.append((i, *[float(combo[k]) for k in PARAM_GRID], float(mean), float(std), note))
@@ -352,10 +369,7 @@ def random_search(prep: Prepared, task: str = "binary", n_iter: int = 50, folds:
               + ", mean_test_score double, std_test_score double, note string")
     table = spark.createDataFrame(rows, schema)
     best = max(results, key=lambda r: (r[2], -r[0]))
-    best_bundle = fit_bundle(prep, "LightGBM", task, to_gbt_params(best[1], caps))
-    for tr, va in sets:
-        tr.unpersist()
-        va.unpersist()
+    best_bundle = fit_bundle(prep, LEAFWISE, task, to_gbt_params(best[1]))
     return SearchResult(table, best[1], best_bundle, folds)
 
 
@@ -365,39 +379,45 @@ def cv_results(result: SearchResult, top: int = 20) -> DataFrame:
     return result.cv_results.withColumn("rank", F.row_number().over(w)).where(c("rank") <= top)
 
 
-def default_vs_tuned(features_df: DataFrame, prep: Prepared, task: str, tuned: Bundle,
+def default_vs_tuned(prep: Prepared, task: str, tuned: Bundle,
                      default: Bundle | None = None) -> tuple[float, float]:
     """Weighted F1 on the test split of the default booster and of the tuned one."""
-    test_rows = test_features(features_df, prep)
-    default = default or fit_bundle(prep, "LightGBM", task)
-    d = float(evaluate.metrics_weighted(score(default, test_rows)).first()["f1"])
-    t = float(evaluate.metrics_weighted(score(tuned, test_rows)).first()["f1"])
+    default = default or fit_bundle(prep, LEAFWISE, task)
+    d = float(evaluate.metrics_weighted(score_prepared(default, prep.test)).first()["f1"])
+    t = float(evaluate.metrics_weighted(score_prepared(tuned, prep.test)).first()["f1"])
     return d, t
 
 
 def learning_curve(prep: Prepared, task: str = "binary", params: dict | None = None,
                    sizes: Sequence[float] = tuple(0.1 + i * 0.9 / 7 for i in range(8)),
-                   folds: int = 3, seed: int = SEED, parallelism: int = 4) -> DataFrame:
+                   folds: int = 3, seed: int = SEED, smote_before_cv: bool = False,
+                   parallelism: int = 4) -> DataFrame:
     """Train / validation weighted F1 (mean, population std over folds) per training size.
 
-    Each fold's training part is ordered by key hash; the first fraction of it is the
-    subset, so subsets are nested and reproducible."""
+    Each fold's training part is ranked per class by key hash; a subset holds the first
+    ceil(fraction * n) rows of every class, so subsets are exact, nested and stratified.
+    Oversampling happens inside the training part (see ``_fold_sets``)."""
     spark = prep.train.sparkSession
-    params = params or {}
-    base = sampling.stratified_folds(prep.train, folds, seed=seed).persist(StorageLevel.MEMORY_AND_DISK)
-    ranked = base.withColumn("_u", F.pmod(F.xxhash64(c("udi"), F.lit(seed + 7)), F.lit(1 << 20)) / float(1 << 20))
+    parts = []
+    for tr, va in _fold_sets(prep, folds, smote_before_cv, seed):
+        tr = tr.select("udi", "label", *NUMERIC_FEATURES)
+        size = {r[0]: int(r[1]) for r in tr.groupBy("label").count().collect()}  # one row per class
+        n_c = F.lit(None).cast("long")
+        for label, n in size.items():
+            n_c = F.when(c("label") == label, F.lit(n)).otherwise(n_c)
+        parts.append((_fit_input(sampling.dense_index(tr, "label", "udi", seed).withColumn("_n", n_c)), va))
+
     def one(job):
         frac, f = job
-        tr = ranked.where((c("fold") != f) & (c("_u") < frac)).drop("fold", "_u")
-        va = ranked.where(c("fold") == f).drop("fold", "_u")
-        model, labels = _fit_scaled(tr, task, params)
+        ranked, va = parts[f]
+        tr = ranked.where(c("_idx") < F.ceil(F.lit(float(frac)) * c("_n"))).drop("_idx", "_n")
+        model, labels = _fit_scaled(tr, task, params or {})
         return (float(frac), f, tr.count(), _weighted_f1(model, tr, task, labels),
                 _weighted_f1(model, va, task, labels))
 
     jobs = [(frac, f) for frac in sizes for f in range(folds)]
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         rows = list(pool.map(one, jobs))
-    base.unpersist()
     df = spark.createDataFrame(rows, "fraction double, fold int, train_rows long, train_score double, "
                                      "validation_score double")
     return df.groupBy("fraction").agg(
@@ -408,20 +428,18 @@ def learning_curve(prep: Prepared, task: str = "binary", params: dict | None = N
 
 
 def cross_val_score(prep: Prepared, task: str = "binary", params: dict | None = None,
-                    folds: int = 5, seed: int = SEED, parallelism: int = 4) -> DataFrame:
+                    folds: int = 5, seed: int = SEED, smote_before_cv: bool = False,
+                    parallelism: int = 4) -> DataFrame:
     """Per-fold weighted F1 of one configuration, plus mean and population std rows."""
     spark = prep.train.sparkSession
-    base = sampling.stratified_folds(prep.train, folds, seed=seed).persist(StorageLevel.MEMORY_AND_DISK)
+    sets = _fold_sets(prep, folds, smote_before_cv, seed)
 
     def one(f):
-        tr = base.where(c("fold") != f).drop("fold")
-        va = base.where(c("fold") == f).drop("fold")
-        model, labels = _fit_scaled(tr, task, params or {})
-        return (f"fold_{f}", _weighted_f1(model, va, task, labels))
+        model, labels = _fit_scaled(sets[f][0], task, params or {})
+        return (f"fold_{f}", _weighted_f1(model, sets[f][1], task, labels))
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         rows = list(pool.map(one, range(folds)))
-    base.unpersist()
     vals = [v for _, v in rows]
     mean = sum(vals) / len(vals)
     std = math.sqrt(sum((v - mean) ** 2 for v in vals) / len(vals))

@@ -106,3 +106,42 @@ def preprocess_pipeline(features_df: DataFrame, task: str = "binary", seed: int
     # the shared checkpoint folder (cuts the SMOTE lineage; survives executor loss)
     balanced = cut_lineage(balanced)
     return Prepared(balanced, test_s, scaler, codes, train_s)
+
+
+@dataclass
+class TypedPrepared:
+    train: DataFrame          # scaled and one-hot, oversampled (is_synthetic marks new rows)
+    test: DataFrame           # scaled and one-hot only
+    scaler: sampling.ScalerModel
+    categories: dict[str, list[str]]
+    features: list[str]
+
+
+def typed_pipeline(features_df: DataFrame, task: str = "binary", seed: int = 42,
+                   hash_kind: str = "xxhash64", k: int = 5, oversample: bool = True,
+                   k_cap: bool = False) -> TypedPrepared:
+    """Columns found by type: numeric ones scaled, strings one-hot with the first category
+    dropped (categories and scaler fitted on the training rows; an unknown category is all
+    zero), then SMOTE on the training rows.  Rows with a NULL input are dropped."""
+    label = {"binary": c("target").cast("double"), "multiclass": c("failure_type")}[task]
+    kinds = feat_ops.select_types(features_df, drop=("udi", "product_id", "target", "failure_type"))
+    numeric, strings = kinds["numeric"], kinds["categorical"]
+    rows = features_df.select("udi", *[c(f).cast("double").alias(f) for f in numeric], *strings,
+                              label.alias("label")).dropna()
+    train, test = split(rows, seed, hash_kind, materialize=True)
+    categories = {f: feat_ops.one_hot_categories(train, f) for f in strings}
+    scaler = sampling.fit_standard_scaler(train, numeric)
+    dummies = [f"{f}_{v}" for f in strings for v in categories[f][1:]]
+
+    def transform(df):
+        out = scaler.transform(df)
+        for f in strings:
+            out = feat_ops.one_hot_drop_first(out, f, categories[f])
+        return out.select("udi", "label", *numeric, *[c(d).cast("double").alias(d) for d in dummies])
+
+    inputs = numeric + dummies
+    if oversample:
+        balanced = sampling.smote(transform(train), inputs, k=k, seed=seed, k_cap=k_cap, materialized=True)
+    else:
+        balanced = transform(train).withColumn("is_synthetic", F.lit(False))
+    return TypedPrepared(cut_lineage(balanced), transform(test), scaler, categories, inputs)
