@@ -12,6 +12,11 @@ are put in the order of the md5 of their id and read again from the start when a
 taken.  The point set is balanced over every prefix, so any stretch of the mixed stream
 is close to the target weights.
 
+A block grows with the corpus, so a source with a target of fewer than ``FINE`` blocks would
+be far from it.  Such a source has blocks of its own, about ``FINE`` of them, evenly spaced
+over the slots; the last one is cut where the target ends.  ``oracle`` states the schedule of
+the other sources only (and of all if a block is one word).
+
 Only DataFrame functions run.  Running totals over a source (a third of all rows may be
 one source) are taken in two levels: within hash ranges, whose number grows with the
 document count, and over the totals of the ranges.
@@ -37,6 +42,7 @@ WEIGHTS = (5, 2, 1)
 PERCENT = 150
 EPOCHS = 2
 SLOTS = 4096          # slots per source on average; a block is this share of a mean target
+FINE = 1024           # blocks of a target below which a source has blocks of its own size
 ROWS_PER_RANGE = 512   # documents or slots in one range of a running total
 
 
@@ -102,6 +108,17 @@ def schedule(spark, sources: DataFrame, total: int, n_sources: int, n_slots: int
     return _running(placed, "source_no", "part", [c("slot")], F.lit(1), "k").select("slot", "source_no", "k")
 
 
+def fine_schedule(sources: DataFrame, n_slots: int) -> DataFrame:
+    """(slot, source_no, k) of the sources with own blocks of ``unit`` words: evenly spaced over
+    the slots, each source from another start (multiples of the golden ratio)."""
+    n = F.ceil(c("stop") / c("unit"))
+    start = c("source_no") * 0.6180339887498949
+    at = (c("k") + start - F.floor(start)) * n_slots / c("n")
+    return (sources.where("stop > 0").withColumn("n", n)
+            .withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), c("n") - 1)))
+            .select(F.floor(at).cast("long").alias("slot"), "source_no", "k"))
+
+
 def mixed_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                  weights: Sequence[int] = WEIGHTS, percent: int = PERCENT, epochs: int = EPOCHS,
                  slots: int = SLOTS) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -124,27 +141,33 @@ def mixed_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     total, n = int(total or 0), int(n or 0)
     block = max(1, total // (max(1, n_sources) * slots))
     n_slots = -(-total // block)
-    plan = written(schedule(spark, sources.select("source_no", "low", "high"), total, n_sources, n_slots), "plan")
+    # sources of few blocks: their own unit, and the word at which their target ends
+    fine = (F.lit(block) > 1) & (c("high") - c("low") < FINE * block)
+    unit = F.when(fine, F.greatest(F.lit(1), F.floor((c("high") - c("low")) / FINE))).otherwise(F.lit(block))
+    sources = sources.withColumn("unit", unit.cast("long")).withColumn("stop", F.when(fine, c("high") - c("low")))
+    coarse = schedule(spark, sources.where("stop is null").select("source_no", "low", "high"), total, n_sources, n_slots)
+    plan = written(coarse.unionByName(fine_schedule(sources, n_slots)), "plan")
 
     # the shuffled stream of each source: documents in md5 order, as ranges of words
     digest = F.md5(F.coalesce(c("doc_id").cast("string"), F.lit("")).cast("binary"))
     ranges = max(1, -(-n // ROWS_PER_RANGE))
     part = F.floor(F.conv(F.substring("digest", 1, 8), 16, 10).cast("long") * ranges / float(1 << 32))
-    keys = sources.select(c("source").alias("_source"), "source_no", "source_size")
+    keys = sources.select(c("source").alias("_source"), "source_no", "source_size", "unit", "stop")
     keyed = (sized.join(keys, c("source").eqNullSafe(c("_source"))).drop("_source", "source")
              .withColumn("digest", digest).withColumn("part", part))
     placed = written(_running(keyed, "source_no", "part", [c("digest"), c("size")], c("size"), "start")
-                     .select("doc_id", "size", "source_no", "source_size", "start"), "placed")
+                     .select("doc_id", "size", "source_no", "source_size", "start", "unit", "stop"), "placed")
 
     # the same documents once per epoch, cut at the block borders of the repeated stream
     spans = placed.where("size > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
     begin = (c("start") + c("epoch") * c("source_size")).cast("long")
-    spans = spans.withColumn("begin", begin).withColumn("end", c("begin") + c("size"))
-    cut = spans.withColumn("k", F.explode(F.sequence(F.floor(c("begin") / block), F.floor((c("end") - 1) / block))))
+    end = F.least(c("begin") + c("size"), F.coalesce("stop", c("begin") + c("size")))
+    spans = spans.withColumn("begin", begin).withColumn("end", end).where("end > begin")
+    cut = spans.withColumn("k", F.explode(F.sequence(F.floor(c("begin") / c("unit")), F.floor((c("end") - 1) / c("unit")))))
     pieces = cut.join(plan, ["source_no", "k"]).select(
         "slot", "source_no", "start", "doc_id", "size", "epoch",
-        (F.greatest(c("begin"), c("k") * block) - c("begin")).alias("from_word"),
-        (F.least(c("end"), (c("k") + 1) * block) - c("begin")).alias("to_word"))
+        (F.greatest(c("begin"), c("k") * c("unit")) - c("begin")).alias("from_word"),
+        (F.least(c("end"), (c("k") + 1) * c("unit")) - c("begin")).alias("to_word"))
     return placed, pieces, sources
 
 
@@ -154,7 +177,7 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     placed, pieces, sources = mixed_pieces(docs, **options)
     used = pieces.groupBy(c("source_no").alias("_no"), c("start").alias("_start")).agg(
         F.sum(c("to_word") - c("from_word")).alias("taken"), F.min("slot").alias("first_slot"))
-    return (placed.drop("source_size")
+    return (placed.drop("source_size", "unit", "stop")
             .join(used, (c("size") > 0) & (c("source_no") == c("_no")) & (c("start") == c("_start")), "left")
             .join(sources.select(c("source_no").alias("_s"), "source", "source_size", "target"),
                   c("source_no") == c("_s"))

@@ -212,6 +212,28 @@ def test_mixing_oracle(spark, table):
     assert sorted(map(tuple, got.collect())) == sorted(want)
 
 
+def test_mixing_sources_of_very_different_sizes(spark):
+    """From a hundred words to a third of the corpus; a block is far longer than the small targets."""
+    sizes = {"a": 100, "b": 3_000_000, "c": 500, "d": 2_000_000, "e": 2_500, "f": 8_000, "g": 20_000, "h": 80_000,
+             "i": 1_500_000, None: 300}
+    rows = [(f"{k}{j}", k, min(1000, n - j * 1000)) for k, n in sizes.items() for j in range(-(-n // 1000))]
+    docs = spark.createDataFrame(rows, "doc_id string, source string, n int").withColumn("text", F.repeat(F.lit("w "), F.col("n")))
+    got = mixing.mix(docs).toPandas()
+    assert int(got.drop_duplicates("source").target.sum()) // (len(sizes) * mixing.SLOTS) > 100
+    by = got.groupby("source", dropna=False).agg(target=("target", "first"), taken=("taken", "sum"))
+    assert len(by) == len(sizes) and (by.target > 0).all()
+    assert (abs(by.taken - by.target) <= 1 + 0.0125 * by.target).all()
+    small = by[by.target < mixing.FINE * 100]
+    assert len(small) >= 6 and (small.taken == np.floor(small.target)).all()
+    assert (got.taken <= 2 * got["size"]).all()
+    _, pieces, _ = mixing.mixed_pieces(docs)
+    half = pieces.toPandas()
+    number = got.drop_duplicates("source").set_index("source").source_no["f"]
+    half = half[half.source_no == number].assign(words=lambda x: x.to_word - x.from_word)
+    middle = half.slot < (10 * mixing.SLOTS) // 2
+    assert abs(half[middle].words.sum() / half.words.sum() - 0.5) < 0.02
+
+
 def test_mixing_is_native(spark):
     plan = mixing.mix(h.documents(spark))._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow", "CartesianProduct", "NestedLoop"))
