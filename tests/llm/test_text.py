@@ -165,6 +165,31 @@ def test_wording_differences():
     assert found["license"] == "Apache-2.0" and found["wording"] == ["replace: software -> program"]
 
 
+def license_filler(n, seed=4):
+    rng = random.Random(seed)
+    return ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 9))) for _ in range(n)]
+
+
+@pytest.mark.parametrize("i", range(len(license_scan.TEMPLATES)))
+def test_notice_inside_a_long_line(i):
+    name, _, text = license_scan.TEMPLATES[i]
+    for n in (40, 400):
+        filler = license_filler(n)
+        line = " ".join([*filler[:n // 2], text, *filler[n // 2:]])
+        got = license_scan.Scanner().scan("first line\n" + line)
+        assert [(x["license"], x["differences"], x["line"]) for x in got] == [(name, 0, 1)]
+
+
+def test_alignment_has_the_fewest_changes():
+    rng = random.Random(6)
+    for _ in range(500):
+        a = [rng.choice("abc") for _ in range(rng.randint(0, 8))]
+        b = [rng.choice("abc") for _ in range(rng.randint(0, 10))]
+        want = min(h.edit_distance(a, b[:j]) for j in range(len(b) + 1))
+        got = license_scan.align(a, b, set(), 3)
+        assert (got is None) == (want > 3) and (got is None or got[0] == want == sum(x != y for x, y in got[1]))
+
+
 @pytest.mark.parametrize("table", [h.odd_documents, h.empty_documents])
 def test_license_odd_rows(spark, table):
     docs = h.repeat(table(spark))
