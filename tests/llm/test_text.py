@@ -190,6 +190,19 @@ def test_alignment_has_the_fewest_changes():
         assert (got is None) == (want > 3) and (got is None or got[0] == want == sum(x != y for x, y in got[1]))
 
 
+@pytest.mark.parametrize("text, want", [
+    ("Licensed under the MIT License or the Apache License, Version 2.0.", ["Apache-2.0", "MIT"]),
+    ("Licensed under the Apache License, Version 2.0 or the MIT License or the BSD License.", ["Apache-2.0", "BSD", "MIT"]),
+    ("Released under the MIT License. Licensed under CC BY-SA 4.0. This work is dedicated to the public domain.",
+     ["CC-BY-SA-4.0", "CC0-1.0", "MIT"]),
+    ("This work is licensed under the GNU Lesser General Public License, version 3.", ["LGPL-3.0"]),
+    ("Licensed under the MIT License. The Apache License, Version 2.0 is another one.", ["MIT"]),
+    (" ".join(t for _, _, t in license_scan.TEMPLATES), sorted({n for n, _, _ in license_scan.TEMPLATES}))])
+def test_all_licenses_of_a_line(text, want):
+    for line in (text, " ".join([*license_filler(100), text, *license_filler(100)])):
+        assert sorted(x["license"] for x in license_scan.Scanner().scan(line)) == want
+
+
 @pytest.mark.parametrize("table", [h.odd_documents, h.empty_documents])
 def test_license_odd_rows(spark, table):
     docs = h.repeat(table(spark))
