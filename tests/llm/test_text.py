@@ -203,6 +203,17 @@ def test_all_licenses_of_a_line(text, want):
         assert sorted(x["license"] for x in license_scan.Scanner().scan(line)) == want
 
 
+@pytest.mark.parametrize("i", range(len(license_scan.TEMPLATES)))
+def test_every_template_is_found_wrapped_and_unwrapped(i):
+    name, _, text = license_scan.TEMPLATES[i]
+    parts = text.split(" ")
+    for mark in ("\n", "\n * ", "\n\n  # ", "\t"):
+        for n in (1, 2, 3, 12):
+            wrapped = "".join(x + (mark if k % n == n - 1 else " ") for k, x in enumerate(parts))
+            for t in (text, text.upper(), wrapped):
+                assert [(x["license"], x["differences"]) for x in license_scan.Scanner().scan(t)] == [(name, 0)]
+
+
 @pytest.mark.parametrize("table", [h.odd_documents, h.empty_documents])
 def test_license_odd_rows(spark, table):
     docs = h.repeat(table(spark))
