@@ -2,10 +2,13 @@
 
 Training counts character 3- and 4-grams per language over every labelled row.  An n-gram
 belongs to the languages in which its relative frequency is at least ``NEAR_BEST`` of its
-best one.  All languages share one Bloom filter of ``SLOTS`` slots and ``HASHES`` hashes whose
+best one.  All languages share one Bloom filter of ``HASHES`` hashes whose
 slots hold a bit per language (bit-sliced: one look-up tests all languages): the AND of an
-n-gram's slots is the set of languages that contain it.  The slots are built with
-``bit_or`` in Spark; at most SLOTS rows per 63 languages reach the driver.
+n-gram's slots is the set of languages that contain it.  There are so many slots (a power of
+two) that the language with most n-grams sets at most half of them, 2**``SLOT_BITS`` at least.
+They are built with ``bit_or`` in Spark and reach the driver if their masks fit into
+``MASK_BYTES``.  Beyond that the n-grams stay a table, and texts meet it in a Spark join: the
+same counts without false positives.
 
 A text's n-grams are looked up and counted per language; a language's hit rate is
 corrected for its filter's false positives, (hits / n - f) / (1 - f) with f = fill ** HASHES,
@@ -30,8 +33,8 @@ from sensorlab.session import ship_package
 c = F.col
 U64 = np.uint64
 
-SLOT_BITS = 20
-SLOTS = 1 << SLOT_BITS
+SLOT_BITS = 20               # least size of the filter
+MASK_BYTES = 32 << 20        # largest filter that is sent around
 HASHES = 4
 ORDERS = (3, 4)
 NEAR_BEST = 0.5
@@ -119,23 +122,31 @@ def _counting(batches):
             yield rows(name)
 
 
+def slot_bits(n: int) -> int:
+    """Bits of a slot number with which n n-grams of a language set at most half of the slots."""
+    return max(SLOT_BITS, int(np.ceil(np.log2(max(1, n) * HASHES / np.log(2)))))
+
+
 class Filters:
-    """The learned filters: languages, slot masks [SLOTS, words] and false-positive rates."""
+    """The learned filters: languages, slot masks [slots, words] and false-positive rates; or
+    the table (hash, k) of n-grams and numbers of languages instead of the masks."""
 
-    def __init__(self, langs: list[str], masks: np.ndarray):
-        self.langs, self.masks = langs, masks
-        bits = [(masks[:, k // LANGS_PER_WORD] >> (k % LANGS_PER_WORD)) & 1 for k in range(len(langs))]
-        self.false = np.array([float(b.mean()) ** HASHES for b in bits])
+    def __init__(self, langs: list[str], masks: np.ndarray | None, table: DataFrame | None = None):
+        self.langs, self.masks, self.table = langs, masks, table
+        if masks is not None:
+            bits = [(masks[:, k // LANGS_PER_WORD] >> (k % LANGS_PER_WORD)) & 1 for k in range(len(langs))]
+            self.false = np.array([float(b.mean()) ** HASHES for b in bits])
 
     def rates(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(corrected hit rate per text and language, n-grams per text)."""
         row, h = ngrams(texts)
         n = np.bincount(row, minlength=len(texts))
-        low = (h & U64(SLOTS - 1)).astype(np.int64)
-        step = (((h >> U64(SLOT_BITS)) & U64(SLOTS - 1)) | U64(1)).astype(np.int64)
+        slots = len(self.masks)
+        low = (h & U64(slots - 1)).astype(np.int64)
+        step = (((h >> U64(slots.bit_length() - 1)) & U64(slots - 1)) | U64(1)).astype(np.int64)
         found = self.masks[low]
         for k in range(1, HASHES):
-            found &= self.masks[(low + k * step) & (SLOTS - 1)]
+            found &= self.masks[(low + k * step) & (slots - 1)]
         out = np.zeros((len(texts), len(self.langs)))
         for k in range(len(self.langs)):
             hit = (found[:, k // LANGS_PER_WORD] >> (k % LANGS_PER_WORD)) & 1
@@ -155,33 +166,74 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -
     # the languages: the distinct values of a label column
     langs = sorted(r["lang"] for r in totals.select("lang").toLocalIterator())
     words = max(1, -(-len(langs) // LANGS_PER_WORD))
-    masks = np.zeros((SLOTS, words), dtype=np.int64)
+    bits = SLOT_BITS
     if langs:
         number = F.array_position(F.array(*[F.lit(x) for x in langs]), c("lang")) - 1
         share = counts.join(totals, "lang").select("hash", "n", number.alias("k"), (c("n") / c("total")).alias("rate"))
         best = share.groupBy("hash").agg(F.max("rate").alias("best"), F.sum("n").alias("all"),
                                          F.collect_list(F.struct("k", "rate")).alias("each"))
-        kept = best.where(c("all") >= LEAST_COUNT).select(
+        kept = written(best.where(c("all") >= LEAST_COUNT).select(
             "hash", F.explode(F.filter("each", lambda x: x["rate"] >= NEAR_BEST * c("best"))).alias("x"))
-        low = c("hash").bitwiseAND(SLOTS - 1)
-        step = F.shiftrightunsigned("hash", SLOT_BITS).bitwiseAND(SLOTS - 1).bitwiseOR(1)
-        places = F.array(*[(low + k * step).bitwiseAND(SLOTS - 1) for k in range(HASHES)])
-        bit = F.expr(f"shiftleft(1L, cast(x.k % {LANGS_PER_WORD} as int))")
-        slots = (kept.select(F.explode(places).alias("slot"), F.floor(c("x.k") / LANGS_PER_WORD).alias("word"),
-                             bit.alias("bit"))
-                 .groupBy("slot", "word").agg(F.bit_or("bit").alias("mask")))
-        got = slots.toPandas()  # at most SLOTS rows per 63 languages
+            .select("hash", c("x.k").cast("int").alias("k")), "kept")
+        bits = slot_bits(kept.groupBy("k").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0)
+        if (words * 8) << bits > MASK_BYTES:
+            return Filters(langs, None, kept)
+    slots = 1 << bits
+    masks = np.zeros((slots, words), dtype=np.int64)
+    if langs:
+        low = c("hash").bitwiseAND(slots - 1)
+        step = F.shiftrightunsigned("hash", bits).bitwiseAND(slots - 1).bitwiseOR(1)
+        places = F.array(*[(low + j * step).bitwiseAND(slots - 1) for j in range(HASHES)])
+        bit = F.expr(f"shiftleft(1L, k % {LANGS_PER_WORD})")
+        got = (kept.select(F.explode(places).alias("slot"), F.floor(c("k") / LANGS_PER_WORD).alias("word"), bit.alias("bit"))
+               .groupBy("slot", "word").agg(F.bit_or("bit").alias("mask")).toPandas())     # at most MASK_BYTES / 8 rows
         masks[got["slot"].to_numpy(np.int64), got["word"].to_numpy(np.int64)] = got["mask"].to_numpy(np.int64)
     return Filters(langs, masks)
 
 
+def _listing(batches):
+    """(row, hash, n): the n-grams of each text and how often they come."""
+    for batch in batches:
+        number = batch.column(0).to_numpy()
+        _, offsets = tb.utf8(batch.column(1))
+        for i, j in tb.blocks(offsets):
+            row, h = ngrams([t or "" for t in batch.column(1).slice(i, j - i).to_pylist()])
+            order = np.lexsort((h, row))
+            row, h = row[order], h[order]
+            begin = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (h[1:] != h[:-1])]) if len(h) else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(number[i:j][row[begin]]), pa.array(h[begin].view(np.int64)),
+                 pa.array(np.diff(np.r_[begin, len(h)]).astype(np.int64))], names=["row", "hash", "n"])
+
+
+def _predict_by_join(rows: DataFrame, filters: Filters, names: list[str]) -> DataFrame:
+    """``predict`` with the n-grams of ``filters.table``; names are the output's columns."""
+    columns = [f"column_{i}" for i in range(len(rows.columns))]
+    numbered = written(rows.toDF(*columns).withColumn("row", F.monotonically_increasing_id()), "numbered")
+    grams = written(numbered.select("row", columns[1]).mapInArrow(_listing, "row long, hash long, n long"), "grams")
+    hits = grams.join(filters.table, "hash").groupBy("row", "k").agg(F.sum("n").alias("hits"))
+    # most hits; of equal ones the first language
+    best = hits.groupBy("row").agg(F.max(F.struct("hits", (-c("k")).alias("k"))).alias("best"), F.sum("hits").alias("all"))
+    found = (grams.select("row").distinct().join(best, "row", "left")
+             .select(c("row").alias("_row"), (2 - F.coalesce("best.k", F.lit(0))).alias("number"),
+                     F.coalesce(c("best.hits") / c("all"), F.lit(0.0)).alias("score")))
+    lang = F.element_at(F.array(*[F.lit(x) for x in (UNKNOWN, *filters.langs)]), F.coalesce("number", F.lit(1)))
+    kept = columns[2:] or columns[:1]
+    return numbered.join(found, c("row") == c("_row"), "left").select(
+        *[c(x).alias(k) for x, k in zip(kept, names)], lang.alias("lang_pred"), F.coalesce("score", F.lit(0.0)).alias("score"))
+
+
 def predict(docs: DataFrame, filters: Filters, id_col: str = "doc_id", text_col: str = "text",
             keep: list[str] | None = None) -> DataFrame:
     """doc_id, lang_pred, score: one row per document; with ``keep`` these columns of the
     documents instead of doc_id."""
     spark = docs.sparkSession
     ship_package(spark)
-    shared = spark.sparkContext.broadcast(filters)  # 8 MB per 63 languages
+    names = keep or ["doc_id"]
+    rows = docs.select(c(id_col).alias("_id"), c(text_col).alias("_text"), *[c(k) for k in keep or []])
+    if filters.table is not None:
+        return _predict_by_join(rows, filters, names)
+    shared = spark.sparkContext.broadcast(filters)  # at most MASK_BYTES
 
     def run(batches):
         f = shared.value
@@ -203,8 +255,6 @@ def predict(docs: DataFrame, filters: Filters, id_col: str = "doc_id", text_col:
                     [*(batch.column(k).slice(i, j - i) for k in out), pa.array(lang, pa.string()),
                      pa.array(np.clip(score, 0, 1))], names=[*names, "lang_pred", "score"])
 
-    names = keep or ["doc_id"]
-    rows = docs.select(c(id_col).alias("_id"), c(text_col).alias("_text"), *[c(k) for k in keep or []])
     out = list(range(2, 2 + len(keep))) if keep else [0]
     kinds = [docs.schema[k].dataType.simpleString() for k in keep or [id_col]]
     return rows.mapInArrow(run, ", ".join(f"`{k}` {t}" for k, t in zip(names, kinds)) + ", lang_pred string, score double")
