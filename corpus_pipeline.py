@@ -32,8 +32,8 @@ def _keep(docs, ids):
 
 
 def identify_language(spark, docs, sf_dir):
-    """Language ID (7): documents without a language (no text or no letter) go, and each one
-    that stays is labelled with its predicted language.  The filters learn from the rows with a
+    """Language ID (7): documents without text or without a letter go, and each one that stays
+    is labelled with its predicted language (``und`` if there is no row to learn from).  The filters learn from the rows with a
     language that the operator's query may learn from."""
     docs = docs.where("doc_id is not null")
     filters = langid.train(docs.where(~langid.is_held_out("doc_id", 3, 1)))
@@ -41,7 +41,9 @@ def identify_language(spark, docs, sf_dir):
     names = [f"column_{i}" for i in range(len(docs.columns))]
     id_col, text_col = (names[docs.columns.index(k)] for k in ("doc_id", "text"))
     found = langid.predict(docs.toDF(*names), filters, id_col, text_col, keep=names)
-    return found.where(c("lang_pred") != langid.UNKNOWN).select(
+    # the prediction tells texts without a letter only if something else is never called so
+    named = bool(filters.langs) and langid.UNKNOWN not in filters.langs
+    return found.where(c("lang_pred") != langid.UNKNOWN if named else langid.has_letter(c(text_col))).select(
         *[(c("lang_pred") if k == "lang" else c(n)).alias(k) for n, k in zip(names, docs.columns)])
 
 

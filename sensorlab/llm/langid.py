@@ -260,6 +260,15 @@ def predict(docs: DataFrame, filters: Filters, id_col: str = "doc_id", text_col:
     return rows.mapInArrow(run, ", ".join(f"`{k}` {t}" for k, t in zip(names, kinds)) + ", lang_pred string, score double")
 
 
+def has_letter(text):
+    """Column: the text holds a letter, as ``ngrams`` sees letters."""
+    return F.udf(_has_letter, "boolean")(text)
+
+
+def _has_letter(text):
+    return any(map(str.isalpha, text or ""))
+
+
 def is_held_out(id_col: str, parts: int, part: int):
     """crc32 of the id's text modulo ``parts`` is ``part``; a null id is not held out."""
     return F.coalesce(F.crc32(c(id_col).cast("string").cast("binary")) % parts == part, F.lit(False))

@@ -5,6 +5,7 @@ import collections
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -50,6 +51,14 @@ def test_predicted_language_is_written(spark):
     assert {r.doc_id: r.lang for r in lang.collect()} == {k: v for k, v in want.items() if v != "und"}
 
 
+@pytest.mark.parametrize("label", [None, "und"])
+def test_clean_documents_stay_without_labels(spark, label):
+    docs = h.odd_documents(spark).withColumn("lang", F.lit(label).cast("string"))
+    lang = corpus_pipeline.identify_language(spark, docs, h.SF).collect()
+    assert sorted(r.doc_id for r in lang) == sorted(r.doc_id for r in docs.collect() if any(x.isalpha() for x in r.text or ""))
+    assert {r.lang for r in lang} == {"und"}
+
+
 def test_empty_table(spark):
     assert stages(spark, h.empty_documents(spark))[-1].collect() == []
 
