@@ -8,8 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sensorlab.llm import (bpe, exact_dedup, jaccard_join, langid, license_scan, line_dedup, mixing, toxicity,
-                           vector_join, warc)
+from sensorlab.llm import (bpe, exact_dedup, jaccard_join, langid, license_scan, line_dedup, mixing, spelling,
+                           toxicity, vector_join, warc)
 
 VOCABULARY = "word_bpe_49k.json"
 UPPER, LOWER = exact_dedup.UPPER, exact_dedup.LOWER
@@ -70,6 +70,10 @@ def op10_license_scan(spark, sf_dir):
     return license_scan.license_scan(read(spark, sf_dir, "documents")).select("doc_id", "licenses", "n_findings")
 
 
+def op13_spelling(spark, sf_dir):
+    return spelling.spelling_variants(read(spark, sf_dir, "documents"))
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
 
@@ -78,7 +82,7 @@ def pipeline(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_line_dedup, op2_exact_dedup, op3_bpe, op4_mixing, op5_toxicity, op6_warc, op7_langid, op8_jaccard_join,
-    op9_vector_join, op10_license_scan, pipeline)}
+    op9_vector_join, op10_license_scan, op13_spelling, pipeline)}
 
 ORACLE = {
     "op2_exact_dedup": f"""
@@ -88,4 +92,5 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc
 FROM t WINDOW w AS (PARTITION BY x)""",
     "op4_mixing": mixing.oracle(),
     "op6_warc": warc.oracle(),
+    "op13_spelling": spelling.oracle(),
 }
