@@ -8,8 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sensorlab.llm import (bpe, exact_dedup, jaccard_join, langid, license_scan, line_dedup, mixing, spelling,
-                           toxicity, vector_join, warc)
+from sensorlab.llm import (bpe, conversation_repair, exact_dedup, jaccard_join, langid, license_scan, line_dedup, mixing,
+                           packing, spelling, toxicity, vector_join, warc)
 
 VOCABULARY = "word_bpe_49k.json"
 UPPER, LOWER = exact_dedup.UPPER, exact_dedup.LOWER
@@ -70,6 +70,14 @@ def op10_license_scan(spark, sf_dir):
     return license_scan.license_scan(read(spark, sf_dir, "documents")).select("doc_id", "licenses", "n_findings")
 
 
+def op11_packing(spark, sf_dir):
+    return packing.pack(packing.pieces(read(spark, sf_dir, "documents"), vocabulary_path()))
+
+
+def op12_conversation_repair(spark, sf_dir):
+    return conversation_repair.repair(conversation_repair.damaged(read(spark, sf_dir, "conversations")))
+
+
 def op13_spelling(spark, sf_dir):
     return spelling.spelling_variants(read(spark, sf_dir, "documents"))
 
@@ -82,7 +90,7 @@ def pipeline(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_line_dedup, op2_exact_dedup, op3_bpe, op4_mixing, op5_toxicity, op6_warc, op7_langid, op8_jaccard_join,
-    op9_vector_join, op10_license_scan, op13_spelling, pipeline)}
+    op9_vector_join, op10_license_scan, op11_packing, op12_conversation_repair, op13_spelling, pipeline)}
 
 ORACLE = {
     "op2_exact_dedup": f"""
