@@ -20,7 +20,11 @@ signature are first compared with its smallest member only.  Members that are st
 different components after that are compared pairwise inside a task, in blocks of
 ``BLOCK`` members, by their parity sketches: bit b of a sketch is the parity of the shingles
 hashed to b, so two sketches never differ in more bits than their sets differ in shingles.
-Only pairs whose sketches allow the threshold leave the task.  Nothing is capped.
+Of the pairs whose sketches allow the threshold only forests over the components leave the
+task, and the texts of those are compared.  If all of a block's edges hold, the pairs it kept
+back join nothing new; where one fails, the block is compared again without the failed pairs,
+with twice as many forests, until no block keeps a pair of different components back.
+So a group of copies costs edges in proportion to its members, and nothing is capped.
 
 Nulls, empty texts: no shingles, no links, a component of their own.  Rows with a null id
 are dropped; rows that repeat an id must repeat its text.  Extra columns are ignored.
@@ -52,6 +56,7 @@ PERCENT = 75
 FREQUENT_SHARE = 0.002
 FREQUENT_IN_BLOCK = 3
 LEAST_SKETCH = 1024      # bits of the smallest parity sketch; larger sets have 2 to 4 bits a shingle
+FEW = 8                  # members up to which all pairs of a block are compared
 BLOCK = 1024             # members of a signature in one block of pairwise comparisons
 
 
@@ -118,7 +123,7 @@ def _star_filter(percent: int):
 
 
 def _few(doc, n, comp, sketch, percent):
-    """``plausible`` for a handful of documents, without arrays."""
+    """All pairs of a handful of documents that sizes and sketches allow, without arrays."""
     for i in range(len(doc)):
         for j in range(i + 1, len(doc)):
             if comp[i] == comp[j] or 100 * min(n[i], n[j]) < percent * max(n[i], n[j]):
@@ -130,24 +135,60 @@ def _few(doc, n, comp, sketch, percent):
                 size = min(len(x), len(y))
                 differ = int(np.bitwise_count(_folded(x, size) ^ _folded(y, size)).sum())
             if differ <= max_difference(n[i], n[j], percent):
-                yield (doc[i], doc[j]) if doc[i] < doc[j] else (doc[j], doc[i])
+                yield i, j
 
 
-def _comparing(percent: int):
-    """Plausible pairs of different components in each (sig, i, j) run of sorted rows."""
-    names = ("doc_id", "n", "comp", "sketch")
-
-    def pairs(doc, n, comp, sketch):
-        if len(doc) <= 8:
-            return list(_few(doc, n, comp, sketch, percent))
+def forests(sketch: list[bytes], n: np.ndarray, comp: np.ndarray, percent: int, count: int, failed=None):
+    """Edges (i, j) of ``count`` edge-disjoint forests over the components, of the pairs that sizes and
+    sketches allow, and whether a pair was kept back.  ``failed[i]`` are members that i is known not to
+    link with."""
+    size = min(map(len, sketch))
+    x = np.stack([_folded(b, size) for b in sketch])
+    trees = [np.unique(comp, return_inverse=True)[1] for _ in range(count)]
+    edges, kept_back = [], False
+    for i in range(len(n) - 1):
+        low, high = np.minimum(n[i], n[i + 1:]), np.maximum(n[i], n[i + 1:])
+        j = np.flatnonzero((100 * low >= percent * high) & (comp[i + 1:] != comp[i])) + i + 1
+        if failed and failed[i]:
+            j = j[~np.isin(j, failed[i])]
+        if not len(j):
+            continue
+        differ = np.bitwise_count(x[j] ^ x[i]).sum(axis=1, dtype=np.int64)
+        j = j[differ <= max_difference(n[i], n[j], percent)]
+        for tree in trees:
+            if not len(j):
+                break
+            roots, first = np.unique(tree[j], return_index=True)
+            first = first[roots != tree[i]]
+            if len(first):
+                edges += [(i, int(k)) for k in j[first]]
+                tree[np.isin(tree, roots)] = tree[i]
+                j = np.delete(j, first)
+        kept_back |= len(j) > 0
+    return edges, kept_back
+
+
+def _comparing(percent: int, count: int):
+    """Forest edges (sig, a, b, kept_back) of each (sig, i, j) run of sorted rows."""
+    names = ("doc_id", "n", "comp", "sketch", "failed")
+
+    def edges(key, doc, n, comp, sketch, failed):
         if comp.count(comp[0]) == len(comp):
             return []
-        i, j = plausible(sketch, np.array(n, dtype=np.int64), percent, np.array(comp))
-        doc = np.array(doc)
-        return list(zip(np.minimum(doc[i], doc[j]).tolist(), np.maximum(doc[i], doc[j]).tolist()))
+        if len(doc) <= FEW:
+            return [(key[0], *sorted((doc[i], doc[j])), False) for i, j in _few(doc, n, comp, sketch, percent)]
+        place = {d: k for k, d in enumerate(doc)}
+        failed = [[place[d] for d in f or () if d in place] for f in failed]
+        got, kept_back = forests(sketch, np.array(n, dtype=np.int64), np.array(comp), percent, count, failed)
+        return [(key[0], *sorted((doc[i], doc[j])), kept_back) for i, j in got]
+
+    def batch_of(found):
+        types = (pa.int64(), pa.int64(), pa.int64(), pa.bool_())
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*found), types)],
+                                          names=["sig", "a", "b", "kept_back"])
 
     def run(batches):
-        last, held = None, ([], [], [], [])       # the run that may go on in the next batch
+        last, held = None, ([],) * len(names)       # the run that may go on in the next batch
         for batch in batches:
             keys = np.stack([batch.column(k).to_numpy() for k in ("sig", "i", "j")])
             lists = [batch.column(k).to_pylist() for k in names]
@@ -160,13 +201,14 @@ def _comparing(percent: int):
                 if key == last:
                     held = tuple(x + y for x, y in zip(held, part))
                 else:
-                    found.extend(pairs(*held))
+                    if last is not None:
+                        found.extend(edges(last, *held))
                     last, held = key, tuple(part)
             if found:
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found)], names=["a", "b"])
-        found = pairs(*held)
+                yield batch_of(found)
+        found = edges(last, *held) if last is not None else []
         if found:
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found)], names=["a", "b"])
+            yield batch_of(found)
     return run
 
 
@@ -352,26 +394,42 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     part = components(links, "a", "b")
 
     # what the first comparison left apart
-    rows = shared.select("sig", "doc_id").union(shared.select("sig", "star").distinct())
+    rows = written(shared.select("sig", "doc_id").union(shared.select("sig", "star").distinct()), "rows")
+    failed, count = star.join(links, ["a", "b"], "left_anti"), 1
+    while True:
+        edges = written(_apart(rows, part, sketch, failed).mapInArrow(
+            _comparing(percent, count), "sig long, a long, b long, kept_back boolean"), "edges")
+        rest = written(edges.select("a", "b").distinct(), "rest")
+        more = written(_linked(rest, unique, k, percent), "links")
+        links = links.union(more)
+        part = components(links, "a", "b")
+        failed = failed.union(rest.join(more, ["a", "b"], "left_anti"))
+        open_ = written(edges.where("kept_back").select("sig").distinct(), "open")
+        if open_.limit(1).count() == 0:
+            break
+        rows, count = written(rows.join(open_, "sig", "left_semi"), "rows"), 2 * count
+    comp = part.select(c("node").alias("_n"), "component")
+    return (member.join(comp, c("representative") == c("_n"), "left")
+            .select("doc_id", c("n").alias("n_shingles"), "representative",
+                    F.coalesce("component", "representative", "doc_id").alias("component_id")))
+
+
+def _apart(rows: DataFrame, part: DataFrame, sketch: DataFrame, failed: DataFrame) -> DataFrame:
+    """Members of the signatures that still hold several components, sorted by pairs of blocks, with
+    the members of the table that each is known not to link with."""
     comp = part.select(c("node").alias("_n"), "component")
     rows = written(rows.join(comp, c("doc_id") == c("_n"), "left")
-                   .select("sig", "doc_id", F.coalesce("component", "doc_id").alias("comp")), "rows")
+                   .select("sig", "doc_id", F.coalesce("component", "doc_id").alias("comp")), "apart")
     split = (rows.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("k"))
              .where("lo <> hi").select("sig", F.ceil(c("k") / BLOCK).cast("long").alias("parts")))
+    known = failed.groupBy(c("a").alias("doc_id")).agg(F.collect_list("b").alias("failed"))
     mine = F.pmod(F.xxhash64("doc_id"), c("parts"))
-    apart = (rows.join(written(split, "split"), "sig").join(sketch, "doc_id").withColumn("mine", mine)
-             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), c("parts") - 1)))
-             .select("sig", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
-                     "doc_id", "n", "comp", "sketch"))
-    rest = (apart.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j")
-            .mapInArrow(_comparing(percent), "a long, b long").distinct())
-    rest = written(rest.join(star, ["a", "b"], "left_anti"), "rest")
-    more = written(_linked(rest, unique, k, percent), "links")
-    part = components(links.union(more), "a", "b")
-    comp = part.select(c("node").alias("_n"), "component")
-    return (member.join(comp, c("representative") == c("_n"), "left")
-            .select("doc_id", c("n").alias("n_shingles"), "representative",
-                    F.coalesce("component", "representative", "doc_id").alias("component_id")))
+    rows = (rows.join(written(split, "split"), "sig").join(sketch, "doc_id").join(known, "doc_id", "left")
+            .withColumn("mine", mine)
+            .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), c("parts") - 1)))
+            .select("sig", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
+                    "doc_id", "n", "comp", "sketch", "failed"))
+    return rows.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j", "doc_id")
 
 
 def _repeats(first: DataFrame, total: int) -> bool:

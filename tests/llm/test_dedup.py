@@ -266,3 +266,57 @@ def test_components(spark):
     label = h.classes(len(nodes), [(at[a], at[b]) for a, b in edges if a is not None and a != b])
     got = graph.components(spark.createDataFrame(edges, "x long, y long"), "x", "y")
     assert h.rows(got, "node", "component") == {(x, nodes[label[at[x]]]) for x in nodes}
+
+
+def test_jaccard_group_whose_smallest_member_is_gone(spark, monkeypatch):
+    """Near copies of one text: the smallest id shares only a passage, so all others are still apart
+    when blocks are compared.  The edges that leave the blocks grow with the group, not with its square."""
+    rng = random.Random(17)
+    words = [f"w{i}" for i in range(120)]
+    copies = []
+    for i in range(150):
+        w = list(words)
+        w[rng.randrange(120)] = f"x{i}"
+        copies.append((i + 1, " ".join(w)))
+    docs = spark.createDataFrame([(0, " ".join(words[:60] + [f"y{i}" for i in range(90)])), *copies], "doc_id long, text string")
+    sizes = []
+    linked = jaccard_join._linked
+    monkeypatch.setattr(jaccard_join, "_linked", lambda pairs, *a: (sizes.append(pairs.count()), linked(pairs, *a))[1])
+    for block in (1024, 16):
+        sizes.clear()
+        monkeypatch.setattr(jaccard_join, "BLOCK", block)
+        got = jaccard_join.jaccard_components(docs)
+        assert h.rows(got, "doc_id", "n_shingles", "component_id") == brute_jaccard(docs)
+        assert sum(sizes) < 150 * 150 / 4
+
+
+def test_jaccard_failed_edges_are_compared_again(spark, monkeypatch):
+    """Sketches that allow every pair: forests fail on the texts and the rest is still found."""
+    rng = random.Random(23)
+    docs = []
+    for g in range(4):
+        base = [f"g{g}w{i}" for i in range(40)]
+        for i in range(12):
+            w = list(base)
+            w[rng.randrange(40)] = "z"
+            docs.append((100 * i + g, " ".join(["shared"] * 3 + [f"s{j}" for j in range(12)] + w)))
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    monkeypatch.setattr(jaccard_join, "max_difference", lambda a, b, percent: a + b)
+    monkeypatch.setattr(jaccard_join, "FEW", 1)
+    got = jaccard_join.jaccard_components(docs)
+    assert h.rows(got, "doc_id", "n_shingles", "component_id") == brute_jaccard(docs)
+
+
+def test_forests_join_what_all_pairs_join():
+    rng = np.random.default_rng(6)
+    for _ in range(30):
+        k = int(rng.integers(2, 30))
+        sketch = [rng.integers(0, 256, 16, dtype=np.uint8).tobytes() if rng.random() < 0.4 else bytes(16) for _ in range(k)]
+        n, comp = np.full(k, 40), rng.integers(0, k, k)
+        i, j = jaccard_join.plausible(sketch, n, 75, comp)
+        want = h.classes(k, [*zip(i.tolist(), j.tolist()), *((a, int(np.flatnonzero(comp == comp[a])[0])) for a in range(k))])
+        for count in (1, 2, 40):
+            edges, kept_back = jaccard_join.forests(sketch, n, comp, 75, count)
+            got = h.classes(k, [*edges, *((a, int(np.flatnonzero(comp == comp[a])[0])) for a in range(k))])
+            assert got == want and len(edges) <= count * (k - 1) and set(edges) <= set(zip(i.tolist(), j.tolist()))
+            assert kept_back == (len(edges) < len(i))
