@@ -5,8 +5,9 @@
    each, a fixed bound on what reaches the driver).  A slot's log-odds are shrunk towards 0.
 2. Tokens of toxic training documents whose log-odds are high are labelled toxic, all other
    tokens clean.  A two-state CRF with the binned log-odds as features is fitted to a
-   sample of at most ``SAMPLE_DOCS`` training documents and ``SAMPLE_TOKENS`` tokens of each
-   (documented bounds of a classifier's fit) by its exact likelihood gradient.
+   sample of whole training documents (documented bounds of a classifier's fit: at most
+   ``SAMPLE_DOCS`` documents and ``SAMPLE_BYTES`` bytes of each label, in hash order; the first of each label always) by its
+   exact likelihood gradient.  For the fit a text is cut into sequences of ``SEQUENCE`` tokens.
 3. Every text is scored whole: forward-backward gives each token's marginal of being toxic;
    a document has the largest marginal, the sum of marginals (log) and their share.
 4. A logistic regression (Spark ML) over those three, fitted to all labelled training
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensorlab.llm import textbytes as tb
@@ -44,7 +45,8 @@ BINS = len(EDGES) + 1
 LEAST_PRIOR = 8.0              # documents of prior in a slot's rate, at least; grows with the
 PRIOR_SHARE = 0.01             # toxic documents, as groups of near copies do
 TOXIC_ODDS = 1.5               # log-odds from which a token of a toxic document is labelled
-SAMPLE_DOCS, SAMPLE_TOKENS = 2000, 400
+SAMPLE_DOCS, SAMPLE_BYTES, SEQUENCE = 1000, 2 << 20, 400
+PACKED = 1 << 13               # slots in a packed row of counts
 STEPS, RATE, PENALTY = 80, 0.2, 1e-4
 SIGNALS = ["top", "mass", "share"]
 
@@ -191,36 +193,49 @@ def train(labelled: DataFrame) -> Field | None:
         return None
     got = (rows.select("text", "toxic").mapInArrow(_counting, "slot long, toxic long, clean long")
            .groupBy("slot").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-           .toPandas())            # at most KINDS * 2**TABLE_BITS rows
+           .repartition(F.floor(c("slot") / PACKED)).mapInArrow(_packing, "part long, counts binary")
+           .collect())             # KINDS * 2**TABLE_BITS / PACKED rows of packed counts
     counts = np.zeros((2, KINDS << TABLE_BITS))
-    counts[1][got["slot"]], counts[0][got["slot"]] = got["toxic"], got["clean"]
+    for r in got:
+        counts[:, r["part"] * PACKED:(r["part"] + 1) * PACKED] += np.frombuffer(r["counts"], np.int64).reshape(2, -1)
     prior = docs[1] / (docs[0] + docs[1])
     weight = max(LEAST_PRIOR, PRIOR_SHARE * docs[1])
     rate = (counts[1] + weight * prior) / (counts.sum(axis=0) + weight)
     rate = np.clip(rate, 1e-6, 1 - 1e-6)
     field = Field(np.log(rate / (1 - rate)) - np.log(prior / (1 - prior)))
 
-    # half of the sample is toxic, so that a few thousand documents hold enough toxic tokens
+    # as many toxic documents as clean ones, so that the sample holds enough toxic tokens
+    before = Window.partitionBy("toxic").orderBy("h", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
     pick = rows.withColumn("h", F.xxhash64("doc_id", F.lit(7)))
-    part = [pick.where(c("toxic") == y).orderBy("h", "doc_id").limit(SAMPLE_DOCS // 2) for y in (0, 1)]
-    sample = part[0].union(part[1]).select("text", "toxic").mapInArrow(_sampling, "text binary, toxic int").collect()
+    part = [pick.where(c("toxic") == y).orderBy("h", "doc_id").limit(SAMPLE_DOCS) for y in (0, 1)]
+    sample = (part[0].union(part[1])
+              .withColumn("size", F.coalesce(F.sum(F.octet_length("text")).over(before), F.lit(0)) + F.octet_length("text"))
+              .where((c("size") <= SAMPLE_BYTES) | (c("size") == F.octet_length("text")))
+              .select("text", "toxic").collect())
     features, label, sizes = [], [], []
     for r in sample:
-        data = np.frombuffer(r["text"], np.uint8)
+        data = np.frombuffer(r["text"].encode(), np.uint8)
         _, _, _, slots = tokens(data, np.array([0, len(data)]))
-        slots = slots[:, :SAMPLE_TOKENS]
         odds = np.maximum.reduce([field.odds[slots[k] + (k << TABLE_BITS)] for k in range(KINDS)])
-        features.append(field.features(slots))
-        label.append(((odds >= TOXIC_ODDS) & (r["toxic"] == 1)).astype(np.int64))
-        sizes.append(slots.shape[1])
-    return fit(field, np.concatenate(features, axis=1), np.concatenate(label), np.array(sizes))
+        features.append(field.features(slots).astype(np.int8))
+        label.append(((odds >= TOXIC_ODDS) & (r["toxic"] == 1)).astype(np.int8))
+        sizes += [min(SEQUENCE, slots.shape[1] - at) for at in range(0, slots.shape[1], SEQUENCE)]
+    return fit(field, np.concatenate(features, axis=1), np.concatenate(label), np.array(sizes, np.int64))
 
 
-def _sampling(batches):
-    """The sampled texts, cut to about SAMPLE_TOKENS words before they go to the driver."""
+def _packing(batches):
+    """(part, counts) rows: the toxic and clean counts of a range of slots as two arrays of longs."""
+    held = {}
     for batch in batches:
-        text = [t.encode()[:SAMPLE_TOKENS * 12] for t in batch.column(0).to_pylist()]
-        yield pa.RecordBatch.from_arrays([pa.array(text, pa.binary()), batch.column(1)], names=["text", "toxic"])
+        slot, toxic, clean = (batch.column(k).to_numpy() for k in range(3))
+        for part in np.unique(slot // PACKED):
+            mine = slot // PACKED == part
+            counts = held.setdefault(int(part), np.zeros((2, PACKED), np.int64))
+            np.add.at(counts, (1, slot[mine] % PACKED), toxic[mine])
+            np.add.at(counts, (0, slot[mine] % PACKED), clean[mine])
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int64()), pa.array(
+            [x.tobytes() for x in held.values()], pa.binary())], names=["part", "counts"])
 
 
 def _marking(shared, spans: bool):
@@ -266,7 +281,7 @@ def mark(docs: DataFrame, field: Field, spans: bool = True) -> DataFrame:
 
 def toxicity(docs: DataFrame, labels: DataFrame, parts: int = 5, held_out: int = 0, spans: bool = True) -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted and the toxic spans."""
-    known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    known = labels.where("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     learn = docs.where(~is_held_out("doc_id", parts, held_out)).select("doc_id", "text")
     # a training text moves once; the rest of the corpus stays where it is
     labelled = learn.join(known, "doc_id").select("doc_id", "text", "toxic")
