@@ -1,3 +1,4 @@
+import glob
 import os
 import sys
 import tempfile
@@ -28,6 +29,7 @@ def spark():
 def duck():
     import duckdb
     con = duckdb.connect()
-    for t in ["events", "lineitem", "labels", "embeddings"]:
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
+    for path in sorted(glob.glob(f"{SF_SMALL}/*.parquet")):
+        table = os.path.basename(path).removesuffix(".parquet")
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{path}')")
     return con
