@@ -22,7 +22,8 @@ rank among the pieces of its length; ranks are counted in hash buckets of about
 ``BUCKET_ROWS`` rows, so a length that a third of all pieces share is spread over many tasks.
 
 Token ids are those of the ``tokenizers`` library, which encodes each new stretch without white
-space once per worker (words never reach over white space).
+space once per worker (words never reach over white space); words of Latin letters go to its
+model directly.
 
 Null and empty texts are the closing token alone.  Rows that repeat an id are packed each for
 themselves.  Null ids are kept.  An empty table gives no rows; extra columns are ignored.
@@ -40,6 +41,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensorlab.llm import textbytes as tb
+from sensorlab.llm.bpe import byte_symbols
 from sensorlab.llm.storage import checked, written
 from sensorlab.session import ship_package
 
@@ -50,9 +52,12 @@ CLOSING = 1
 ROUNDS = 64
 STEP = 0.3
 RATE = 2.0
-BUCKET_ROWS = 100_000
+BUCKET_ROWS = 5_000
 CACHE = 600_000
 LONG_STRETCH = 256
+# Letters of ASCII and Latin-1 with closing punctuation: two words of the vocabulary's pattern, whatever
+# the library's Unicode tables
+PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
 # str.split() also parts at these four signs, which are no white space for the library
 SEPARATORS = re.compile("[\x1c-\x1f]")
 SPACE = re.compile(r"[^\S\x1c-\x1f]+")
@@ -69,23 +74,44 @@ class Encoder:
         self.library = Tokenizer.from_str(spec)
         self.library.no_truncation()
         self.library.no_padding()
+        self.symbols = {i: s for i, s in enumerate(byte_symbols())}
         self.known: dict[str, bytes] = {}
 
+    def _word(self, word: str) -> bytes:
+        """Ids of lower-case Latin letters: normalised and parted already, so the library's model is asked."""
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(self.symbols)
+        return np.array([t.id for t in self.library.model.tokenize(word)], "<u4").tobytes()
+
+    def _learn(self, stretches: list[str], other: dict):
+        """Ids of new stretches; those that are too long to keep go to ``other``."""
+        known, rest = self.known, []
+        for p in stretches:
+            if len(p) > LONG_STRETCH or not (m := PLAIN.fullmatch(p)) or (m[2] and m[2] not in known):
+                rest.append(p)
+                if len(p) <= LONG_STRETCH and m and m[2]:
+                    rest.append(m[2])
+                continue
+            word = m[1].lower()
+            if (ids := known.get(word)) is None:
+                ids = known[word] = self._word(word)
+            known[p] = ids + known[m[2]] if m[2] else ids
+        for i in range(0, len(rest), 4096):
+            some = rest[i:i + 4096]
+            for p, e in zip(some, self.library.encode_batch(some, add_special_tokens=False)):
+                (known if len(p) <= LONG_STRETCH else other)[p] = np.array(e.ids, "<u4").tobytes()
+
     def ids(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         parts = [[p for p in SPACE.split(t) if p] if SEPARATORS.search(t) else t.split() for t in texts]
-        known = self.known
-        new = list({p for ps in parts for p in ps if p not in known})
-        if len(known) + len(new) > CACHE:
+        known, long = self.known, {}
+        new = {p for ps in parts for p in ps if p not in known}
+        if len(known) + 2 * len(new) > CACHE:
             known.clear()
-            new = list({p for ps in parts for p in ps})
-        found = {}
-        for i in range(0, len(new), 4096):
-            some = new[i:i + 4096]
-            for p, e in zip(some, self.library.encode_batch(some, add_special_tokens=False)):
-                (known if len(p) <= LONG_STRETCH else found)[p] = np.array(e.ids, "<u4").tobytes()
-        if found:
-            return [b"".join([known[p] if p in known else found[p] for p in ps]) for ps in parts]
+            new = {p for ps in parts for p in ps}
+        self._learn(list(new), long)
+        if long:
+            return [b"".join([known[p] if p in known else long[p] for p in ps]) for ps in parts]
         return [b"".join(map(known.__getitem__, ps)) for ps in parts]
 
 
