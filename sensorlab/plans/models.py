@@ -1,8 +1,8 @@
 """Training, comparison, tuning and scoring with Spark ML.
 
 Estimators are MLlib's distributed ones (tree learners aggregate split statistics per
-partition, logistic regression aggregates gradients with treeAggregate), so training
-scales with the cluster.  A fitted *bundle* is one ``PipelineModel``: a SQL stage that
+partition, logistic regression aggregates gradients with treeAggregate) and the boosters of
+:mod:`sensorlab.plans.boosters`, so training scales with the cluster.  A fitted *bundle* is one ``PipelineModel``: a SQL stage that
 encodes and scales raw feature-view columns, the vector assembler, the classifier and,
 for failure types, the label decoder.  It is saved and loaded with Spark ML's writer.
 
@@ -16,18 +16,19 @@ import math
 import random
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression,
-                                       OneVsRest, RandomForestClassifier)
+                                       RandomForestClassifier)
 from pyspark.ml.feature import IndexToString, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sensorlab.operators import evaluate, sampling
+from sensorlab.operators import boosting, evaluate, sampling
+from sensorlab.plans import boosters
 from sensorlab.plans.preprocess import NUMERIC_FEATURES, Prepared
 from sensorlab.schema import ENGINEERED, MACHINE_TYPE_CODES
 from sensorlab.session import cut_lineage
@@ -35,9 +36,8 @@ from sensorlab.session import cut_lineage
 c = F.col
 SEED = 42
 
-# Names of the six compared models; the two boosters Spark does not have are GBT presets
-# and say so in every result.
-DEPTHWISE, LEAFWISE = "GBT depth-wise preset", "GBT leaf-wise preset"
+# Names of the six compared models; the two boosters Spark does not have are our own.
+DEPTHWISE, LEAFWISE = "Depth-wise Boosting", "Leaf-wise Boosting"
 MODEL_NAMES = ["Logistic Regression", "Decision Tree", "Random Forest", "Gradient Boosting",
                DEPTHWISE, LEAFWISE]
 # Statistics of one tree level fit one pass up to this much memory (deep levels otherwise
@@ -47,12 +47,34 @@ TREE_MEMORY_MB = 1024
 ROWS_PER_FIT_TASK = 50_000
 
 
-def make_classifier(name: str, task: str, n_train: int, label_col: str, params: dict | None = None):
-    """Spark ML estimator for a model name, library defaults of the reference's models.
+# Defaults of the boosted models: exact depth-3 trees; depth-wise second-order trees; leaf-wise trees.
+BOOSTERS = {
+    "Gradient Boosting": boosting.Spec(rounds=100, rate=0.1, max_depth=3, leaves=0, min_rows=1, min_hessian=0.0),
+    DEPTHWISE: boosting.Spec(rounds=100, rate=0.3, max_depth=6, leaves=0, min_rows=1, min_hessian=1.0, lam=1.0),
+    LEAFWISE: boosting.Spec(rounds=100, rate=0.1, max_depth=0, leaves=31, min_rows=20),
+}
+# Other names of a booster's parameters: those of the search space and those of Spark's GBT.
+ALIASES = {"n_estimators": "rounds", "learning_rate": "rate", "min_child_samples": "min_rows", "reg_alpha": "alpha",
+           "reg_lambda": "lam", "colsample_bytree": "colsample", "maxIter": "rounds", "stepSize": "rate",
+           "maxDepth": "max_depth", "subsamplingRate": "subsample", "minInstancesPerNode": "min_rows",
+           "featureSubsetStrategy": "colsample"}
+
+
+def booster_spec(name: str, classes: int = 2, params: dict | None = None) -> boosting.Spec:
+    """A booster's parameters; ``max_depth`` below 1 is no limit."""
+    given = {ALIASES.get(k, k): v for k, v in (params or {}).items()}
+    if "colsample" in given:
+        given["colsample"] = 1.0 if given["colsample"] == "all" else float(given["colsample"])
+    if "max_depth" in given:
+        given["max_depth"] = max(0, given["max_depth"])
+    return replace(BOOSTERS[name], classes=classes, seed=SEED, **given)
+
 
-    The two external boosters are re-aimed as GBT presets (depth-wise: rate 0.3, depth
-    6; leaf-wise 31 leaves: depth 5).  Spark's GBT is binary only, so failure types use
-    one-vs-rest around it."""
+def make_classifier(name: str, task: str, n_train: int, label_col: str, params: dict | None = None, classes: int = 2):
+    """Estimator for a model name, library defaults of the reference's models.
+
+    Binary gradient boosting is Spark's; the depth-wise and leaf-wise boosters and all
+    boosters of failure types (softmax, one tree per class and round) are our own."""
     p = dict(params or {})
     common = {"featuresCol": "features", "labelCol": label_col}
     if name == "Logistic Regression":
@@ -64,16 +86,11 @@ def make_classifier(name: str, task: str, n_train: int, label_col: str, params:
     if name == "Random Forest":
         return RandomForestClassifier(numTrees=100, featureSubsetStrategy="sqrt", maxDepth=30,
                                       maxMemoryInMB=TREE_MEMORY_MB, seed=SEED, **common)
-    presets = {"Gradient Boosting": dict(maxIter=100, stepSize=0.1, maxDepth=3),
-               DEPTHWISE: dict(maxIter=100, stepSize=0.3, maxDepth=6),
-               LEAFWISE: dict(maxIter=100, stepSize=0.1, maxDepth=5)}
-    if name in presets:
-        kw = {**presets[name], **p}
-        gbt = GBTClassifier(seed=SEED, maxMemoryInMB=TREE_MEMORY_MB, **kw, **(common if task == "binary" else {"featuresCol": "features"}))
-        if task == "binary":
-            return gbt
-        # class models are independent: fit them as concurrent jobs
-        return OneVsRest(classifier=gbt, featuresCol="features", labelCol=label_col, parallelism=4)
+    if name == "Gradient Boosting" and task == "binary":
+        return GBTClassifier(seed=SEED, maxMemoryInMB=TREE_MEMORY_MB, **{**dict(maxIter=100, stepSize=0.1, maxDepth=3), **p},
+                             **common)
+    if name in BOOSTERS:
+        return boosters.Booster(booster_spec(name, classes, p), label_col, weighted=name == DEPTHWISE)
     raise ValueError(f"unknown model {name!r}")
 
 
@@ -111,11 +128,13 @@ def fit_bundle(prep: Prepared, name: str, task: str = "binary", params: dict | N
     stages = [assembler]
     label_col = "label"
     indexer_model = None
+    classes = 2
     if task == "multiclass":
         indexer = StringIndexer(inputCol="label", outputCol="label_idx", stringOrderType="alphabetAsc")
         stages.append(indexer)
         label_col = "label_idx"
-    stages.append(make_classifier(name, task, n, label_col, params))
+        classes = train.select("label").distinct().count()
+    stages.append(make_classifier(name, task, n, label_col, params, classes))
     fitted = Pipeline(stages=stages).fit(train)
     clf = fitted.stages[-1]
     if task == "multiclass":
@@ -213,14 +232,11 @@ def compare_models(prep: Prepared, task: str = "binary", names: Sequence[str] =
 
 
 def feature_importance(bundle: Bundle, features: Sequence[str] = NUMERIC_FEATURES) -> DataFrame:
-    """importance per feature (mean over class models for one-vs-rest), rank, top-3 flag,
+    """importance per feature, rank, top-3 flag,
     and whether the feature is engineered in SQL (dashboard split engineered / raw)."""
     clf = bundle.model.stages[2]
     if hasattr(clf, "featureImportances"):
         imp = clf.featureImportances.toArray().tolist()
-    elif hasattr(clf, "models"):
-        arrs = [m.featureImportances.toArray() for m in clf.models if hasattr(m, "featureImportances")]
-        imp = (sum(arrs) / len(arrs)).tolist() if arrs else [0.0] * len(features)
     elif hasattr(clf, "coefficientMatrix"):
         # one row for a binary model, one per class for a multinomial one
         coef = abs(clf.coefficientMatrix.toArray()).mean(axis=0).tolist()
@@ -269,8 +285,8 @@ def sample_params(n_iter: int, seed: int = SEED) -> list[dict]:
 
 
 def to_gbt_params(combo: dict) -> dict:
-    """Map a booster combination to GBT params; reg_alpha / reg_lambda have no
-    counterpart and are only reported."""
+    """Map a booster combination to params of Spark's GBT, which has no counterpart of
+    reg_alpha / reg_lambda and a limit of depth; the search itself applies them all."""
     depth = combo["max_depth"] if combo["max_depth"] > 0 else UNLIMITED_DEPTH
     col = combo["colsample_bytree"]
     return {"maxIter": combo["n_estimators"], "maxDepth": depth, "stepSize": combo["learning_rate"],
@@ -307,70 +323,75 @@ def _fold_sets(prep: Prepared, k: int, smote_before_cv: bool, seed: int) -> list
     return sets
 
 
-def _weighted_f1(bundle_model: PipelineModel, rows: DataFrame, task: str, labels: list) -> float:
-    out = bundle_model.transform(rows.drop("features"))
-    if task == "multiclass":
-        scored = out.select(c("label"), c("predicted_label").alias("prediction"))
-    else:
-        scored = out.select(c("label").cast("int").alias("label"), c("prediction").cast("int").alias("prediction"))
-    return float(evaluate.metrics_weighted(scored).first()["f1"])
+def _coded(rows: DataFrame, labels: list) -> DataFrame:
+    """(features array, class code, key) of scaled rows and the other columns."""
+    code = c("label").cast("int")
+    if labels:
+        code = F.lit(None).cast("int")
+        for i, label in enumerate(labels):
+            code = F.when(c("label") == label, i).otherwise(code)
+    return rows.select("*", F.array(*[c(f).cast("double") for f in NUMERIC_FEATURES]).alias("features"),
+                       code.alias("code"), c("udi").alias("key"))
 
 
-def _fit_scaled(train: DataFrame, task: str, params: dict) -> tuple[PipelineModel, list]:
-    """Fit the booster on already-scaled rows; returns a model that scores scaled rows."""
-    n = train.count()
-    stages = [VectorAssembler(inputCols=NUMERIC_FEATURES, outputCol="features")]
-    label_col = "label"
-    if task == "multiclass":
-        stages.append(StringIndexer(inputCol="label", outputCol="label_idx", stringOrderType="alphabetAsc"))
-        label_col = "label_idx"
-    stages.append(make_classifier(LEAFWISE, task, n, label_col, params))
-    fitted = Pipeline(stages=stages).fit(train)
-    labels = []
-    score_stages = [fitted.stages[0], fitted.stages[-1]]
-    if task == "multiclass":
-        labels = list(fitted.stages[1].labels)
-        score_stages.append(IndexToString(inputCol="prediction", outputCol="predicted_label", labels=labels))
-    return PipelineModel(stages=score_stages), labels
+def _class_labels(prep: Prepared, task: str) -> list:
+    """Labels of the failure types in code order (one row per class); empty for the binary task."""
+    if task == "binary":
+        return []
+    return sorted(r[0] for r in prep.train_unbalanced.select("label").distinct().collect())
+
+
+def _fold_blocks(sets, labels: list, share=None) -> DataFrame:
+    """Binned blocks of all folds, written once: training rows at their ``share`` of the fold's
+    order, validation rows that are only scored; cut points from the training rows."""
+    parts = []
+    for f, (tr, va) in enumerate(sets):
+        rows = _coded(tr, labels)
+        cuts = boosters.quantile_cuts(rows, "features", len(NUMERIC_FEATURES))
+        parts += [boosters.pack(rows, cuts, f, share),
+                  boosters.pack(_coded(va, labels), cuts, f, F.lit(boosters.NEVER))]
+    blocks = parts[0]
+    for part in parts[1:]:
+        blocks = blocks.union(part)
+    return cut_lineage(blocks)
+
+
+def _weighted_f1(confusion: dict, learned: int = 0) -> float:
+    """Support-weighted F1 of the rows learned from (1) or the others (0)."""
+    cells = {(y, p): n for (kind, y, p), n in confusion.items() if kind == learned}
+    total = sum(cells.values())
+    out = 0.0
+    for k in {y for y, _ in cells}:
+        support = sum(n for (y, _), n in cells.items() if y == k)
+        predicted = sum(n for (_, p), n in cells.items() if p == k)
+        out += 2 * cells.get((k, k), 0) / (support + predicted) * support
+    return round(out / total, evaluate.DIGITS) if total else 0.0
 
 
 def random_search(prep: Prepared, task: str = "binary", n_iter: int = 50, folds: int = 5,
-                  seed: int = SEED, smote_before_cv: bool = False,
-                  parallelism: int = 4) -> SearchResult:
+                  seed: int = SEED, smote_before_cv: bool = False) -> SearchResult:
     """Randomized search over PARAM_GRID with stratified k-fold CV, weighted F1.
 
-    Fits run as concurrent Spark jobs from a driver thread pool (``parallelism``), the
-    way ``CrossValidator(parallelism=n)`` schedules them; the best combination is
-    refitted on the whole (oversampled) training set."""
+    All (combination, fold) models are trained together over one written table of binned
+    rows; the best combination is refitted on the whole (oversampled) training set."""
     spark = prep.train.sparkSession
     combos = sample_params(n_iter, seed)
-    sets = _fold_sets(prep, folds, smote_before_cv, seed)
-
-    def fit_one(job):
-        i, f = job
-        tr, va = sets[f]
-        model, labels = _fit_scaled(tr, task, to_gbt_params(combos[i]))
-        return i, _weighted_f1(model, va, task, labels)
-
-    jobs = [(i, f) for i in range(len(combos)) for f in range(len(sets))]
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        scored = list(pool.map(fit_one, jobs))
-    results = []
+    labels = _class_labels(prep, task)
+    blocks = _fold_blocks(_fold_sets(prep, folds, smote_before_cv, seed), labels)
+    base = [booster_spec(LEAFWISE, len(labels) or 2, combo) for combo in combos]
+    fitted = boosters.train(blocks, [replace(s, fold=f) for s in base for f in range(folds)], len(NUMERIC_FEATURES))
+    rows, best = [], None
     for i, combo in enumerate(combos):
-        scores = [sc for j, sc in scored if j == i]
-        mean = sum(scores) / len(scores)
-        std = math.sqrt(sum((x - mean) ** 2 for x in scores) / len(scores))
-        results.append((i, combo, mean, std, scores))
-    note = "reg_alpha, reg_lambda not applied (no GBT counterpart)"
-    rows = []
-    for i, combo, mean, std, scores in results:
-        rows.append((i, *[float(combo[k]) for k in PARAM_GRID], float(mean), float(std), note))
+        scores = [_weighted_f1(x.confusion) for x in fitted[i * folds:(i + 1) * folds]]
+        mean = sum(scores) / folds
+        std = math.sqrt(sum((x - mean) ** 2 for x in scores) / folds)
+        rows.append((i, *[float(combo[k]) for k in PARAM_GRID], mean, std))
+        if best is None or mean > best[0]:
+            best = (mean, combo)
     schema = ("combo int, " + ", ".join(f"{k} double" for k in PARAM_GRID)
-              + ", mean_test_score double, std_test_score double, note string")
+              + ", mean_test_score double, std_test_score double")
     table = spark.createDataFrame(rows, schema)
-    best = max(results, key=lambda r: (r[2], -r[0]))
-    best_bundle = fit_bundle(prep, LEAFWISE, task, to_gbt_params(best[1]))
-    return SearchResult(table, best[1], best_bundle, folds)
+    return SearchResult(table, best[1], fit_bundle(prep, LEAFWISE, task, best[1]), folds)
 
 
 def cv_results(result: SearchResult, top: int = 20) -> DataFrame:
@@ -390,14 +411,15 @@ def default_vs_tuned(prep: Prepared, task: str, tuned: Bundle,
 
 def learning_curve(prep: Prepared, task: str = "binary", params: dict | None = None,
                    sizes: Sequence[float] = tuple(0.1 + i * 0.9 / 7 for i in range(8)),
-                   folds: int = 3, seed: int = SEED, smote_before_cv: bool = False,
-                   parallelism: int = 4) -> DataFrame:
+                   folds: int = 3, seed: int = SEED, smote_before_cv: bool = False) -> DataFrame:
     """Train / validation weighted F1 (mean, population std over folds) per training size.
 
     Each fold's training part is ranked per class by key hash; a subset holds the first
     ceil(fraction * n) rows of every class, so subsets are exact, nested and stratified.
-    Oversampling happens inside the training part (see ``_fold_sets``)."""
+    Oversampling happens inside the training part (see ``_fold_sets``).  All (size, fold) models
+    are trained together: a row's place in its class tells which of them learn from it."""
     spark = prep.train.sparkSession
+    labels = _class_labels(prep, task)
     parts = []
     for tr, va in _fold_sets(prep, folds, smote_before_cv, seed):
         tr = tr.select("udi", "label", *NUMERIC_FEATURES)
@@ -406,18 +428,12 @@ def learning_curve(prep: Prepared, task: str = "binary", params: dict | None = N
         for label, n in size.items():
             n_c = F.when(c("label") == label, F.lit(n)).otherwise(n_c)
         parts.append((_fit_input(sampling.dense_index(tr, "label", "udi", seed).withColumn("_n", n_c)), va))
-
-    def one(job):
-        frac, f = job
-        ranked, va = parts[f]
-        tr = ranked.where(c("_idx") < F.ceil(F.lit(float(frac)) * c("_n"))).drop("_idx", "_n")
-        model, labels = _fit_scaled(tr, task, params or {})
-        return (float(frac), f, tr.count(), _weighted_f1(model, tr, task, labels),
-                _weighted_f1(model, va, task, labels))
-
-    jobs = [(frac, f) for frac in sizes for f in range(folds)]
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        rows = list(pool.map(one, jobs))
+    blocks = _fold_blocks(parts, labels, c("_idx") / c("_n"))
+    base = booster_spec(LEAFWISE, len(labels) or 2, params)
+    jobs = [(float(x), f) for x in sizes for f in range(folds)]
+    fitted = boosters.train(blocks, [replace(base, fold=f, share=x) for x, f in jobs], len(NUMERIC_FEATURES))
+    rows = [(x, f, sum(n for k, n in m.confusion.items() if k[0]), _weighted_f1(m.confusion, 1), _weighted_f1(m.confusion))
+            for (x, f), m in zip(jobs, fitted)]
     df = spark.createDataFrame(rows, "fraction double, fold int, train_rows long, train_score double, "
                                      "validation_score double")
     return df.groupBy("fraction").agg(
@@ -428,22 +444,17 @@ def learning_curve(prep: Prepared, task: str = "binary", params: dict | None = N
 
 
 def cross_val_score(prep: Prepared, task: str = "binary", params: dict | None = None,
-                    folds: int = 5, seed: int = SEED, smote_before_cv: bool = False,
-                    parallelism: int = 4) -> DataFrame:
+                    folds: int = 5, seed: int = SEED, smote_before_cv: bool = False) -> DataFrame:
     """Per-fold weighted F1 of one configuration, plus mean and population std rows."""
     spark = prep.train.sparkSession
-    sets = _fold_sets(prep, folds, smote_before_cv, seed)
-
-    def one(f):
-        model, labels = _fit_scaled(sets[f][0], task, params or {})
-        return (f"fold_{f}", _weighted_f1(model, sets[f][1], task, labels))
-
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        rows = list(pool.map(one, range(folds)))
-    vals = [v for _, v in rows]
+    labels = _class_labels(prep, task)
+    blocks = _fold_blocks(_fold_sets(prep, folds, smote_before_cv, seed), labels)
+    base = booster_spec(LEAFWISE, len(labels) or 2, params)
+    fitted = boosters.train(blocks, [replace(base, fold=f) for f in range(folds)], len(NUMERIC_FEATURES))
+    vals = [_weighted_f1(m.confusion) for m in fitted]
     mean = sum(vals) / len(vals)
     std = math.sqrt(sum((v - mean) ** 2 for v in vals) / len(vals))
-    rows += [("mean", mean), ("std", std)]
+    rows = [(f"fold_{f}", v) for f, v in enumerate(vals)] + [("mean", mean), ("std", std)]
     return spark.createDataFrame(rows, "item string, f1_weighted double")
 
 
