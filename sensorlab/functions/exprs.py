@@ -90,3 +90,15 @@ def key_hash(key: str | Column, seed: int, kind: str = "xxhash64") -> Column:
     if kind == "xxhash64":
         return F.xxhash64(col(key).cast("bigint"), F.lit(seed).cast("bigint"))
     raise ValueError(f"unknown hash kind {kind!r}")
+
+
+# A generator without state: two quadratic steps modulo a prime.  Every product stays below 2**63, so
+# Spark SQL and DuckDB compute the same numbers from the same text.
+PRIME, OTHER_PRIME = 2147483647, 2147483629
+
+
+def counter_random_sql(counter: str, stream: int) -> str:
+    """SQL for a pseudo-random number in [0, PRIME) of a counter (a BIGINT from 0) in a stream."""
+    a = f"(({counter} % {PRIME}) * 48271 + {stream * 69621 + 12345}) % {PRIME}"
+    b = f"(({a}) * ({a}) % {PRIME} + ({a}) * 16807 % {PRIME} + {counter} % {OTHER_PRIME}) % {PRIME}"
+    return f"((({b}) * ({b}) % {PRIME} + ({b}) * 40692 % {PRIME} + {stream}) % {PRIME})"

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sensorlab.functions.exprs import dround, key_hash
+from sensorlab.functions.exprs import counter_random_sql, dround, key_hash
 from sensorlab.functions.ordered import running_totals
 from sensorlab.session import cut_lineage
 
@@ -263,20 +263,22 @@ def knn_within_class(df: DataFrame, features: Sequence[str], k: int = 5, label:
 
 
 # ---------------------------------------------------------------- SMOTE
-def dense_index(df: DataFrame, label: str, key: str, seed: int = 42) -> DataFrame:
+def dense_index(df: DataFrame, label: str, key: str, seed: int = 42, hash_kind: str = "xxhash64") -> DataFrame:
     """Adds ``_idx`` 0..n_c-1 per class in key-hash order (two-level ranks)."""
-    h = df.withColumn("_hk", F.xxhash64(c(key).cast("bigint"), F.lit(seed).cast("bigint"))
-                      .cast("double")).withColumn("_one", F.lit(1))
+    h = df.withColumn("_hk", key_hash(key, seed, hash_kind).cast("double")).withColumn("_one", F.lit(1))
     r = running_totals(h, "_hk", ["_one"], groups=[label], tiebreak=[key])
     return r.withColumn("_idx", (c("_one_cum") - 1).cast("long")).drop("_hk", "_one", "_one_cum")
 
 
 def smote(df: DataFrame, features: Sequence[str], label: str = "label", key: str = "udi",
-          k: int = 5, seed: int = 42, k_cap: bool = False, materialized: bool = False) -> DataFrame:
+          k: int = 5, seed: int = 42, k_cap: bool = False, materialized: bool = False,
+          hash_kind: str = "xxhash64") -> DataFrame:
     """Lift every class to the size of the largest one with synthetic rows
     x + u * (neighbour - x), u in [0, 1), neighbour one of the k nearest same-class rows.
 
     Returns the input rows (``is_synthetic`` false) plus the synthetic ones (negative keys).
+    Base row, neighbour rank and u are numbers of a counter-based generator that SQL states
+    too; with ``hash_kind="arith"`` so is the order that base rows are counted in.
     A class with n_c <= k raises, as the library does, unless ``k_cap`` uses n_c - 1.
     ``materialized=True``: ``df`` is already a cheap read of a checkpoint."""
     feats = list(features)
@@ -299,7 +301,7 @@ def smote(df: DataFrame, features: Sequence[str], label: str = "label", key: str
     small = df.where(c(label).isin(list(need)))
     k_eff = {cl: (min(k, counts[cl] - 1) if k_cap else k) for cl in need}
     nn = knn_within_class(small, feats, k=k, label=label, key=key, materialized=True)
-    indexed = dense_index(small, label, key, seed)
+    indexed = dense_index(small, label, key, seed, hash_kind)
     # synthetic ids: one range, cut into per-class slices by cumulative offsets
     order = sorted(need, key=str)
     offsets, acc = [], 0
@@ -313,11 +315,14 @@ def smote(df: DataFrame, features: Sequence[str], label: str = "label", key: str
         cls_expr = F.lit(cl) if cls_expr is None else F.when(cond, F.lit(cl)).otherwise(cls_expr)
         n_expr = F.lit(counts[cl]) if n_expr is None else F.when(cond, F.lit(counts[cl])).otherwise(n_expr)
         k_expr = F.lit(k_eff[cl]) if k_expr is None else F.when(cond, F.lit(k_eff[cl])).otherwise(k_expr)
-    sid = c("_sid")
+
+    def drawn(stream):
+        return F.expr(counter_random_sql("_sid", stream))
+
     syn = (ids.withColumn(label, cls_expr.cast(df.schema[label].dataType))
-           .withColumn("_idx", F.pmod(F.xxhash64(sid, F.lit(seed)), n_expr.cast("long")))
-           .withColumn("rank", (F.pmod(F.xxhash64(sid, F.lit(seed + 1)), k_expr.cast("long")) + 1).cast("int"))
-           .withColumn("_u", F.pmod(F.xxhash64(sid, F.lit(seed + 2)), F.lit(1 << 20)) / float(1 << 20)))
+           .withColumn("_idx", drawn(seed) % n_expr.cast("long"))
+           .withColumn("rank", (drawn(seed + 1) % k_expr.cast("long") + 1).cast("int"))
+           .withColumn("_u", drawn(seed + 2) % (1 << 20) / float(1 << 20)))
     base = indexed.select(label, "_idx", c(key).alias("_base"), *[c(f).alias(f"_x_{f}") for f in feats])
     syn = syn.join(base, [label, "_idx"])
     nb = nn.select(c(key).alias("_base"), "rank", c(f"neighbor_{key}").alias("_nbk"))

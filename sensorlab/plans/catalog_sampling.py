@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from sensorlab.functions.exprs import counter_random_sql
 from sensorlab.operators import sampling
 from sensorlab.plans import preprocess
 from sensorlab.plans.catalog_sql import unique_featured
@@ -95,31 +96,68 @@ def _class_balance(s, sf):
     return sampling.class_balance(tr, bal)
 
 
-register("smote")(lambda s, sf: _smote(s, sf))
+_PREP_MC_SQL = (_PREP_SQL.replace("CAST(target AS DOUBLE) AS label", "failure_type AS label")
+                .replace("IN ('L', 'M', 'H'))", "IN ('L', 'M', 'H') AND failure_type IS NOT NULL)"))
+
+
+def _z(features):
+    return ", ".join(f"ROUND(({f} - m_{f}) / CASE WHEN s_{f} = 0 OR s_{f} IS NULL THEN 1 ELSE s_{f} END, 6) AS {f}"
+                     for f in features)
+
+
+def _stats(features):
+    return f"st AS (SELECT {', '.join(f'AVG({f}) AS m_{f}, STDDEV_POP({f}) AS s_{f}' for f in features)} FROM train)"
+
+
+def _smote_sql(prep_sql, scaled, stats, features):
+    """The training rows and the synthetic ones: base row, neighbour and share from the same
+    counter-based generator, ranks from the same integer hash."""
+    gap = " + ".join(f"(a.{f} - b.{f}) * (a.{f} - b.{f})" for f in features)
+    return f"""WITH {prep_sql},
+{stats},
+z AS (SELECT udi, label, {scaled} FROM train, st),
+n AS (SELECT label, COUNT(*) AS n_c, MAX(COUNT(*)) OVER () - COUNT(*) AS need FROM z GROUP BY label),
+need AS (SELECT *, COALESCE(SUM(need) OVER (ORDER BY CAST(label AS VARCHAR) ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+         AS start FROM n),
+idx AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY ((udi % 1000003) * 7919 + {SEED} * 104729) % 1000003, udi) - 1
+        AS idx FROM z),
+pairs AS (SELECT a.udi, b.udi AS nb, SQRT({gap}) AS distance FROM z a JOIN z b ON a.label = b.label AND a.udi <> b.udi
+          WHERE a.label IN (SELECT label FROM need WHERE need > 0)),
+nn AS (SELECT udi, nb, row_number() OVER (PARTITION BY udi ORDER BY distance, nb) AS rank FROM pairs),
+ids AS (SELECT label, n_c, CAST(start + i AS BIGINT) AS sid
+        FROM (SELECT *, unnest(range(CAST(need AS BIGINT))) AS i FROM need)),
+syn AS (SELECT label, sid, {counter_random_sql("sid", SEED)} % n_c AS idx, {counter_random_sql("sid", SEED + 1)} % 5 + 1 AS rank,
+               CAST({counter_random_sql("sid", SEED + 2)} % 1048576 AS DOUBLE) / 1048576 AS u FROM ids)
+SELECT udi, label, {", ".join(features)}, FALSE AS is_synthetic FROM z
+UNION ALL
+SELECT -(sid + 1), s.label, {", ".join(f"x.{f} + u * (y.{f} - x.{f})" for f in features)}, TRUE
+FROM syn s JOIN idx x ON s.label = x.label AND s.idx = x.idx JOIN nn ON nn.udi = x.udi AND nn.rank = s.rank
+JOIN z y ON y.udi = nn.nb"""
+
+
+register("smote", _smote_sql(_PREP_SQL, _z(_F), _stats(_F), _F))(lambda s, sf: _smote(s, sf))
 
 
 def _smote(s, sf):
     tr = train_part(s, sf, materialize=True)
     scaler = sampling.fit_standard_scaler(tr, _F)
-    return sampling.smote(scaler.transform(tr), _F, seed=SEED, materialized=True)
-
+    return sampling.smote(scaler.transform(tr, 6), _F, seed=SEED, materialized=True, hash_kind="arith")
 
-register("preprocess_train_binary")(
-    lambda s, sf: preprocess.preprocess_pipeline(unique_featured(s, sf), "binary").train)
 
-register("preprocess_train_multiclass")(
-    lambda s, sf: preprocess.preprocess_pipeline(unique_featured(s, sf), "multiclass").train)
+for _task, _sql in [("binary", _PREP_SQL), ("multiclass", _PREP_MC_SQL)]:
+    register(f"preprocess_train_{_task}", _smote_sql(_sql, _z(_F), _stats(_F), _F))(
+        lambda s, sf, _t=_task: preprocess.preprocess_pipeline(
+            unique_featured(s, sf), _t, SEED, "arith", digits=6).train)
 
 
 # ---------------------------------------------------------------- typed one-hot pipeline
 _TYPED_NUMERIC = [f for f in _F if f not in ("machine_type", "wear_category")]
-_PREP_MC_SQL = (_PREP_SQL.replace("CAST(target AS DOUBLE) AS label", "failure_type AS label")
-                .replace("IN ('L', 'M', 'H'))", "IN ('L', 'M', 'H') AND failure_type IS NOT NULL)"))
+# the one-hot columns: feature, category, its code in the prepared table
+_DUMMIES = [("machine_type", "L", 0), ("machine_type", "M", 1), ("wear_category", "Low", 1), ("wear_category", "Medium", 2)]
 
 
 def _typed_sql(prep_sql):
-    dummies = [("machine_type", "L", 0), ("machine_type", "M", 1), ("wear_category", "Low", 1),
-               ("wear_category", "Medium", 2)]
+    dummies = _DUMMIES
     return f"""WITH {prep_sql},
 st AS (SELECT {", ".join(f"AVG({f}) AS m_{f}, STDDEV_POP({f}) AS s_{f}" for f in _TYPED_NUMERIC)} FROM train)
 SELECT udi, label, {", ".join(
@@ -140,5 +178,7 @@ def _typed_test(s, sf, task):
 for _task, _sql in [("binary", _PREP_SQL), ("multiclass", _PREP_MC_SQL)]:
     register(f"preprocess_typed_test_{_task}", _typed_sql(_sql))(
         lambda s, sf, _t=_task: _typed_test(s, sf, _t))
-    register(f"preprocess_typed_train_{_task}")(
-        lambda s, sf, _t=_task: preprocess.typed_pipeline(unique_featured(s, sf), _t, SEED, "arith").train)
+    register(f"preprocess_typed_train_{_task}", _smote_sql(
+        _sql, ", ".join([_z(_TYPED_NUMERIC), *[f"CAST({f} = {code} AS DOUBLE) AS {f}_{v}" for f, v, code in _DUMMIES]]),
+        _stats(_TYPED_NUMERIC), _TYPED_NUMERIC + [f"{f}_{v}" for f, v, _ in _DUMMIES]))(
+        lambda s, sf, _t=_task: preprocess.typed_pipeline(unique_featured(s, sf), _t, SEED, "arith", digits=6).train)

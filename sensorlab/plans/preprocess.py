@@ -86,7 +86,8 @@ class Prepared:
 
 def preprocess_pipeline(features_df: DataFrame, task: str = "binary", seed: int = 42,
                         hash_kind: str = "xxhash64", k: int = 5, oversample: bool = True,
-                        k_cap: bool = False) -> Prepared:
+                        k_cap: bool = False, digits: int | None = None) -> Prepared:
+    """``digits`` rounds the scaled inputs, which makes distances and synthetic rows equal in every engine."""
     # one pass over the deduplicated rows: the split is materialised with the wear label,
     # and the code mapping (at most three rows) is read back from that narrow checkpoint
     prep = prepared_frame(features_df, task, keep_wear_label=True)
@@ -96,10 +97,10 @@ def preprocess_pipeline(features_df: DataFrame, task: str = "binary", seed: int
     codes = {r[0]: int(r[1]) for r in sorted(pairs, key=lambda r: r[1])}
     train, test = train.drop("_wear_label"), test.drop("_wear_label")
     scaler = sampling.fit_standard_scaler(train, NUMERIC_FEATURES)
-    train_s, test_s = scaler.transform(train), scaler.transform(test)
+    train_s, test_s = scaler.transform(train, digits), scaler.transform(test, digits)
     if oversample:
         balanced = sampling.smote(train_s, NUMERIC_FEATURES, "label", "udi", k=k, seed=seed, k_cap=k_cap,
-                                  materialized=True)
+                                  materialized=True, hash_kind=hash_kind)
     else:
         balanced = train_s.withColumn("is_synthetic", F.lit(False))
     # every estimator makes many passes over the training rows: materialise them once in
@@ -119,7 +120,7 @@ class TypedPrepared:
 
 def typed_pipeline(features_df: DataFrame, task: str = "binary", seed: int = 42,
                    hash_kind: str = "xxhash64", k: int = 5, oversample: bool = True,
-                   k_cap: bool = False) -> TypedPrepared:
+                   k_cap: bool = False, digits: int | None = None) -> TypedPrepared:
     """Columns found by type: numeric ones scaled, strings one-hot with the first category
     dropped (categories and scaler fitted on the training rows; an unknown category is all
     zero), then SMOTE on the training rows.  Rows with a NULL input are dropped."""
@@ -134,14 +135,15 @@ def typed_pipeline(features_df: DataFrame, task: str = "binary", seed: int = 42,
     dummies = [f"{f}_{v}" for f in strings for v in categories[f][1:]]
 
     def transform(df):
-        out = scaler.transform(df)
+        out = scaler.transform(df, digits)
         for f in strings:
             out = feat_ops.one_hot_drop_first(out, f, categories[f])
         return out.select("udi", "label", *numeric, *[c(d).cast("double").alias(d) for d in dummies])
 
     inputs = numeric + dummies
     if oversample:
-        balanced = sampling.smote(transform(train), inputs, k=k, seed=seed, k_cap=k_cap, materialized=True)
+        balanced = sampling.smote(transform(train), inputs, k=k, seed=seed, k_cap=k_cap, materialized=True,
+                                  hash_kind=hash_kind)
     else:
         balanced = transform(train).withColumn("is_synthetic", F.lit(False))
     return TypedPrepared(cut_lineage(balanced), transform(test), scaler, categories, inputs)
