@@ -99,6 +99,21 @@ def _tie_part(bounds: list[float], order_col: str, tiebreak: Sequence[str]):
     return F.when(k.isNotNull(), F.pmod(F.xxhash64(*tiebreak), k).cast("int")).otherwise(F.lit(len(bounds)))
 
 
+def previous_values(df: DataFrame, order_col: str, value_cols: Sequence[str], prefix: str = "prev_",
+                    n_ranges: int | None = None) -> DataFrame:
+    """Adds each row's neighbour below in ``order_col`` (one row per value): its order value and
+    ``value_cols`` with ``prefix``, NULL for the lowest row.  Inside a range a window looks back; the first row of
+    a range takes the last row of the nearest range below, of which there is one a range."""
+    cols = [order_col, *value_cols]
+    ranged = range_bucket(df, order_col, n_ranges=n_ranges)
+    tails = ranged.groupBy(c("_rng").alias("_at")).agg(F.max(F.struct(*cols)).alias("_tail"))
+    below = tails.select("_at", F.lag("_tail").over(Window.orderBy("_at")).alias("_below"))
+    inside = Window.partitionBy("_rng").orderBy(order_col)
+    out = ranged.withColumn("_prev", F.lag(F.struct(*cols)).over(inside)).join(below, c("_rng") == c("_at"))
+    prev = F.coalesce("_prev", "_below")
+    return out.select(*df.columns, *[prev[x].alias(f"{prefix}{x}") for x in cols])
+
+
 def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float],
                     groups: Sequence[str] = ()) -> DataFrame:
     """Exact quantiles with linear interpolation (numpy 'linear', DuckDB quantile_cont).

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sensorlab.functions.exprs import dround
-from sensorlab.functions.ordered import running_totals
+from sensorlab.functions.ordered import previous_values, running_totals
 from sensorlab.session import cut_lineage
 
 c = F.col
@@ -160,11 +160,19 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "score", positive=
                     .alias("roc_auc"))
 
 
-def roc_curve(df: DataFrame, label: str = "label", score: str = "score", positive=1) -> DataFrame:
+def roc_curve(df: DataFrame, label: str = "label", score: str = "score", positive=1,
+              drop_collinear: bool = False) -> DataFrame:
     """(threshold, fpr, tpr): the start point (infinity, 0, 0), where no row is predicted
-    positive, then one point per distinct score with the rates of rows scored >= it."""
+    positive, then one point per distinct score with the rates of rows scored >= it.
+    ``drop_collinear`` leaves out points whose step is followed by an equal step (the next
+    lower score adds the same rows of both classes); the first and the last point stay."""
     per_score = cut_lineage(_score_counts(df, label, score, positive))  # read 4 times
     cum = running_totals(per_score, "score", ["pos", "neg"])
+    if drop_collinear:
+        top = per_score.agg(F.max("score")).first()[0]
+        near = previous_values(cum, "score", ["pos", "neg"])
+        cum = near.where(c("prev_score").isNull() | (c("score") == F.lit(top)) | (c("pos") != c("prev_pos"))
+                         | (c("neg") != c("prev_neg")))
     # the class totals are two numbers: bring them to the driver as literals
     t = per_score.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).first()
     P, N = F.lit(int(t["P"] or 0)), F.lit(int(t["N"] or 0))

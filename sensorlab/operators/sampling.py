@@ -53,24 +53,45 @@ def _bucket_table(ordered: DataFrame, label: str, test_fraction: float) -> DataF
                          F.floor(F.lit(test_fraction) * n_c + 0.5).alias("_quota"))
 
 
+def split_cutoffs(df: DataFrame, label: str, key: str, test_fraction: float, seed: int,
+                  hash_kind: str, buckets: int) -> list[tuple]:
+    """(label, bucket, hash, key) of the last test row of each class with test rows, in (bucket, hash,
+    key) order.  Two aggregations: rows per (class, bucket) name the one bucket of a class
+    that holds its quota, and counts of that bucket's keys name the row.  One row a class
+    reaches the driver."""
+    ordered = _ordered(df.select(label, key), key, seed, hash_kind, buckets)
+    edges = (_bucket_table(ordered, label, test_fraction)
+             .where((c("_before") < c("_quota")) & (c("_before") + c("_cnt") >= c("_quota"))).collect())
+    if not edges:
+        return []
+    inside, place, rest = F.lit(False), F.lit(0), F.lit(0)
+    for i, r in enumerate(edges):
+        mine = c(label).eqNullSafe(F.lit(r[label])) & (c("_b") == r["_b"])
+        inside = inside | mine
+        place = F.when(mine, i).otherwise(place)
+        rest = F.when(mine, r["_quota"] - r["_before"]).otherwise(rest)
+    keys = (ordered.where(inside).groupBy(place.alias("_class"), rest.alias("_rest"), "_h", c(key).alias("_key"))
+            .agg(F.count(F.lit(1)).alias("_cnt")))
+    so_far = Window.partitionBy("_class").orderBy("_h", "_key").rowsBetween(Window.unboundedPreceding, 0)
+    found = (keys.withColumn("_upto", F.sum("_cnt").over(so_far)).where(c("_upto") >= c("_rest"))
+             .groupBy("_class").agg(F.min(F.struct("_h", "_key")).alias("_at")).collect())
+    return [(edges[r["_class"]][label], edges[r["_class"]]["_b"], r["_at"]["_h"], r["_at"]["_key"]) for r in found]
+
+
 def stratified_split(df: DataFrame, label: str = "label", key: str = "udi",
                      test_fraction: float = 0.2, seed: int = 42, hash_kind: str = "xxhash64",
                      buckets: int | None = None) -> DataFrame:
     """Adds boolean ``is_test``: per class exactly floor(fraction * n_c + 0.5) test rows,
-    the first ones in (bucket, hash, key) order."""
+    the first ones in (bucket, hash, key) order.  The exact cut-off of each class is found by two aggregations;
+    the split itself is a projection and moves no row.  ``df`` is read three times: pass a written
+    table.  Keys are unique; rows that share the cut-off's key stay together."""
     buckets = buckets or (1024 if hash_kind == "arith" else 65536)
     ordered = _ordered(df, key, seed, hash_kind, buckets)
-    table = _bucket_table(ordered, label, test_fraction)
-    j = ordered.join(table, [label, "_b"])
-    status = (F.when(c("_before") + c("_cnt") <= c("_quota"), F.lit("test"))
-              .when(c("_before") >= c("_quota"), F.lit("train")).otherwise(F.lit("edge")))
-    j = j.withColumn("_s", status)
-    decided = j.where(c("_s") != "edge").withColumn("is_test", c("_s") == "test")
-    w = Window.partitionBy(label, "_b").orderBy("_h", key)
-    edge = (j.where(c("_s") == "edge")
-            .withColumn("is_test", F.row_number().over(w) <= c("_quota") - c("_before")))
-    out = decided.unionByName(edge)
-    return out.drop("_h", "_b", "_cnt", "_before", "_quota", "_s")
+    is_test = F.lit(False)
+    for value, bucket, h, last in split_cutoffs(df, label, key, test_fraction, seed, hash_kind, buckets):
+        before = (c("_b") < bucket) | ((c("_b") == bucket) & ((c("_h") < h) | ((c("_h") == h) & (c(key) <= F.lit(last)))))
+        is_test = F.when(c(label).eqNullSafe(F.lit(value)), before).otherwise(is_test)
+    return ordered.withColumn("is_test", is_test).drop("_h", "_b")
 
 
 def stratified_folds(df: DataFrame, k: int = 5, label: str = "label", key: str = "udi",

@@ -125,6 +125,17 @@ SELECT score AS threshold, {_r(_z('n_all - (neg_cum - neg)', 'n_all'))} AS fpr,
 FROM cs, t
 UNION ALL SELECT CAST('Infinity' AS DOUBLE), CAST(0 AS DOUBLE), CAST(0 AS DOUBLE)""")(lambda s, sf: evaluate.roc_curve(bscore(s, sf)))
 
+register("roc_curve_thinned", f"""WITH {_SCORES},
+cs AS (SELECT *, SUM(pos) OVER w AS pos_cum, SUM(neg) OVER w AS neg_cum, LAG(pos) OVER v AS pos_below, LAG(neg) OVER v AS neg_below,
+              LEAD(score) OVER v AS above
+       FROM s WINDOW w AS (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), v AS (ORDER BY score)),
+t AS (SELECT SUM(pos) AS p_all, SUM(neg) AS n_all FROM s)
+SELECT score AS threshold, {_r(_z('n_all - (neg_cum - neg)', 'n_all'))} AS fpr,
+       {_r(_z('p_all - (pos_cum - pos)', 'p_all'))} AS tpr
+FROM cs, t WHERE pos_below IS NULL OR above IS NULL OR pos <> pos_below OR neg <> neg_below
+UNION ALL SELECT CAST('Infinity' AS DOUBLE), CAST(0 AS DOUBLE), CAST(0 AS DOUBLE)""")(
+    lambda s, sf: evaluate.roc_curve(bscore(s, sf), drop_collinear=True))
+
 register("metrics_side_by_side", "WITH " + _PER_CLASS.format(src="mscore") + f""",
 b AS (SELECT {_BIN_METRICS} FROM {_COUNTS.format(src='bscore')}),
 m AS (SELECT {_r(_z('SUM(tp)', 'SUM(support)'))} AS accuracy,

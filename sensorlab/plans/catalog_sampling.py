@@ -16,6 +16,7 @@ from sensorlab.plans import preprocess
 from sensorlab.plans.catalog_sql import unique_featured
 from sensorlab.plans.registry import register
 from sensorlab.schema import SENSORS
+from sensorlab.session import cut_lineage
 
 c = F.col
 SEED = 42
@@ -49,11 +50,12 @@ s AS (SELECT *, rn <= FLOOR(CAST(0.2 AS DOUBLE) * n_c + 0.5) AS is_test,
 train AS (SELECT * FROM s WHERE NOT is_test)"""
 
 register("stratified_split", f"WITH {_PREP_SQL} SELECT udi, label, is_test FROM s")(
-    lambda s, sf: sampling.stratified_split(prep_binary(s, sf), hash_kind="arith").select("udi", "label", "is_test"))
+    lambda s, sf: sampling.stratified_split(cut_lineage(prep_binary(s, sf)), hash_kind="arith").select("udi", "label", "is_test"))
 
 register("stratified_folds", f"""WITH {_PREP_SQL}
 SELECT udi, label, CAST((train_rank - 1) % 5 AS INT) AS fold FROM train""")(
-    lambda s, sf: sampling.stratified_folds(train_part(s, sf), k=5, hash_kind="arith").select("udi", "label", "fold"))
+    lambda s, sf: sampling.stratified_folds(train_part(s, sf, materialize=True), k=5, hash_kind="arith")
+    .select("udi", "label", "fold"))
 
 _F = preprocess.NUMERIC_FEATURES
 register("standard_scale", f"""WITH {_PREP_SQL},

@@ -66,12 +66,12 @@ def prepared_frame(features_df: DataFrame, task: str = "binary",
 
 def split(prep: DataFrame, seed: int = 42, hash_kind: str = "xxhash64",
           test_fraction: float = 0.2, materialize: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(train, test).  ``materialize`` writes the marked rows (numeric columns only) once
-    to the shared checkpoint folder, so the scaler fit, the transforms and SMOTE read
-    them instead of re-running the deduplicating shuffle each."""
-    marked = sampling.stratified_split(prep, "label", "udi", test_fraction, seed, hash_kind)
+    """(train, test).  ``materialize`` writes the prepared rows (numeric columns only) once
+    to the shared checkpoint folder, so the cut-offs, the scaler fit, the transforms and SMOTE
+    read them instead of re-running the deduplicating shuffle each; the split is a filter on them."""
     if materialize:
-        marked = cut_lineage(marked)
+        prep = cut_lineage(prep)
+    marked = sampling.stratified_split(prep, "label", "udi", test_fraction, seed, hash_kind)
     return (marked.where(~c("is_test")).drop("is_test"), marked.where(c("is_test")).drop("is_test"))
 
 
