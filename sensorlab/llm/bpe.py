@@ -34,7 +34,7 @@ from sensorlab.session import ship_package
 c = F.col
 
 LONG_WORD = 256
-CACHE_WORDS = 300_000
+CACHE_WORDS = 500_000
 NEVER = 1 << 60
 # str.split() also parts at these four signs, which are not white space in the pattern.
 INFORMATION_SEPARATORS = re.compile("[\x1c-\x1f]")
@@ -67,8 +67,7 @@ class WordBPE:
         self.pattern = regex.compile(data["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
         self.symbols = byte_symbols()
         self.parts_at = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
-        self.words: dict[str, bytes] = {}
-        self.chunks: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}      # words and stretches without white space; a word is both
 
     # ---------------------------------------------------------------- one word
     def _pack(self, parts: list[str]) -> bytes:
@@ -125,24 +124,23 @@ class WordBPE:
         return [p for p in parts if p]
 
     # ---------------------------------------------------------------- texts
+    def _remember(self, piece: str, ids: bytes) -> bytes:
+        if len(self.known) >= CACHE_WORDS:
+            self.known.clear()
+        if len(piece) <= LONG_WORD:
+            self.known[piece] = ids
+        return ids
+
     def _word(self, word: str) -> bytes:
-        got = self.words.get(word)
-        if got is None:
-            if len(self.words) >= CACHE_WORDS:
-                self.words.clear()
-            got = self._pack(self.merge(word))
-            if len(word) <= LONG_WORD:
-                self.words[word] = got
-        return got
+        got = self.known.get(word)
+        return self._remember(word, self._pack(self.merge(word))) if got is None else got
 
     def _chunk(self, chunk: str) -> bytes:
         """Ids of a stretch without white space; words never reach over white space."""
-        got = b"".join(map(self._word, self.pattern.findall(chunk)))
-        if len(self.chunks) >= CACHE_WORDS:
-            self.chunks.clear()
-        if len(chunk) <= LONG_WORD:
-            self.chunks[chunk] = got
-        return got
+        words = self.pattern.findall(chunk)
+        if len(words) == 1 and words[0] == chunk:
+            return self._word(chunk)
+        return self._remember(chunk, b"".join(map(self._word, words)))
 
     def _plain(self, text: str) -> bytes:
         text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
@@ -150,7 +148,7 @@ class WordBPE:
             parts = regex.split(r"\s+", text)
         else:
             parts = text.split()
-        known = self.chunks.get
+        known = self.known.get
         out = list(map(known, parts))
         if None in out:
             out = [self._chunk(p) if o is None else o for o, p in zip(out, parts)]

@@ -40,6 +40,7 @@ ORDERS = (3, 4)
 NEAR_BEST = 0.5
 LEAST_COUNT = 3
 LANGS_PER_WORD = 63          # one signed long holds the bits of so many languages
+BLOCK_BYTES = 1 << 18         # text taken at once: its n-gram arrays are some hundred times as large
 UNKNOWN = "und"
 
 _LETTERS: list[np.ndarray] = []
@@ -105,7 +106,7 @@ def _counting(batches):
     for batch in batches:
         text, lang = batch.column(0), batch.column(1).to_pylist()
         _, offsets = tb.utf8(text)
-        for i, j in tb.blocks(offsets):
+        for i, j in tb.blocks(offsets, BLOCK_BYTES):
             by: dict[str, list] = {}
             for t, name in zip(text.slice(i, j - i).to_pylist(), lang[i:j]):
                 by.setdefault(name, []).append(t or "")
@@ -196,7 +197,7 @@ def _listing(batches):
     for batch in batches:
         number = batch.column(0).to_numpy()
         _, offsets = tb.utf8(batch.column(1))
-        for i, j in tb.blocks(offsets):
+        for i, j in tb.blocks(offsets, BLOCK_BYTES):
             row, h = ngrams([t or "" for t in batch.column(1).slice(i, j - i).to_pylist()])
             order = np.lexsort((h, row))
             row, h = row[order], h[order]
@@ -240,7 +241,7 @@ def predict(docs: DataFrame, filters: Filters, id_col: str = "doc_id", text_col:
         for batch in batches:
             texts = batch.column(1)
             _, offsets = tb.utf8(texts)
-            for i, j in tb.blocks(offsets):
+            for i, j in tb.blocks(offsets, BLOCK_BYTES):
                 part = [t or "" for t in texts.slice(i, j - i).to_pylist()]
                 if f.langs:
                     rate, n = f.rates(part)
