@@ -20,6 +20,7 @@ Bagging takes rows by a hash of (row key, seed, round): the same rows wherever t
 from __future__ import annotations
 
 import heapq
+import math
 from dataclasses import asdict, dataclass, field
 
 import numpy as np
@@ -135,8 +136,8 @@ def best_splits(hist: np.ndarray, specs: list[Spec], allowed: np.ndarray):
     """(gain, feature, bin, missing left) of the best split of each histogram (nodes, features,
     bins, 3); gain 0 where there is none.  Equal gains: the first feature, the lowest bin."""
     r, f, b, _ = hist.shape
-    alpha, lam, min_rows, min_h = (np.array([getattr(s, k) for s in specs], float)[:, None, None]
-                                   for k in ("alpha", "lam", "min_rows", "min_hessian"))
+    alpha, lam, min_rows, min_h = np.array([(s.alpha, s.lam, max(s.min_rows, 1), s.min_hessian) for s in specs],
+                                           float).T[:, :, None, None]
     total = hist[:, 0].sum(axis=1)                                   # the same for every feature
     g, h, n = (total[:, k][:, None, None] for k in range(3))
     own = _score(g, h, alpha, lam)
@@ -150,7 +151,7 @@ def best_splits(hist: np.ndarray, specs: list[Spec], allowed: np.ndarray):
         gl, hl, nl = side[..., 0], side[..., 1], side[..., 2]
         gr, hr, nr = g - gl, h - hl, n - nl
         gain = _score(gl, hl, alpha, lam) + _score(gr, hr, alpha, lam) - own
-        fit = (nl >= min_rows) & (nr >= min_rows) & (hl >= min_h) & (hr >= min_h) & (nl > 0) & (nr > 0)
+        fit = (nl >= min_rows) & (nr >= min_rows) & (hl >= min_h) & (hr >= min_h)
         gain = np.where(fit & allowed[:, :, None], gain, 0.0).reshape(r, -1)
         at = gain.argmax(axis=1)
         value = gain[np.arange(r), at]
@@ -181,13 +182,11 @@ def _replay(root: Node, spec: Spec) -> tuple[list[Node], list[Node]]:
     return chosen, unknown
 
 
-def _evaluate(nodes: list[Node], specs: list[Spec], allowed: np.ndarray):
-    if not nodes:
-        return
-    gain, feature, edge, left = best_splits(np.stack([n.hist for n in nodes]), specs, allowed)
-    for i, (node, spec) in enumerate(zip(nodes, specs)):
-        if gain[i] > 0 and (spec.max_depth <= 0 or node.depth < spec.max_depth):
-            node.gain, node.split = float(gain[i]), (int(feature[i]), int(edge[i]), bool(left[i]))
+def _evaluate(nodes: list[Node], hist: np.ndarray, specs: list[Spec], allowed: np.ndarray):
+    found = zip(*(v.tolist() for v in best_splits(hist, specs, allowed)))
+    for node, spec, (gain, *split) in zip(nodes, specs, found):
+        if gain > 0 and (spec.max_depth <= 0 or node.depth < spec.max_depth):
+            node.gain, node.split = gain, tuple(split)
         else:
             node.hist = None
 
@@ -195,26 +194,28 @@ def _evaluate(nodes: list[Node], specs: list[Spec], allowed: np.ndarray):
 def _tree(root: Node, chosen: list[Node], spec: Spec) -> tuple[Tree, list[Node]]:
     """The tree of the split nodes, and the node of each of its entries."""
     split, tree, order = {id(n) for n in chosen}, Tree(), []
-
-    def add(node):
+    todo = [(root, None, None)]
+    while todo:
+        node, side, parent = todo.pop()
         i = len(order)
         order.append(node)
-        g, h, _ = node.total
-        value = -np.sign(g) * max(abs(g) - spec.alpha, 0.0) / (h + spec.lam + 1e-12) * spec.rate
-        for name, v in (("feature", -1), ("bin", 0), ("missing_left", False), ("left", 0), ("right", 0),
-                        ("value", float(value)), ("gain", 0.0)):
-            getattr(tree, name).append(v)
-        return i
-
-    todo = [(root, add(root))]
-    while todo:
-        node, i = todo.pop()
-        if id(node) not in split:
-            continue
-        tree.feature[i], tree.bin[i], tree.missing_left[i] = node.split
-        tree.gain[i] = node.gain
-        tree.left[i], tree.right[i] = add(node.kids[0]), add(node.kids[1])
-        todo += [(node.kids[0], tree.left[i]), (node.kids[1], tree.right[i])]
+        if side is not None:
+            side[parent] = i
+        if id(node) in split:
+            feature, edge, missing_left = node.split
+            tree.gain.append(node.gain)
+            tree.value.append(0.0)
+            todo += [(node.kids[0], tree.left, i), (node.kids[1], tree.right, i)]
+        else:
+            feature, edge, missing_left = -1, 0, False
+            g, h, _ = node.total.tolist()
+            tree.gain.append(0.0)
+            tree.value.append(-math.copysign(max(abs(g) - spec.alpha, 0.0), g) / (h + spec.lam + 1e-12) * spec.rate)
+        tree.feature.append(feature)
+        tree.bin.append(edge)
+        tree.missing_left.append(missing_left)
+        tree.left.append(0)
+        tree.right.append(0)
     return tree, order
 
 
@@ -224,10 +225,8 @@ def grow(rows, specs: list[Spec], allowed: np.ndarray) -> list[tuple[Tree, list[
     ``rows.roots()`` gives the histograms of all rows of each tree and ``rows.children(wanted)``, for (tree,
     node) pairs, the histogram of one child of each and whether that is the left one."""
     hist = rows.roots()
-    roots = [Node(1, 0, h[0].sum(axis=0), h) for h in hist]
-    for t, root in enumerate(roots):
-        root.place = rows.whole(t)
-    _evaluate(roots, specs, allowed)
+    roots = [Node(1, 0, h[0].sum(axis=0), h, place=rows.whole(t)) for t, h in enumerate(hist)]
+    _evaluate(roots, hist, specs, allowed)
     done: list = [None] * len(roots)
     live = list(range(len(roots)))
     while live:
@@ -242,17 +241,21 @@ def grow(rows, specs: list[Spec], allowed: np.ndarray) -> list[tuple[Tree, list[
         live = still
         if not wanted:
             continue
-        hists, is_left, places = rows.children(wanted)
+        counted, is_left, places = rows.children(wanted)
+        is_left = np.asarray(is_left)
+        rest = np.stack([n.hist for _, n in wanted]) - counted
+        both = np.empty((len(wanted), 2, *counted.shape[1:]))
+        both[is_left, 0], both[is_left, 1] = counted[is_left], rest[is_left]
+        both[~is_left, 0], both[~is_left, 1] = rest[~is_left], counted[~is_left]
+        totals = both[:, :, 0].sum(axis=2)
         new, owner = [], []
-        for (t, node), h, left, place in zip(wanted, hists, is_left, places):
-            other = node.hist - h
-            pair = (h, other) if left else (other, h)
-            node.kids = tuple(Node(2 * node.path + i, node.depth + 1, p[0].sum(axis=0), p, place=place[i])
-                              for i, p in enumerate(pair))
+        for i, (t, node) in enumerate(wanted):
+            node.kids = tuple(Node(2 * node.path + k, node.depth + 1, totals[i, k], both[i, k], place=places[i][k])
+                              for k in range(2))
             node.hist = None
             new += node.kids
             owner += [t, t]
-        _evaluate(new, [specs[t] for t in owner], allowed[owner])
+        _evaluate(new, both.reshape(-1, *both.shape[2:]), [specs[t] for t in owner], allowed[owner])
     return done
 
 
@@ -323,7 +326,9 @@ class TaskRows:
     def __init__(self, x, y, share, keys, specs: list[Spec], bins: int):
         self.x, self.y, self.keys, self.specs, self.bins = x, y, keys, specs, bins
         self.n, self.features = x.shape
-        self.cells = x.astype(np.int64) + np.arange(self.features) * bins
+        self.columns = np.ascontiguousarray(x.T).astype(np.int64)
+        self.values = self.columns.ravel()
+        self.missing = bool((x == 0).any())
         self.learns = [share < s.share for s in specs]
 
     def class_counts(self):
@@ -345,49 +350,54 @@ class TaskRows:
         # histograms read the rows in the bag; the others are scored by the finished tree
         self.used = [np.flatnonzero(bag) for bag in w]
         self.rest = [np.flatnonzero(~bag) for bag in w]
-        self.order = np.concatenate([u + t * self.n for t, u in enumerate(self.used)])
+        self.order = np.concatenate(self.used)
         ends = np.cumsum([len(u) for u in self.used])
         self.spans = [(int(e - len(u)), int(e)) for e, u in zip(ends, self.used)]
 
     def whole(self, t):
         return self.spans[t]
 
-    def _histograms(self, flat, owner, groups):
-        size = self.features * self.bins
-        cells = (self.cells[flat % self.n] + (owner * size)[:, None]).ravel()
-        out = np.empty((groups * size, 3))
-        for j, v in enumerate((self.g, self.h)):
-            out[:, j] = np.bincount(cells, weights=np.repeat(v[flat], self.features), minlength=groups * size)
-        out[:, 2] = np.bincount(cells, minlength=groups * size)
-        return out.reshape(groups, self.features, self.bins, 3)
+    def _histograms(self, row, tree, size):
+        """Histograms of runs of rows: run i has ``size[i]`` rows of tree ``tree[i]``."""
+        runs, bins = len(size), self.bins
+        at = row + np.repeat(tree * self.n, size)
+        g, h = self.g[at], self.h[at]
+        offset = np.repeat(np.arange(runs) * bins, size)
+        out = np.empty((runs, self.features, bins, 3))
+        for f in range(self.features):
+            cell = self.columns[f][row] + offset
+            for j, v in enumerate((g, h, None)):
+                out[:, f, :, j] = np.bincount(cell, v, runs * bins).reshape(runs, bins)
+        return out
 
     def roots(self):
-        owner = np.repeat(np.arange(len(self.used)), [len(u) for u in self.used])
-        return self._histograms(self.order, owner, len(self.used))
+        return self._histograms(self.order, np.arange(len(self.used)), np.array([len(u) for u in self.used]))
 
     def children(self, wanted):
+        tree = np.array([t for t, _ in wanted])
         start, end = np.array([n.place for _, n in wanted]).T
         size = end - start
         feature, edge, missing = (np.array(v) for v in zip(*[n.split for _, n in wanted]))
-        group = np.repeat(np.arange(len(wanted)), size)
         first = np.cumsum(size) - size
-        within = np.arange(len(group)) - first[group]
-        at = start[group] + within
-        flat = self.order[at]
-        value = self.x[flat % self.n, feature[group]]
-        left = np.where(value == 0, missing[group], value <= edge[group])
-        # stable partition of every span
-        so_far = np.cumsum(left)
-        before = so_far[first] - left[first] if len(group) else np.zeros(len(wanted), np.int64)
-        lefts = np.bincount(group[left], minlength=len(wanted))
-        rank = so_far - before[group]
-        to = np.where(left, start[group] + rank - 1, start[group] + lefts[group] + within - rank)
-        self.order[to] = flat
+        at = np.arange(size.sum()) + np.repeat(start - first, size)
+        row = self.order[at]
+        value = self.values[row + np.repeat(feature * self.n, size)]
+        left = value <= np.repeat(edge, size)
+        if self.missing:
+            left &= (value > 0) | np.repeat(missing, size)
+        # stable partition of every span: the rows of the left sides in order, then those of the right sides
+        lefts = np.add.reduceat(left, first, dtype=np.int64)
+        to_left = at < np.repeat(start + lefts, size)
+        left_rows, right_rows = row[left], row[~left]
+        self.order[at[to_left]] = left_rows
+        self.order[at[~to_left]] = right_rows
         is_left = 2 * lefts <= size
-        small = left == is_left[group]
-        hists = self._histograms(flat[small], group[small], len(wanted))
-        middle = start + lefts
-        places = [((int(a), int(m)), (int(m), int(e))) for a, m, e in zip(start, middle, end)]
+        rights = size - lefts
+        pick_left, pick_right = np.repeat(is_left, lefts), np.repeat(~is_left, rights)
+        hists = np.empty((len(wanted), self.features, self.bins, 3))
+        hists[is_left] = self._histograms(left_rows[pick_left], tree[is_left], lefts[is_left])
+        hists[~is_left] = self._histograms(right_rows[pick_right], tree[~is_left], rights[~is_left])
+        places = [((a, m), (m, e)) for a, m, e in zip(start.tolist(), (start + lefts).tolist(), end.tolist())]
         return hists, is_left.tolist(), places
 
     def finish(self, owner, grown):
@@ -395,7 +405,7 @@ class TaskRows:
             margin = self.margins[m][k]
             for i, node in enumerate(order):
                 if tree.feature[i] < 0:
-                    margin[self.order[node.place[0]:node.place[1]] - t * self.n] += tree.value[i]
+                    margin[self.order[node.place[0]:node.place[1]]] += tree.value[i]
             if len(self.rest[t]):
                 margin[self.rest[t]] += tree.margin(self.x[self.rest[t]])
 
