@@ -16,7 +16,7 @@
 Labels, language, source and id are never inputs of a score.  Null and empty texts have no
 tokens and get the score of three zeros.  Without training rows of both labels every score
 is 0 and predicted 0.  Documents are kept one to one; extra columns
-are ignored.
+are ignored.  Rows that repeat an id are scored each, and all learned from if one of them is.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from sensorlab.llm import textbytes as tb
 from sensorlab.llm.langid import is_held_out
-from sensorlab.llm.storage import written
+from sensorlab.llm.storage import checked, written
 from sensorlab.session import ship_package
 
 c = F.col
@@ -282,12 +282,13 @@ def mark(docs: DataFrame, field: Field, spans: bool = True) -> DataFrame:
 def toxicity(docs: DataFrame, labels: DataFrame, parts: int = 5, held_out: int = 0, spans: bool = True) -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted and the toxic spans."""
     known = labels.where("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    learn = docs.where(~is_held_out("doc_id", parts, held_out)).select("doc_id", "text")
-    # a training text moves once; the rest of the corpus stays where it is
-    labelled = learn.join(known, "doc_id").select("doc_id", "text", "toxic")
-    # copies would make the rare words of one toxic text look toxic: equal texts count once
-    labelled = written(labelled.groupBy(F.sha2("text", 256).alias("sha"), "toxic")
-                       .agg(F.min(F.struct("doc_id", "text")).alias("r")).select("r.*", "toxic"), "labelled")
+    learn = docs.where(~is_held_out("doc_id", parts, held_out)).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    # copies would make the rare words of one toxic text look toxic: equal texts count once.  They are
+    # told by hash, so that of the corpus only training texts move, if any
+    known = written(known, "known")
+    kept = written(learn.select("doc_id", F.sha2("text", 256).alias("sha")).join(checked(known), "doc_id")
+                   .groupBy("sha", "toxic").agg(F.min("doc_id").alias("doc_id")).select("doc_id", "toxic"), "kept")
+    labelled = written(learn.join(checked(kept), "doc_id").select("doc_id", "text", "toxic"), "labelled")
     field = train(labelled)
     if field is None:
         return docs.select("doc_id", is_held_out("doc_id", parts, held_out).alias("held_out"),
