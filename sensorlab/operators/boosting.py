@@ -26,6 +26,7 @@ from dataclasses import asdict, dataclass, field
 import numpy as np
 
 U64 = np.uint64
+WAVE = 6          # leaves of a best-first tree whose children are counted at once
 
 
 @dataclass(frozen=True)
@@ -175,6 +176,8 @@ def _replay(root: Node, spec: Spec) -> tuple[list[Node], list[Node]]:
         chosen.append(node)
         if node.kids is None:
             unknown.append(node)
+            if spec.leaves and len(unknown) == WAVE:        # what comes after is less and less certain
+                break
             continue
         for kid in node.kids:
             if kid.gain > 0:
@@ -183,12 +186,19 @@ def _replay(root: Node, spec: Spec) -> tuple[list[Node], list[Node]]:
 
 
 def _evaluate(nodes: list[Node], hist: np.ndarray, specs: list[Spec], allowed: np.ndarray):
-    found = zip(*(v.tolist() for v in best_splits(hist, specs, allowed)))
-    for node, spec, (gain, *split) in zip(nodes, specs, found):
-        if gain > 0 and (spec.max_depth <= 0 or node.depth < spec.max_depth):
-            node.gain, node.split = gain, tuple(split)
-        else:
-            node.hist = None
+    # nodes at the depth limit, or with too few rows or too little hessian for two sides, stay leaves
+    may = [i for i, (node, spec) in enumerate(zip(nodes, specs))
+           if not 0 < spec.max_depth <= node.depth and node.total[2] >= 2 * max(spec.min_rows, 1)
+           and node.total[1] >= 2 * spec.min_hessian]
+    for node in nodes:
+        node.hist = None
+    if not may:
+        return
+    hist, some = (hist, allowed) if len(may) == len(nodes) else (hist[may], allowed[may])
+    found = zip(*(v.tolist() for v in best_splits(hist, [specs[i] for i in may], some)))
+    for k, (i, (gain, *split)) in enumerate(zip(may, found)):
+        if gain > 0:
+            nodes[i].gain, nodes[i].split, nodes[i].hist = gain, tuple(split), hist[k]
 
 
 def _tree(root: Node, chosen: list[Node], spec: Spec) -> tuple[Tree, list[Node]]:

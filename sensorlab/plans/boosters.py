@@ -352,8 +352,8 @@ def _in_tasks(blocks: DataFrame, specs: list[bo.Spec], features: int, bins: int,
     lots = []
     for fold in folds:
         mine = [i for i, s in enumerate(specs) if s.fold == fold]
-        # about three lots per core, so that a long one does not hold up the end
-        for lot in _dealt([specs[i] for i in mine], math.ceil(3 * spark.sparkContext.defaultParallelism / len(folds))):
+        # several lots per core, so that the last one does not hold up the end
+        for lot in _dealt([specs[i] for i in mine], math.ceil(6 * spark.sparkContext.defaultParallelism / len(folds))):
             lots.append((len(lots), fold, json.dumps([[mine[i], asdict(specs[mine[i]])] for i in lot])))
     table = spark.createDataFrame(lots, "lot int, fold int, specs string")
 

@@ -314,13 +314,15 @@ def _fold_sets(prep: Prepared, k: int, smote_before_cv: bool, seed: int) -> list
     a fold's class with fewer than 6 rows uses the neighbours it has."""
     source = prep.train.drop("is_synthetic") if smote_before_cv else prep.train_unbalanced
     base = cut_lineage(sampling.stratified_folds(source, k, seed=seed))
-    sets = []
-    for f in range(k):
+
+    def one(f):
         tr = base.where(c("fold") != f).drop("fold")
         if not smote_before_cv:
             tr = sampling.smote(tr, NUMERIC_FEATURES, seed=seed, k_cap=True, materialized=True)
-        sets.append((_fit_input(tr), _fit_input(base.where(c("fold") == f).drop("fold"))))
-    return sets
+        return _fit_input(tr), _fit_input(base.where(c("fold") == f).drop("fold"))
+
+    with ThreadPoolExecutor(max_workers=k) as pool:       # the folds are independent Spark jobs
+        return list(pool.map(one, range(k)))
 
 
 def _coded(rows: DataFrame, labels: list) -> DataFrame:
@@ -344,12 +346,14 @@ def _class_labels(prep: Prepared, task: str) -> list:
 def _fold_blocks(sets, labels: list, share=None) -> DataFrame:
     """Binned blocks of all folds, written once: training rows at their ``share`` of the fold's
     order, validation rows that are only scored; cut points from the training rows."""
+    features = len(NUMERIC_FEATURES)
+    rows = [_coded(tr, labels) for tr, _ in sets]
+    with ThreadPoolExecutor(max_workers=len(sets)) as pool:
+        cuts = list(pool.map(lambda tr: boosters.quantile_cuts(tr, "features", features), rows))
     parts = []
-    for f, (tr, va) in enumerate(sets):
-        rows = _coded(tr, labels)
-        cuts = boosters.quantile_cuts(rows, "features", len(NUMERIC_FEATURES))
-        parts += [boosters.pack(rows, cuts, f, share),
-                  boosters.pack(_coded(va, labels), cuts, f, F.lit(boosters.NEVER))]
+    for f, (_, va) in enumerate(sets):
+        parts += [boosters.pack(rows[f], cuts[f], f, share),
+                  boosters.pack(_coded(va, labels), cuts[f], f, F.lit(boosters.NEVER))]
     blocks = parts[0]
     for part in parts[1:]:
         blocks = blocks.union(part)
@@ -420,14 +424,18 @@ def learning_curve(prep: Prepared, task: str = "binary", params: dict | None = N
     are trained together: a row's place in its class tells which of them learn from it."""
     spark = prep.train.sparkSession
     labels = _class_labels(prep, task)
-    parts = []
-    for tr, va in _fold_sets(prep, folds, smote_before_cv, seed):
+
+    def ranked(part):
+        tr, va = part
         tr = tr.select("udi", "label", *NUMERIC_FEATURES)
         size = {r[0]: int(r[1]) for r in tr.groupBy("label").count().collect()}  # one row per class
         n_c = F.lit(None).cast("long")
         for label, n in size.items():
             n_c = F.when(c("label") == label, F.lit(n)).otherwise(n_c)
-        parts.append((_fit_input(sampling.dense_index(tr, "label", "udi", seed).withColumn("_n", n_c)), va))
+        return _fit_input(sampling.dense_index(tr, "label", "udi", seed).withColumn("_n", n_c)), va
+
+    with ThreadPoolExecutor(max_workers=folds) as pool:
+        parts = list(pool.map(ranked, _fold_sets(prep, folds, smote_before_cv, seed)))
     blocks = _fold_blocks(parts, labels, c("_idx") / c("_n"))
     base = booster_spec(LEAFWISE, len(labels) or 2, params)
     jobs = [(float(x), f) for x in sizes for f in range(folds)]
