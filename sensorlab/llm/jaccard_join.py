@@ -395,15 +395,17 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     # what the first comparison left apart
     rows = written(shared.select("sig", "doc_id").union(shared.select("sig", "star").distinct()), "rows")
-    failed, count = star.join(links, ["a", "b"], "left_anti"), 1
+    failed, count = None, 1
     while True:
         edges = written(_apart(rows, part, sketch, failed).mapInArrow(
             _comparing(percent, count), "sig long, a long, b long, kept_back boolean"), "edges")
         rest = written(edges.select("a", "b").distinct(), "rest")
-        more = written(_linked(rest, unique, k, percent), "links")
+        # pairs with the smallest member of a signature were compared before
+        more = written(_linked(written(rest.join(star, ["a", "b"], "left_anti"), "fresh"), unique, k, percent), "links")
         links = links.union(more)
         part = components(links, "a", "b")
-        failed = failed.union(rest.join(more, ["a", "b"], "left_anti"))
+        lost = rest.join(more, ["a", "b"], "left_anti")
+        failed = lost if failed is None else failed.union(lost)
         open_ = written(edges.where("kept_back").select("sig").distinct(), "open")
         if open_.limit(1).count() == 0:
             break
@@ -416,16 +418,19 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 def _apart(rows: DataFrame, part: DataFrame, sketch: DataFrame, failed: DataFrame) -> DataFrame:
     """Members of the signatures that still hold several components, sorted by pairs of blocks, with
-    the members of the table that each is known not to link with."""
+    the members that each is known not to link with."""
     comp = part.select(c("node").alias("_n"), "component")
     rows = written(rows.join(comp, c("doc_id") == c("_n"), "left")
                    .select("sig", "doc_id", F.coalesce("component", "doc_id").alias("comp")), "apart")
     split = (rows.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("k"))
              .where("lo <> hi").select("sig", F.ceil(c("k") / BLOCK).cast("long").alias("parts")))
-    known = failed.groupBy(c("a").alias("doc_id")).agg(F.collect_list("b").alias("failed"))
-    mine = F.pmod(F.xxhash64("doc_id"), c("parts"))
-    rows = (rows.join(written(split, "split"), "sig").join(sketch, "doc_id").join(known, "doc_id", "left")
-            .withColumn("mine", mine)
+    rows = rows.join(written(split, "split"), "sig").join(sketch, "doc_id")
+    if failed is None:
+        rows = rows.withColumn("failed", F.lit(None).cast("array<long>"))
+    else:                                          # edges of earlier forests only
+        known = failed.groupBy(c("a").alias("doc_id")).agg(F.collect_list("b").alias("failed"))
+        rows = rows.join(known, "doc_id", "left")
+    rows = (rows.withColumn("mine", F.pmod(F.xxhash64("doc_id"), c("parts")))
             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), c("parts") - 1)))
             .select("sig", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
                     "doc_id", "n", "comp", "sketch", "failed"))

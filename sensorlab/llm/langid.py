@@ -116,7 +116,7 @@ def _counting(batches):
                     continue
                 u, n = np.unique(h, return_counts=True)
                 held.setdefault(name, []).append((u, n))
-                if sum(len(x) for x, _ in held[name]) > 2_000_000 and len(flush(name)[0]) > 1_000_000:
+                if sum(len(x) for x, _ in held[name]) > 1_000_000 and len(flush(name)[0]) > 500_000:
                     yield rows(name)
     for name in list(held):
         if held[name]:
