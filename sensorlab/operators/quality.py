@@ -126,6 +126,23 @@ def fix_labels(df: DataFrame) -> DataFrame:
     return df.withColumn("failure_type", fixed)
 
 
+def repair_problem(old: DataFrame, new: DataFrame) -> str | None:
+    """What a label repair left wrong: rows lost or gained, or a label of either bad case (two aggregations)."""
+    before = old.count()
+    found = new.agg(F.count(F.lit(1)).alias("n"), F.count_if(_label_case_a()).alias("a"),
+                    F.count_if(_label_case_b()).alias("b")).first()
+    if found["n"] != before:
+        return f"{found['n']} rows instead of {before}"
+    if found["a"] or found["b"]:
+        return f"{found['a']} labels of healthy rows, {found['b']} failures labelled {NO_FAILURE!r}"
+    return None
+
+
+def repair_labels(table) -> int:
+    """The label repair as one transaction on a ``VersionedTable``; returns the new version."""
+    return table.transaction(fix_labels, repair_problem)
+
+
 def verify_labels(df: DataFrame) -> DataFrame:
     return (df.groupBy("target", "failure_type")
             .agg(F.count(F.lit(1)).alias("total_count"))

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorlab.operators import eda, features, quality
 from sensorlab.plans.registry import register
+from sensorlab.session import checkpoint_dir
 from sensorlab.sources.fixture import sensor_table
+from sensorlab.sources.versioned import VersionedTable
 
 c = F.col
 
@@ -97,6 +101,17 @@ UNION ALL SELECT 'duplicate_keys', COUNT(*) FROM (SELECT udi FROM raw GROUP BY u
 # ---------------------------------------------------------------- 2.3 repair and views
 register("fix_labels", "SELECT * FROM fixed")(lambda s, sf: quality.fix_labels(raw(s, sf)))
 
+
+
+def _repaired(s, sf):
+    table = VersionedTable(s, f"{checkpoint_dir(s).rstrip('/')}/tables/sensors-{uuid.uuid4().hex}")
+    table.create(raw(s, sf))
+    quality.repair_labels(table)
+    return table.read()
+
+
+register("fix_labels_transaction", "SELECT * FROM fixed")(_repaired)
+
 register("verify_labels", """
 SELECT target, failure_type, COUNT(*) AS total_count FROM fixed
 GROUP BY target, failure_type ORDER BY target""")(
