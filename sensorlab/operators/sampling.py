@@ -321,7 +321,8 @@ def smote(df: DataFrame, features: Sequence[str], label: str = "label", key: str
             raise ValueError(f"class {cl!r} has {n} row; SMOTE needs a neighbour")
     small = df.where(c(label).isin(list(need)))
     k_eff = {cl: (min(k, counts[cl] - 1) if k_cap else k) for cl in need}
-    nn = knn_within_class(small, feats, k=k, label=label, key=key, materialized=True)
+    # k rows per row of the smaller classes; written, so that a lost executor does not repeat the search
+    nn = cut_lineage(knn_within_class(small, feats, k=k, label=label, key=key, materialized=True))
     indexed = dense_index(small, label, key, seed, hash_kind)
     # synthetic ids: one range, cut into per-class slices by cumulative offsets
     order = sorted(need, key=str)

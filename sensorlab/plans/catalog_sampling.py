@@ -113,7 +113,8 @@ def _stats(features):
 
 def _smote_sql(prep_sql, scaled, stats, features):
     """The training rows and the synthetic ones: base row, neighbour and share from the same
-    counter-based generator, ranks from the same integer hash."""
+    counter-based generator, ranks from the same integer hash.  A class of at most 5 rows has as many
+    neighbours as it can."""
     gap = " + ".join(f"(a.{f} - b.{f}) * (a.{f} - b.{f})" for f in features)
     return f"""WITH {prep_sql},
 {stats},
@@ -128,7 +129,7 @@ pairs AS (SELECT a.udi, b.udi AS nb, SQRT({gap}) AS distance FROM z a JOIN z b O
 nn AS (SELECT udi, nb, row_number() OVER (PARTITION BY udi ORDER BY distance, nb) AS rank FROM pairs),
 ids AS (SELECT label, n_c, CAST(start + i AS BIGINT) AS sid
         FROM (SELECT *, unnest(range(CAST(need AS BIGINT))) AS i FROM need)),
-syn AS (SELECT label, sid, {counter_random_sql("sid", SEED)} % n_c AS idx, {counter_random_sql("sid", SEED + 1)} % 5 + 1 AS rank,
+syn AS (SELECT label, sid, {counter_random_sql("sid", SEED)} % n_c AS idx, {counter_random_sql("sid", SEED + 1)} % LEAST(5, n_c - 1) + 1 AS rank,
                CAST({counter_random_sql("sid", SEED + 2)} % 1048576 AS DOUBLE) / 1048576 AS u FROM ids)
 SELECT udi, label, {", ".join(features)}, FALSE AS is_synthetic FROM z
 UNION ALL
@@ -149,7 +150,7 @@ def _smote(s, sf):
 for _task, _sql in [("binary", _PREP_SQL), ("multiclass", _PREP_MC_SQL)]:
     register(f"preprocess_train_{_task}", _smote_sql(_sql, _z(_F), _stats(_F), _F))(
         lambda s, sf, _t=_task: preprocess.preprocess_pipeline(
-            unique_featured(s, sf), _t, SEED, "arith", digits=6).train)
+            unique_featured(s, sf), _t, SEED, "arith", digits=6, k_cap=True).train)
 
 
 # ---------------------------------------------------------------- typed one-hot pipeline
@@ -183,4 +184,4 @@ for _task, _sql in [("binary", _PREP_SQL), ("multiclass", _PREP_MC_SQL)]:
     register(f"preprocess_typed_train_{_task}", _smote_sql(
         _sql, ", ".join([_z(_TYPED_NUMERIC), *[f"CAST({f} = {code} AS DOUBLE) AS {f}_{v}" for f, v, code in _DUMMIES]]),
         _stats(_TYPED_NUMERIC), _TYPED_NUMERIC + [f"{f}_{v}" for f, v, _ in _DUMMIES]))(
-        lambda s, sf, _t=_task: preprocess.typed_pipeline(unique_featured(s, sf), _t, SEED, "arith", digits=6).train)
+        lambda s, sf, _t=_task: preprocess.typed_pipeline(unique_featured(s, sf), _t, SEED, "arith", digits=6, k_cap=True).train)
