@@ -42,7 +42,7 @@ c = F.col
 SPACE = " \t\n\x0b\x0c\r"
 BLOCK = 64
 KNOWN = 100_000                     # searched conversations that a worker remembers
-RERULE, DELETE, INSERT, TRUNCATED = 1, 2, 5, 5
+REROLE, DELETE, INSERT, TRUNCATED = 1, 2, 5, 5
 CLASSES = "sua"                     # the fourth class is any other initial
 NONE, BLANK, DUPLICATE, CUT_OFF = range(4)
 SYMBOLS = "0123456789abcdef"        # class * 4 + fault
@@ -77,7 +77,7 @@ class Search:
             more = TRUNCATED if fault else 0
             if kind in follow:
                 out.append(("K", i + 1, follow[kind], more))
-            out.append(("R", i + 1, new, RERULE + more))
+            out.append(("R", i + 1, new, REROLE + more))
         return out
 
     def reachable(self, state: int, end: int) -> bool:
