@@ -34,7 +34,7 @@ from sensorlab.session import ship_package
 c = F.col
 
 LONG_WORD = 256
-CACHE_WORDS = 500_000
+CACHE_WORDS = 400_000
 NEVER = 1 << 60
 # str.split() also parts at these four signs, which are not white space in the pattern.
 INFORMATION_SEPARATORS = re.compile("[\x1c-\x1f]")
@@ -217,7 +217,7 @@ def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: s
     kept = "".join(f"`{k}` {docs.schema[k].dataType.simpleString()}, " for k in keep)
     schema = f"doc_id {kind}, {kept}n_tokens long, ids binary" + (", decoded string" if decoded else "")
     return (docs.select(c(id_col).alias("doc_id"), c(text_col).alias("_text"), *keep)
-            .mapInArrow(_coding(spec, decoded, keep), schema))
+            .mapInArrow(tb.released(_coding(spec, decoded, keep)), schema))
 
 
 def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:

@@ -68,7 +68,7 @@ def _chunks(hash_bits: int, with_bytes: bool):
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
             data, offsets = tb.utf8(texts)
-            for i, j in tb.blocks(offsets, 1 << 22):
+            for i, j in tb.blocks(offsets, 1 << 20):
                 names, chunks, recipes, sums = [], [], [], []
                 for r in range(i, j):
                     part = data[offsets[r]:offsets[r + 1]]
@@ -122,10 +122,10 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     texts = docs.select(c(id_col).cast("long").alias("doc_id"), folded.alias("text")).where(c("doc_id").isNotNull())
 
     # a chunk moves to its hash once per task that holds it (partial min and max)
-    chunk = texts.mapInArrow(_chunks(hash_bits, True), "hash binary, chunk binary")
+    chunk = texts.mapInArrow(tb.released(_chunks(hash_bits, True)), "hash binary, chunk binary")
     clash = written(chunk.groupBy("hash").agg(F.min("chunk").alias("lo"), F.max("chunk").alias("hi"))
                     .where("lo <> hi").select("hash"), "clash")
-    recipe = texts.mapInArrow(_chunks(hash_bits, False), "doc_id long, recipe binary, text_sha256 string")
+    recipe = texts.mapInArrow(tb.released(_chunks(hash_bits, False)), "doc_id long, recipe binary, text_sha256 string")
     if clash.limit(1).count():
         # number the differing chunks of a hash, and add the numbers to the recipes
         rows = texts.mapInArrow(_chunk_rows(hash_bits), "doc_id long, text_sha256 string, place long, "

@@ -307,7 +307,7 @@ def _signing(k: int, percent: int, frequent):
         for batch in batches:
             data, offsets = tb.utf8(batch.column(1))
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            for i, j in tb.blocks(offsets, 1 << 19):
+            for i, j in tb.blocks(offsets, 1 << 18):
                 row, h = tb.shingles(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], k)
                 n = np.bincount(row, minlength=j - i)
                 has = np.flatnonzero(n)
@@ -360,7 +360,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     ship_package(spark)
     texts = docs.select(c(id_col).cast("long").alias("doc_id"),
                         F.coalesce(c(text_col), F.lit("")).alias("text")).where(c("doc_id").isNotNull())
-    first = written(texts.mapInArrow(_sets(k), "doc_id long, n long, one long, two long, sketch binary"), "sets")
+    first = written(texts.mapInArrow(tb.released(_sets(k)), "doc_id long, n long, one long, two long, sketch binary"), "sets")
     sets = first.where(c("doc_id").isNotNull()).dropDuplicates(["doc_id"])
     total = first.where(c("doc_id").isNotNull()).count()
     # at most (shingles of all documents) / (share * documents): a bound on the average
@@ -380,7 +380,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     copies = written(member.where("n = 0 or representative <> doc_id").select("doc_id"), "copies")
     unique = texts.dropDuplicates(["doc_id"]) if _repeats(first, total) else texts
     signers = unique.join(checked(copies), "doc_id", "left_anti")
-    signed = signers.mapInArrow(_signing(k, percent, frequent), "sig long, doc_id long")
+    signed = signers.mapInArrow(tb.released(_signing(k, percent, frequent)), "sig long, doc_id long")
 
     by_sig = Window.partitionBy("sig").orderBy("doc_id").rowsBetween(Window.unboundedPreceding, 0)
     # a signature of one document goes no further; its first member travels with the others
@@ -398,7 +398,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     failed, count = None, 1
     while True:
         edges = written(_apart(rows, part, sketch, failed).mapInArrow(
-            _comparing(percent, count), "sig long, a long, b long, kept_back boolean"), "edges")
+            tb.released(_comparing(percent, count)), "sig long, a long, b long, kept_back boolean"), "edges")
         rest = written(edges.select("a", "b").distinct(), "rest")
         # pairs with the smallest member of a signature were compared before
         more = written(_linked(written(rest.join(star, ["a", "b"], "left_anti"), "fresh"), unique, k, percent), "links")

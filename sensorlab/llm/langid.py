@@ -161,7 +161,7 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -
     spark = labelled.sparkSession
     ship_package(spark)
     rows = labelled.select(c(text_col).alias("text"), c(lang_col).alias("lang")).where("text is not null and lang is not null")
-    counts = written(rows.mapInArrow(_counting, "hash long, lang string, n long")
+    counts = written(rows.mapInArrow(tb.released(_counting), "hash long, lang string, n long")
                      .groupBy("hash", "lang").agg(F.sum("n").alias("n")), "ngrams")
     totals = written(counts.groupBy("lang").agg(F.sum("n").alias("total")), "totals")
     # the languages: the distinct values of a label column
@@ -211,7 +211,7 @@ def _predict_by_join(rows: DataFrame, filters: Filters, names: list[str]) -> Dat
     """``predict`` with the n-grams of ``filters.table``; names are the output's columns."""
     columns = [f"column_{i}" for i in range(len(rows.columns))]
     numbered = written(rows.toDF(*columns).withColumn("row", F.monotonically_increasing_id()), "numbered")
-    grams = written(numbered.select("row", columns[1]).mapInArrow(_listing, "row long, hash long, n long"), "grams")
+    grams = written(numbered.select("row", columns[1]).mapInArrow(tb.released(_listing), "row long, hash long, n long"), "grams")
     hits = grams.join(filters.table, "hash").groupBy("row", "k").agg(F.sum("n").alias("hits"))
     # most hits; of equal ones the first language
     best = hits.groupBy("row").agg(F.max(F.struct("hits", (-c("k")).alias("k"))).alias("best"), F.sum("hits").alias("all"))
@@ -258,7 +258,7 @@ def predict(docs: DataFrame, filters: Filters, id_col: str = "doc_id", text_col:
 
     out = list(range(2, 2 + len(keep))) if keep else [0]
     kinds = [docs.schema[k].dataType.simpleString() for k in keep or [id_col]]
-    return rows.mapInArrow(run, ", ".join(f"`{k}` {t}" for k, t in zip(names, kinds)) + ", lang_pred string, score double")
+    return rows.mapInArrow(tb.released(run), ", ".join(f"`{k}` {t}" for k, t in zip(names, kinds)) + ", lang_pred string, score double")
 
 
 def has_letter(text):

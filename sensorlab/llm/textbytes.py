@@ -7,6 +7,8 @@ operators verify on the texts themselves.
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 
@@ -134,3 +136,16 @@ def shingles(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray,
     rows, hashes = rows[order], hashes[order]
     keep = np.r_[True, (rows[1:] != rows[:-1]) | (hashes[1:] != hashes[:-1])]
     return rows[keep], hashes[keep]
+
+
+def released(run):
+    """``run`` (a function of Arrow batches) that gives freed memory back when it ends: Python workers
+    live on between tasks, and what they keep adds up beside the JVM's heap."""
+    def wrapped(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except AttributeError:                 # not the GNU C library
+            pass
+    return wrapped
