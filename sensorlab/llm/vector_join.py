@@ -202,9 +202,11 @@ def vector_join(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "e
     usable = (c("v").isNotNull() & ~F.exists("v", bad) & F.exists("v", lambda x: x != 0))
     rows = rows.withColumn("v", F.when(F.coalesce(usable, F.lit(False)), c("v")))
     # equal vectors move once per task that holds them (partial aggregation)
-    reps = written(rows.where("v is not null").groupBy("v").agg(F.min("vec_id").alias("vec_id"),
-                                                               F.count(F.lit(1)).alias("copies"))
-                   .select("vec_id", "v", "copies"), "vectors")
+    # ids may repeat with other vectors: inside, a vector goes by a number of its own
+    known = written(rows.where("v is not null").groupBy("v").agg(F.min("vec_id").alias("least"),
+                                                                F.count(F.lit(1)).alias("copies"))
+                    .select(F.monotonically_increasing_id().alias("vec_id"), "least", "v", "copies"), "vectors")
+    reps = known.select("vec_id", "v", "copies")
     counts = {x["n"]: x["k"] for x in reps.groupBy(F.size("v").alias("n")).agg(F.count(F.lit(1)).alias("k")).collect()}
     if not counts:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), c("vec_id").alias("component_id"),
@@ -233,12 +235,12 @@ def vector_join(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "e
                     .applyInArrow(_join_cell(threshold), "u long, v long, n long"), "links")
     links = found.where("v is null").groupBy(c("u").alias("_u")).agg(F.sum("n").alias("links"))
     part = components(found.where("v is not null"), "u", "v")
-    per_rep = written(
-        reps.select(c("vec_id").alias("rep"), "copies", c("v").alias("_v"))
-        .join(links, c("rep") == c("_u"), "left")
-        .join(part, c("rep") == c("node"), "left")
-        .select("_v", (F.coalesce("links", F.lit(0)) + c("copies") - 1).alias("links"),
-                F.coalesce("component", "rep").alias("component")), "representatives")
+    joined = written(
+        known.join(links, c("vec_id") == c("_u"), "left").join(part, c("vec_id") == c("node"), "left")
+        .select(c("v").alias("_v"), "least", (F.coalesce("links", F.lit(0)) + c("copies") - 1).alias("links"),
+                F.coalesce("component", "vec_id").alias("_part")), "joined")
+    smallest = joined.groupBy(c("_part").alias("_p")).agg(F.min("least").alias("component"))
+    per_rep = written(joined.join(smallest, c("_part") == c("_p")).select("_v", "links", "component"), "representatives")
     out = rows.join(per_rep, c("v") == c("_v"), "left")
     component = F.coalesce("component", "vec_id")
     return out.select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),

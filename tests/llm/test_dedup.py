@@ -320,3 +320,12 @@ def test_forests_join_what_all_pairs_join():
             got = h.classes(k, [*edges, *((a, int(np.flatnonzero(comp == comp[a])[0])) for a in range(k))])
             assert got == want and len(edges) <= count * (k - 1) and set(edges) <= set(zip(i.tolist(), j.tolist()))
             assert kept_back == (len(edges) < len(i))
+
+
+def test_vector_join_of_repeated_ids(spark):
+    """Rows that share an id are vectors of their own: they link, and count, each for itself."""
+    rows = [(1, [1.0, 0.0]), (1, [1.0, 0.01]), (2, [0.0, 1.0]), (3, [0.0, 1.0]), (3, [1.0, 0.02]), (4, [-1.0, 0.0]), (4, None)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(tuple(r) for r in vector_join.vector_join(df).collect())
+    assert got == [(1, 2, 1, True), (1, 2, 1, True), (2, 1, 2, True), (3, 1, 2, False), (3, 2, 1, False),
+                   (4, 0, 4, True), (4, 0, 4, True)]
