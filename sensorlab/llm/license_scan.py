@@ -2,16 +2,20 @@
 
 A template can only be present where all its *fixed* words (license name, version, clause)
 are; the rarest of them in a text, wherever it stands, gives the places to look at, so line
-ends and the length of a line or paragraph do not matter.  At each place the template is
-aligned with the words around it (least number of missing, added and changed words, fixed
-words untouched).  It is confirmed if the differences stay within ``MAX_DIFFERENCE`` of its
-words.  Its stretch is then compressed with zstandard alone and with the template as a raw
-dictionary; the bytes that this saves rank the confirmed templates.
+ends and the length of a line or paragraph do not matter.  The words around such a place, as
+many as the template with its differences may take, are a *candidate block*.
 
-Of confirmed templates that share a fixed word in the text, the one with most words in
-common wins, then the one that saves most.  All others are kept; a license reports its
-finding with the fewest differences.  After a kept one and a conjunction ("the MIT License or
-the Apache License, Version 2.0") the next words are read once more behind its opening words.
+1. Every candidate block is compressed with zstandard alone and with the template as a raw
+   dictionary.
+2. The candidates of a text are ranked by the bytes that the dictionary saves.
+3. In that order each template is confirmed by its wording: it is aligned with the block (least
+   number of missing, added and changed words, fixed words untouched) and the differences have
+   to stay within ``MAX_DIFFERENCE`` of its words.  A confirmed template takes its fixed words
+   in the text; candidates behind it that need one of them are left out.
+
+No candidate is dropped for its rank.  A license reports its finding with the fewest
+differences.  After a kept one and a conjunction ("the MIT License or the Apache License,
+Version 2.0") the next words are read once more behind its opening words.
 
 Null and empty texts have no findings.  Very long texts are scanned whole.  Rows are kept one
 to one, also with null or repeated ids; extra columns are ignored.
@@ -176,32 +180,35 @@ class Scanner:
         hi = p + 1 + sum(y is not None for _, y in right[1])
         return lo, hi, left[0] + right[0], [*left[1][::-1], (w[q], text[p]), *right[1]]
 
-    def saving(self, stretch: list[str], i: int) -> tuple[int, float]:
-        """Bytes that template i saves of the compressed stretch, and their share."""
-        raw = " ".join(stretch).encode()
-        plain = len(self.alone.compress(raw))
-        saved = plain - len(self.templates[i][3].compress(raw))
-        return saved, saved / plain
-
-    def matches(self, text: list[str]) -> list[dict]:
-        """All confirmed templates of a list of words, best first."""
-        have, out = set(text), []
-        for i, (name, fixed, w, _) in enumerate(self.templates):
+    def candidates(self, text: list[str]) -> list[tuple]:
+        """(bytes saved, share, template, template word, place) of every candidate block, those
+        that save most bytes first."""
+        have, out, plain = set(text), [], {}
+        for i, (_, fixed, w, _) in enumerate(self.templates):
             if not fixed <= have:
                 continue
             rare = min(sorted(fixed), key=text.count)
-            q, p = w.index(rare), -1
+            q, p, most = w.index(rare), -1, int(MAX_DIFFERENCE * len(w))
             for _ in range(text.count(rare)):
                 p = text.index(rare, p + 1)
-                found = self.confirm(text, i, p, q)
-                if found is None:
-                    continue
-                lo, hi, changes, pairs = found
-                bytes_saved, share = self.saving(text[lo:hi], i)
-                at = [k for k, (x, y) in zip(_places(pairs, lo), pairs) if x in fixed]
-                out.append({"license": name, "template": i, "saved": share, "lo": lo, "hi": hi, "fixed": at,
-                            "wording": wording(pairs), "rank": (changes - sum(x == y for x, y in pairs), -bytes_saved, i, lo)})
-        return sorted(out, key=lambda m: m["rank"])
+                span = (max(0, p - q - most), p + len(w) - q + most)
+                raw = " ".join(text[span[0]:span[1]]).encode()
+                if span not in plain:
+                    plain[span] = len(self.alone.compress(raw))
+                saved = plain[span] - len(self.templates[i][3].compress(raw))
+                out.append((saved, saved / plain[span], i, q, p))
+        return sorted(out, key=lambda x: (-x[0], x[2], x[4]))
+
+    def matches(self, text: list[str]):
+        """The confirmed templates of a list of words, in the order of their candidates."""
+        for saved, share, i, q, p in self.candidates(text):
+            found = self.confirm(text, i, p, q)
+            if found is None:
+                continue
+            name, fixed, _, _ = self.templates[i]
+            lo, hi, _, pairs = found
+            at = [k for k, (x, y) in zip(_places(pairs, lo), pairs) if x in fixed]
+            yield {"license": name, "template": i, "saved": share, "lo": lo, "hi": hi, "fixed": at, "wording": wording(pairs)}
 
     def listed(self, text: list[str], m: dict) -> list[dict]:
         """Templates that are confirmed if the words after ``m`` and a conjunction are read

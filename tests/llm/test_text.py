@@ -242,6 +242,22 @@ def test_every_template_is_found_wrapped_and_unwrapped(i):
                 assert [(x["license"], x["differences"]) for x in license_scan.Scanner().scan(t)] == [(name, 0)]
 
 
+def test_license_compression_ranks_before_wording():
+    scanner = license_scan.Scanner([("short", "mit", "mit a b c d"), ("long", "mit", "extraordinarily comprehensive mit")])
+    asked, confirm = [], scanner.confirm
+
+    def asking(text, i, p, q):
+        asked.append(i)
+        return confirm(text, i, p, q)
+    scanner.confirm = asking
+    # fewer words in common, but more bytes saved: ranked, confirmed and kept first
+    assert [x["license"] for x in scanner.scan("extraordinarily comprehensive mit a b c d")] == ["long"]
+    assert asked == [1, 0]
+    # a block that its wording rejects is compressed and ranked all the same
+    text = "extraordinarily bad mit".split()
+    assert [x[2] for x in scanner.candidates(text)] == [1, 0] and list(scanner.matches(text)) == []
+
+
 @pytest.mark.parametrize("table", [h.odd_documents, h.empty_documents])
 def test_license_odd_rows(spark, table):
     docs = h.repeat(table(spark))
