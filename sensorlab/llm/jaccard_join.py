@@ -20,10 +20,13 @@ signature are first compared with its smallest member only.  Members that are st
 different components after that are compared pairwise inside a task, in blocks of
 ``BLOCK`` members, by their parity sketches: bit b of a sketch is the parity of the shingles
 hashed to b, so two sketches never differ in more bits than their sets differ in shingles.
+The members of a signature's largest component need no comparison among themselves: they are
+cut into blocks, and only the members outside it, usually few, travel to each of them.
 Of the pairs whose sketches allow the threshold only forests over the components leave the
 task, and the texts of those are compared.  If all of a block's edges hold, the pairs it kept
-back join nothing new; where one fails, the block is compared again without the failed pairs,
-with twice as many forests, until no block keeps a pair of different components back.
+back join nothing new; where one fails, the members of pairs kept back, and no others, are
+compared again without the failed pairs, with twice as many forests, until no block keeps a
+pair of different components back.
 So a group of copies costs edges in proportion to its members, and nothing is capped.
 
 Nulls, empty texts: no shingles, no links, a component of their own.  Rows with a null id
@@ -138,10 +141,12 @@ def _few(doc, n, comp, sketch, percent):
                 yield i, j
 
 
-def forests(sketch: list[bytes], n: np.ndarray, comp: np.ndarray, percent: int, count: int, failed=None):
+def forests(sketch: list[bytes], n: np.ndarray, comp: np.ndarray, percent: int, count: int, failed=None,
+            apart=None, back=None):
     """Edges (i, j) of ``count`` edge-disjoint forests over the components, of the pairs that sizes and
     sketches allow, and whether a pair was kept back.  ``failed[i]`` are members that i is known not to
-    link with."""
+    link with, ``apart[i]`` those that another block compares it with; ``back`` is set for the members
+    of pairs kept back."""
     size = min(map(len, sketch))
     x = np.stack([_folded(b, size) for b in sketch])
     trees = [np.unique(comp, return_inverse=True)[1] for _ in range(count)]
@@ -149,6 +154,8 @@ def forests(sketch: list[bytes], n: np.ndarray, comp: np.ndarray, percent: int,
     for i in range(len(n) - 1):
         low, high = np.minimum(n[i], n[i + 1:]), np.maximum(n[i], n[i + 1:])
         j = np.flatnonzero((100 * low >= percent * high) & (comp[i + 1:] != comp[i])) + i + 1
+        if apart is not None:
+            j = j[~apart[i, j]]
         if failed and failed[i]:
             j = j[~np.isin(j, failed[i])]
         if not len(j):
@@ -165,27 +172,32 @@ def forests(sketch: list[bytes], n: np.ndarray, comp: np.ndarray, percent: int,
                 tree[np.isin(tree, roots)] = tree[i]
                 j = np.delete(j, first)
         kept_back |= len(j) > 0
+        if back is not None and len(j):
+            back[i] = back[j] = True
     return edges, kept_back
 
 
 def _comparing(percent: int, count: int):
-    """Forest edges (sig, a, b, kept_back) of each (sig, i, j) run of sorted rows."""
-    names = ("doc_id", "n", "comp", "sketch", "failed")
+    """Of each (sig, i, j) run of sorted rows the forest edges (sig, a, b), and (sig, a, null) for the members
+    of pairs kept back.  Pairs inside i or j are compared in one block only, that with i = 0."""
+    names = ("doc_id", "n", "comp", "sketch", "failed", "mine")
 
-    def edges(key, doc, n, comp, sketch, failed):
+    def edges(key, doc, n, comp, sketch, failed, mine):
         if comp.count(comp[0]) == len(comp):
             return []
         if len(doc) <= FEW:
-            return [(key[0], *sorted((doc[i], doc[j])), False) for i, j in _few(doc, n, comp, sketch, percent)]
+            return [(key[0], *sorted((doc[i], doc[j]))) for i, j in _few(doc, n, comp, sketch, percent)]
         place = {d: k for k, d in enumerate(doc)}
         failed = [[place[d] for d in f or () if d in place] for f in failed]
-        got, kept_back = forests(sketch, np.array(n, dtype=np.int64), np.array(comp), percent, count, failed)
-        return [(key[0], *sorted((doc[i], doc[j])), kept_back) for i, j in got]
+        side, apart, back = np.array(mine), None, np.zeros(len(doc), bool)
+        if key[1]:
+            apart = side[:, None] == side
+        got, _ = forests(sketch, np.array(n, dtype=np.int64), np.array(comp), percent, count, failed, apart, back)
+        return ([(key[0], *sorted((doc[i], doc[j]))) for i, j in got]
+                + [(key[0], doc[i], None) for i in np.flatnonzero(back)])
 
     def batch_of(found):
-        types = (pa.int64(), pa.int64(), pa.int64(), pa.bool_())
-        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*found), types)],
-                                          names=["sig", "a", "b", "kept_back"])
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found)], names=["sig", "a", "b"])
 
     def run(batches):
         last, held = None, ([],) * len(names)       # the run that may go on in the next batch
@@ -398,18 +410,17 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     failed, count = None, 1
     while True:
         edges = written(_apart(rows, part, sketch, failed).mapInArrow(
-            tb.released(_comparing(percent, count)), "sig long, a long, b long, kept_back boolean"), "edges")
-        rest = written(edges.select("a", "b").distinct(), "rest")
+            tb.released(_comparing(percent, count)), "sig long, a long, b long"), "edges")
+        rest = written(edges.where("b is not null").select("a", "b").distinct(), "rest")
         # pairs with the smallest member of a signature were compared before
         more = written(_linked(written(rest.join(star, ["a", "b"], "left_anti"), "fresh"), unique, k, percent), "links")
         links = links.union(more)
         part = components(links, "a", "b")
         lost = rest.join(more, ["a", "b"], "left_anti")
         failed = lost if failed is None else failed.union(lost)
-        open_ = written(edges.where("kept_back").select("sig").distinct(), "open")
-        if open_.limit(1).count() == 0:
+        rows, count = written(edges.where("b is null").select("sig", c("a").alias("doc_id")).distinct(), "rows"), 2 * count
+        if rows.limit(1).count() == 0:
             break
-        rows, count = written(rows.join(open_, "sig", "left_semi"), "rows"), 2 * count
     comp = part.select(c("node").alias("_n"), "component")
     return (member.join(comp, c("representative") == c("_n"), "left")
             .select("doc_id", c("n").alias("n_shingles"), "representative",
@@ -417,23 +428,32 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def _apart(rows: DataFrame, part: DataFrame, sketch: DataFrame, failed: DataFrame) -> DataFrame:
-    """Members of the signatures that still hold several components, sorted by pairs of blocks, with
-    the members that each is known not to link with."""
+    """Members of the signatures that still hold several components, sorted by pairs of groups, with
+    the members that each is known not to link with.  A signature's largest component is cut into groups
+    of about ``BLOCK`` members that come first, the other members into groups behind them; a pair of
+    groups (i, j), i < j, is a block unless both are of the largest component."""
     comp = part.select(c("node").alias("_n"), "component")
     rows = written(rows.join(comp, c("doc_id") == c("_n"), "left")
                    .select("sig", "doc_id", F.coalesce("component", "doc_id").alias("comp")), "apart")
-    split = (rows.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("k"))
-             .where("lo <> hi").select("sig", F.ceil(c("k") / BLOCK).cast("long").alias("parts")))
+    split = (rows.groupBy("sig", "comp").agg(F.count(F.lit(1)).alias("k"))
+             .groupBy("sig").agg(F.max(F.struct("k", "comp")).alias("top"), F.sum("k").alias("k"))
+             .where(c("k") > c("top.k"))
+             .select("sig", c("top.comp").alias("top"), F.ceil(c("top.k") / BLOCK).cast("long").alias("first"),
+                     F.ceil((c("k") - c("top.k")) / BLOCK).cast("long").alias("others")))
     rows = rows.join(written(split, "split"), "sig").join(sketch, "doc_id")
     if failed is None:
         rows = rows.withColumn("failed", F.lit(None).cast("array<long>"))
     else:                                          # edges of earlier forests only
         known = failed.groupBy(c("a").alias("doc_id")).agg(F.collect_list("b").alias("failed"))
         rows = rows.join(known, "doc_id", "left")
-    rows = (rows.withColumn("mine", F.pmod(F.xxhash64("doc_id"), c("parts")))
-            .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), c("parts") - 1)))
+    number = F.xxhash64("doc_id")
+    in_top = c("comp") == c("top")
+    last = c("first") + c("others") - 1
+    rows = (rows.withColumn("mine", F.when(in_top, F.pmod(number, c("first"))).otherwise(c("first") + F.pmod(number, c("others"))))
+            .withColumn("other", F.explode(F.array_remove(
+                F.sequence(F.when(in_top, c("first")).otherwise(F.lit(0).cast("long")), last), c("mine"))))
             .select("sig", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
-                    "doc_id", "n", "comp", "sketch", "failed"))
+                    "doc_id", "n", "comp", "sketch", "failed", "mine"))
     return rows.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j", "doc_id")
 
 

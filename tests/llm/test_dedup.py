@@ -307,6 +307,31 @@ def test_jaccard_failed_edges_are_compared_again(spark, monkeypatch):
     assert h.rows(got, "doc_id", "n_shingles", "component_id") == brute_jaccard(docs)
 
 
+def test_jaccard_blocks_grow_with_the_members_apart(spark, monkeypatch):
+    """A group of linked copies and a few texts that share its passage only: the copies go to no block
+    of their own, so the rows of the blocks do not grow with the square of the copies."""
+    rng = random.Random(29)
+    docs, passage = [], [f"p{i}" for i in range(60)]
+    for i in range(240):
+        w = passage + [f"w{j}" for j in range(60)]
+        w[60 + rng.randrange(60)] = f"x{i}"
+        docs.append((i, " ".join(w)))
+    docs += [(1000 + i, " ".join(passage + [f"y{i}z{j}" for j in range(14)])) for i in range(6)]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    seen, apart = [], jaccard_join._apart
+
+    def spied(rows, *a):
+        out = apart(rows, *a)
+        seen.append((rows.count(), out.count(), out.groupBy("sig", "i", "j").count().agg({"count": "max"}).first()[0] or 0))
+        return out
+    monkeypatch.setattr(jaccard_join, "_apart", spied)
+    monkeypatch.setattr(jaccard_join, "BLOCK", 16)
+    got = jaccard_join.jaccard_components(docs)
+    assert h.rows(got, "doc_id", "n_shingles", "component_id") == brute_jaccard(docs)
+    members, rows, largest = seen[0]
+    assert 0 < rows < 2 * members and largest <= 4 * 16
+
+
 def test_forests_join_what_all_pairs_join():
     rng = np.random.default_rng(6)
     for _ in range(30):
