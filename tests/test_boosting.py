@@ -205,3 +205,24 @@ def test_parameters_of_the_search_space_all_reach_the_booster():
     spec = models.booster_spec(models.LEAFWISE, 5, combo)
     assert spec == bo.Spec(rounds=300, max_depth=0, rate=0.05, colsample=0.6, subsample=0.7, min_rows=30, alpha=0.5,
                            lam=1.0, leaves=31, classes=5, seed=models.SEED)
+
+
+def test_rows_of_a_table_are_not_written_every_round(spark, monkeypatch):
+    """More rounds than the cache holds unwritten: the models are those of one task, and the blocks are
+    never written as a table again."""
+    rng = np.random.default_rng(12)
+    data = [([float(v) for v in rng.normal(size=3)], int(rng.integers(0, 3)), i) for i in range(900)]
+    df = spark.createDataFrame(data, "features array<double>, code int, key long").repartition(3)
+    blocks = boosters.pack(df, boosters.quantile_cuts(df, "features", 3)).cache()
+    specs = [bo.Spec(rounds=boosters.WRITTEN_ROUNDS + 3, leaves=5, classes=3)]
+    one = boosters.train(blocks, specs, 3, models=True)[0]
+    writes = []
+    monkeypatch.setattr(boosters, "cut_lineage", lambda df: (writes.append(1), df)[1])
+    monkeypatch.setattr(boosters, "DIRECT_BYTES", 0)
+    added = boosters.train(blocks, specs, 3, models=True, task_rows=0)[0]
+    monkeypatch.setattr(boosters, "DIRECT_BYTES", 1 << 40)
+    direct = boosters.train(blocks, specs, 3, models=True, task_rows=0)[0]
+    shape = lambda f: [[(t.feature, t.bin) for t in trees] for trees in f.model.rounds]
+    assert shape(one) == shape(added) == shape(direct)
+    assert one.confusion == added.confusion == direct.confusion
+    assert not writes
