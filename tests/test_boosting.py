@@ -84,6 +84,41 @@ def test_equals_the_plain_version(spec, missing):
     assert model.importance(FEATURES).sum() == pytest.approx(1)
 
 
+def test_large_histograms_equal_plain_counts():
+    rng = np.random.default_rng(4)
+    radix = [64, 3, 64, 2, 64, 40, 256, 1]
+    x = np.stack([rng.integers(0, r, 3000) for r in radix], axis=1).astype(np.uint8)
+    x[0] = np.array(radix) - 1
+    groups = bo.feature_groups(radix)
+    assert sorted(f for g in groups for f in g) == list(range(len(radix))) and len(groups) < len(radix)
+    assert all(math.prod(radix[f] for f in g) <= bo.GROUP_CELLS for g in groups)
+    g, h, rows = rng.normal(size=3000), rng.random(3000), np.flatnonzero(rng.random(3000) < 0.4)
+    got = bo.LargeHistograms(np.ascontiguousarray(x.T), 256)(rows, g, h)
+    for f in range(len(radix)):
+        for j, w in enumerate((g, h, np.ones(3000))):
+            assert np.array_equal(got[f, :, j], np.bincount(x[rows, f], w[rows], 256))
+
+
+@pytest.mark.parametrize("large", [1, 40])
+@pytest.mark.parametrize("classes", [2, 3])
+@pytest.mark.parametrize("missing", [0.0, 0.15])
+def test_large_nodes_grow_the_same_trees(monkeypatch, large, classes, missing):
+    """Nodes parted and counted one by one against all nodes of a wave at once: equal to the last bit."""
+    x, y = data(12, 600, classes, missing)
+    share = np.where(np.arange(600) % 6 == 0, math.inf, 0.0)
+    specs = [bo.Spec(rounds=4, leaves=9, min_rows=3, subsample=0.7, colsample=0.7, alpha=0.1, classes=classes),
+             bo.Spec(rounds=2, leaves=0, max_depth=4, min_rows=2, lam=1.0, classes=classes)]
+    got = []
+    for limit in (10**9, large):
+        monkeypatch.setattr(bo, "LARGE_NODE", limit)
+        rows = bo.TaskRows(x, y, share, np.arange(600), specs, BINS)
+        models = bo.boost(rows, specs, FEATURES)
+        got.append(([m.to_dict() for m in models], [m.margins(x).tolist() for m in models],
+                    [m.tolist() for m in rows.margins], [rows.confusions(m) for m in range(len(specs))]))
+        assert (rows.large is None) == (limit == 10**9)
+    assert got[0] == got[1]
+
+
 def test_penalties_change_the_tree():
     x, y = data(5)
     fits = []
