@@ -80,8 +80,9 @@ def near_words(words: DataFrame, symbols: int = SYMBOLS) -> DataFrame:
     around = (reduced.select("word", F.explode(F.expr(neighbourhood("reduced", symbols))).alias("code"))
               .select("word", F.xxhash64("code").alias("code")))
     known = reduced.select(F.xxhash64("reduced").alias("code"), c("word").alias("near"), c("n").alias("near_n"))
+    # Spark sizes the exploded neighbourhoods like the words they come from and would broadcast them: sort and merge
     # equal hashes only propose a pair; the distance is taken on the words themselves
-    return (around.join(known, (around["code"] == known["code"]) & (F.levenshtein("word", "near", 1) == 1))
+    return (around.hint("merge").join(known, (around["code"] == known["code"]) & (F.levenshtein("word", "near", 1) == 1))
             .select("word", "near", "near_n"))
 
 
@@ -91,7 +92,7 @@ def roots(forms: DataFrame) -> DataFrame:
     found = forms.select("word", F.coalesce("form", "word").alias("root"))
     while True:
         up = found.select(c("word").alias("_at"), c("root").alias("_next"))
-        found = written(found.join(up, c("root") == c("_at"))
+        found = written(found.hint("merge").join(up, c("root") == c("_at"))
                         .select("word", c("_next").alias("root"), (c("_next") != c("root")).alias("moved")), "roots")
         if found.where("moved").limit(1).count() == 0:
             return found.select("word", "root")
@@ -106,10 +107,10 @@ def spelling_variants(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     best = near_words(words, symbols).groupBy("word").agg(
         F.count(F.lit(1)).alias("n_near"), F.min(F.struct((-c("near_n")).alias("less"), "near")).alias("best"))
     frequent = -c("best.less") >= ratio * c("n")
-    forms = written(words.join(best, "word", "left").select(
+    forms = written(words.hint("merge").join(best, "word", "left").select(
         "word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
         F.when(frequent, c("best.near")).alias("form"), F.when(frequent, -c("best.less")).alias("form_n")), "forms")
-    return forms.join(roots(forms), "word").select("word", "form", "root", "n", "n_near", "form_n")
+    return forms.hint("merge").join(roots(forms), "word").select("word", "form", "root", "n", "n_near", "form_n")
 
 
 # ------------------------------------------------------------------ DuckDB

@@ -81,3 +81,18 @@ def test_one_edit_of_a_word_is_in_the_neighbourhood_of_its_reduced_word(spark):
     df = spark.createDataFrame(rows, "reduced string, other string")
     missed = df.where(~F.array_contains(F.expr(spelling.neighbourhood("reduced")), F.col("other")))
     assert missed.count() == 0
+
+
+def test_no_side_of_a_join_is_broadcast(spark, monkeypatch):
+    """A small file may stand for neighbourhoods and words that do not fit the driver."""
+    plans, write = [], spelling.written
+
+    def seen(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, name)
+
+    monkeypatch.setattr(spelling, "written", seen)
+    words = write(spark.createDataFrame([("queueing", 9), ("queuing", 60), ("letters", 7)], "word string, n long"), "few")
+    plans.append(spelling.near_words(words)._jdf.queryExecution().executedPlan().toString())
+    plans.append(spelling.spelling_variants(variants(spark))._jdf.queryExecution().executedPlan().toString())
+    assert sum("SortMergeJoin" in p for p in plans) >= 4 and not any("Broadcast" in p for p in plans)
